@@ -14,6 +14,7 @@ from tillworks.functions.columns import (
     surrogate_key,
     title,
     whole_number,
+    with_computed,
 )
 
 __all__ = [
@@ -30,4 +31,5 @@ __all__ = [
     "surrogate_key",
     "title",
     "whole_number",
+    "with_computed",
 ]

@@ -6,7 +6,7 @@ by the validation rules, whatever the session's ANSI setting.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: calendar names are blank-padded to this width in the date dimension.
@@ -31,11 +31,13 @@ def code(text: Column) -> Column:
 def whole_number(text: Column) -> Column:
     """Text to int, cutting decimals off: ``2.7`` gives 2, ``abc`` and out-of-range give NULL.
 
-    The double detour reads decimals and exponents; a trailing ``d`` or ``f``,
-    which Spark's double parser accepts as a suffix, is not a number here.
+    Everything goes through double: that reads decimals and exponents, holds
+    every int exactly, and a failing string-to-int cast costs an exception per
+    row. A trailing ``d`` or ``f``, which Spark's double parser accepts as a
+    suffix, is not a number here.
     """
-    decimals = F.when(~text.rlike(r"[dDfF]\s*$"), text.try_cast("double").try_cast("int"))
-    return F.coalesce(text.try_cast("int"), decimals)
+    last = F.substring(F.rtrim(text), -1, 1)
+    return F.when(~last.isin("d", "D", "f", "F"), text.try_cast("double").try_cast("int"))
 
 
 def money(text: Column) -> Column:
@@ -79,3 +81,14 @@ def padded_month_name(day: Column) -> Column:
 
 def padded_day_name(day: Column) -> Column:
     return F.rpad(F.date_format(day, "EEEE"), NAME_WIDTH, " ")
+
+
+def with_computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters read instead of recomputing.
+
+    Spark pushes a filter below a projection by copying the column's expression
+    into the filter, once per mention. It does not do so below a generator, so
+    the value comes out of a one-element ``inline``. Use it for columns that are
+    both filtered on and expensive; other filters still move down past it.
+    """
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))

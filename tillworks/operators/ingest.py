@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillworks.functions import with_computed
 from tillworks.schemas import CORRUPT_FIELD, LINEAGE_FIELDS, RAW_WITH_CORRUPT, REQUIRED_FIELDS
 
 MESSAGE = "message"
@@ -33,10 +34,10 @@ def message_text(df: DataFrame, value: str = "value") -> Column:
 def with_message(df: DataFrame, value: str = "value") -> DataFrame:
     """Replace the source's value column by one line of JSON text per record.
 
-    Line breaks between JSON tokens carry no meaning, but would split a record
-    over two lines of the bronze files.
+    Line breaks and tabs can only stand between JSON tokens, where they carry no
+    meaning; a line break would split a record over two lines of the bronze files.
     """
-    line = F.regexp_replace(message_text(df, value), r"[\r\n]+", " ")
+    line = F.rtrim(F.translate(message_text(df, value), "\r\n\t", "   "))
     return df.select(*[c for c in df.columns if c != value], line.alias(MESSAGE))
 
 
@@ -56,11 +57,15 @@ def with_missing_fields(df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS
     """
     wanted = F.array(*[F.lit(name) for name in sorted(required)])
     message = F.col(MESSAGE)
-    # json_object_keys reads the first value only; as the one element of an array
-    # the whole text has to hold up, so cut-off lines and trailing text show.
-    intact = (F.json_array_length(F.concat(F.lit("["), message, F.lit("]"))) == 1) & message.rlike(r"\}\s*$")
-    keys = F.when(intact, F.json_object_keys(message))
-    return df.withColumn(MISSING, F.array_except(wanted, keys))
+    # json_object_keys reads the first value only. A flat record closes with its
+    # only brace; others must also hold up as the one element of an array, which
+    # shows any text after the record.
+    first_brace = F.instr(message, "}")
+    one_record = F.when(first_brace == F.length(message), True).otherwise(
+        F.json_array_length(F.concat(F.lit("["), message, F.lit("]"))) == 1
+    )
+    keys = F.when(F.endswith(message, F.lit("}")) & one_record, F.json_object_keys(message))
+    return with_computed(df, MISSING, F.array_except(wanted, keys))
 
 
 def accepted(df: DataFrame) -> DataFrame:
@@ -96,7 +101,7 @@ def bronze_line(message: Column, ingested_at: Column, source_system: Column) ->
             source_system.alias(LINEAGE_FIELDS[1]),
         )
     )
-    return F.concat(F.regexp_replace(message, r"\}\s*$", ""), F.lit(","), F.substr(lineage, F.lit(2)))
+    return F.concat(F.substr(message, F.lit(1), F.length(message) - 1), F.lit(","), F.substr(lineage, F.lit(2)))
 
 
 def encode(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

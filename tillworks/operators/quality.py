@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillworks.functions import with_computed
+
 REASON = "quarantine_reason"
 PRICE_TOLERANCE = 0.01  # fixed value
 
@@ -54,7 +56,8 @@ def first_failure(rules: Sequence[Rule] = SALES_RULES) -> Column:
 
 
 def tag(df: DataFrame, rules: Sequence[Rule] = SALES_RULES) -> DataFrame:
-    return df.withColumn(REASON, first_failure(rules))
+    """Add the reason column, evaluated once however often the split filters on it."""
+    return with_computed(df, REASON, first_failure(rules))
 
 
 def valid(tagged: DataFrame) -> DataFrame:

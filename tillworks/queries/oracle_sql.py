@@ -5,6 +5,8 @@ Each query is a chain of named steps; only the steps it needs are put in front.
 
 from __future__ import annotations
 
+import re
+
 from tillworks.queries.spark_queries import BATCH_STARTS, CLOCK_TEXT, DELIVERY_DAY, HISTORY_ENDS
 
 TS = "'%Y-%m-%d %H:%M:%S'"
@@ -236,10 +238,9 @@ STEPS: dict[str, str] = {
         FROM (SELECT product_key, CAST(round(total_price * 100) AS HUGEINT) AS c FROM fact) AS f GROUP BY product_key""",
 }
 
-# Which steps each step reads, found from its text.
-def _needs(sql: str) -> list[str]:
-    import re
 
+def _needs(sql: str) -> list[str]:
+    """Steps a text reads from."""
     words = set(re.findall(r"\b(?:FROM|JOIN)\s+([a-z_]+)", sql))
     return [name for name in STEPS if name in words]
 
@@ -434,8 +435,7 @@ QUERIES: dict[str, str] = {
     "silver_overwrite_idempotent": f"SELECT {SALES}, year, month, day FROM landed_valid",
     "quarantine_roundtrip": f"""SELECT {SALES}, year, month, day, quarantine_reason FROM landed_tagged
         WHERE quarantine_reason IS NOT NULL""",
-    "fact_overwrite_idempotent": f"""SELECT {FACT}, strftime(arrived, '%Y') AS year, strftime(arrived, '%m') AS month,
-        strftime(arrived, '%d') AS day FROM landed_fact""",
+    "fact_overwrite_idempotent": f"SELECT {FACT}, year, month, day FROM landed_fact",
     "decode_messages": f"""SELECT {', '.join(_message_value(c) for c in MESSAGE_FIELDS.split(', '))},
         {', '.join(_message_value(c) for c in ('quantity', 'unit_price', 'total_price'))},
         CASE WHEN {CUT_OFF} THEN NULL ELSE strftime(sale_ts, {TS}) END AS sale_ts, {CUT_OFF} AS malformed
