@@ -494,40 +494,44 @@ def partition_from_path(spark, sf_dir):
     return lines.groupBy(*DAY_COLUMNS).agg(F.count("*").alias("lines"))
 
 
-def _silver_lake(spark: SparkSession, sf_dir: str, times: int = 1) -> tuple[str, str]:
-    """Silver and quarantine by ingestion day, written ``times`` times over."""
-    layout = Layout(work_dir(spark, "silver_lake"))
+def _tagged_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines, typed and tagged, with the day they were landed on."""
     lines = bronze.scan_bronze(spark, _landed(spark, sf_dir))
-    tagged = stored(tagged_lines(lines, processed_at=_clock(), carry=DAY_COLUMNS), "tagged")
-    valid, quarantined = quality.split(tagged)
+    return tagged_lines(lines, processed_at=_clock(), carry=DAY_COLUMNS)
+
+
+def _silver_lake(spark: SparkSession, sf_dir: str, times: int = 1) -> str:
+    """Silver by ingestion day, written ``times`` times over."""
+    root = Layout(work_dir(spark, "silver_lake")).silver
+    valid = quality.valid(_tagged_by_day(spark, sf_dir))
     for _ in range(times):
-        lake.overwrite_days(valid, layout.silver)
-        lake.overwrite_days(quarantined, layout.quarantine, partitions=(quality.REASON,))
-    return layout.silver, layout.quarantine
+        lake.overwrite_days(valid, root)
+    return root
 
 
 @query("silver_day_scan")
 def silver_day_scan(spark, sf_dir):
-    silver, _ = _silver_lake(spark, sf_dir)
+    silver = _silver_lake(spark, sf_dir)
     return _texts(lake.scan_days(spark, silver, SILVER, DELIVERY_DAY).drop("processed_at"))
 
 
 @query("silver_overwrite_idempotent")
 def silver_overwrite_idempotent(spark, sf_dir):
-    silver, _ = _silver_lake(spark, sf_dir, times=2)
+    silver = _silver_lake(spark, sf_dir, times=2)
     return _texts(lake.scan_days(spark, silver, SILVER).drop("processed_at"))
 
 
 @query("quarantine_roundtrip")
 def quarantine_roundtrip(spark, sf_dir):
-    _, quarantine = _silver_lake(spark, sf_dir)
-    rows = lake.scan_days(spark, quarantine, QUARANTINE, partitions=(quality.REASON,))
+    root = Layout(work_dir(spark, "quarantine_lake")).quarantine
+    lake.overwrite_days(quality.quarantined(_tagged_by_day(spark, sf_dir)), root, partitions=(quality.REASON,))
+    rows = lake.scan_days(spark, root, QUARANTINE, partitions=(quality.REASON,))
     return _texts(rows.drop("processed_at"))
 
 
 @query("fact_overwrite_idempotent")
 def fact_overwrite_idempotent(spark, sf_dir):
-    silver, _ = _silver_lake(spark, sf_dir)
+    silver = _silver_lake(spark, sf_dir)
     root = Layout(work_dir(spark, "fact_lake")).fact
     fact = star.fact_sales(lake.scan_days(spark, silver, SILVER), carry=DAY_COLUMNS)
     lake.overwrite_days(fact, root)

@@ -24,14 +24,16 @@ def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sales line per lineitem, typed, with the faults in place.
 
     Customers are joined to orders before the lines are, so that the segment
-    travels with one row per order instead of one per line.
+    travels with one row per order instead of one per line. Lines and orders both
+    grow with the data, so they are merged, never broadcast; of an inner join's
+    size Spark knows so little that it would take the lines for the small side.
     """
     orders = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
     lines = (
         table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
