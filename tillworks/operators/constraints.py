@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks import functions as fn
+from tillworks.operators.merge import absent_from
 from tillworks.schemas import TableSpec
 
 KEY_SEPARATOR = "/"
@@ -89,7 +90,7 @@ def foreign_key_orphans(fact: DataFrame, dims: dict[str, DataFrame], references:
             F.lit(f"fk:{key}").alias("constraint_name"), F.col(key).cast("string").alias("missing_key")
         )
         known = members if known is None else known.unionByName(members)
-    return used.join(known, ["constraint_name", "missing_key"], "left_anti")
+    return absent_from(used, known, ["constraint_name", "missing_key"])
 
 
 def foreign_key_accepted(fact: DataFrame, dims: dict[str, DataFrame], references: dict[str, str]) -> DataFrame:

@@ -47,6 +47,16 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = SAL
     return one_per_key(df, keys, order)
 
 
+def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key the target does not have.
+
+    Written as an outer join: Spark would push an anti join below the aggregate
+    that made the rows distinct, and match every raw line instead of every key.
+    """
+    known = target.select(*keys, F.lit(True).alias("_known"))
+    return rows.join(known, list(keys), "left").where(F.col("_known").isNull()).select(*rows.columns)
+
+
 def _merged_columns(target_columns: Sequence[str], staging_columns: Sequence[str], keys, update) -> list[Column]:
     """Output columns over a join of ``old`` and ``new`` row structs (NULL struct = absent).
 
@@ -74,6 +84,7 @@ def upsert(
     order: Sequence[str] = SALES_ORDER,
     on_duplicate: str = "resolve",
     small_batch: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Target rows after merging a batch on ``keys``.
 
@@ -84,12 +95,13 @@ def upsert(
     The default joins both sides once, full outer. ``small_batch=True`` is for a
     batch whose stored size was checked against the broadcast bound: it is then
     written so that Spark can broadcast the batch and leave the target in place.
+    ``unique=True`` says the batch holds each key once and spares the check.
     """
     keys = list(keys)
     columns = target.columns
     rest = [c for c in columns if c not in keys]
     update = set(rest if update is None else update)
-    batch = one_per_key(staging, keys, order, on_duplicate=on_duplicate)
+    batch = staging if unique else one_per_key(staging, keys, order, on_duplicate=on_duplicate)
     given = [c for c in rest if c in batch.columns]
     # The flag keeps the structs non-NULL even when no other column is given.
     old = target.select(*keys, F.struct(F.lit(True).alias("_present"), *rest).alias("old"))
@@ -99,7 +111,7 @@ def upsert(
         return old.join(new, keys, "full_outer").select(*out)
     kept_or_updated = old.join(new, keys, "left").select(*out)
     matched = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
-    fresh = batch.join(matched, keys, "left_anti")
+    fresh = absent_from(batch, matched, keys)
     added = fresh.select(
         *[F.col(c) if c in fresh.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in columns]
     )
@@ -111,12 +123,18 @@ def insert_absent(
     staging: DataFrame,
     keys: Sequence[str],
     order: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
-    """Target rows untouched, plus the batch rows whose key is new (one per key)."""
+    """Target rows untouched, plus the batch rows whose key is new.
+
+    Of several batch rows for one key the first in ``order`` is taken;
+    ``unique=True`` says there are none and spares the check.
+    """
     keys = list(keys)
-    batch = one_per_key(staging.select(*target.columns), keys, order, pick="first")
-    fresh = batch.join(target.select(*keys), keys, "left_anti").select(*target.columns)
-    return target.unionByName(fresh)
+    batch = staging.select(*target.columns)
+    if not unique:
+        batch = one_per_key(batch, keys, order, pick="first")
+    return target.unionByName(absent_from(batch, target, keys))
 
 
 def assign_key(rows: DataFrame, target: DataFrame, key: str = "sale_key") -> DataFrame:

@@ -70,8 +70,9 @@ def _product_of(source: str) -> str:
     return f"""
         SELECT md5(product_id) AS product_key, product_id, product_name, product_category
         FROM (SELECT *, row_number() OVER (PARTITION BY product_id
-                ORDER BY product_name DESC NULLS LAST, product_category DESC NULLS LAST) AS pick
-              FROM (SELECT DISTINCT product_id, product_name, product_category FROM {source}) AS d) AS r
+                ORDER BY lines DESC, product_name DESC NULLS LAST, product_category DESC NULLS LAST) AS pick
+              FROM (SELECT product_id, product_name, product_category, count(*) AS lines FROM {source}
+                    GROUP BY product_id, product_name, product_category) AS d) AS r
         WHERE pick = 1"""
 
 

@@ -268,7 +268,7 @@ def dim_date_insert_absent(spark, sf_dir):
     """Add the days on which goods were shipped to the days on which they were ordered."""
     known = star.date_dim_covering(table(spark, sf_dir, "orders"), "o_orderdate")
     more = star.date_dim_covering(table(spark, sf_dir, "lineitem"), "l_shipdate")
-    return _texts(merge.insert_absent(known, more, ["date_key"]))
+    return _texts(merge.insert_absent(known, more, ["date_key"], unique=True))
 
 
 @query("fact_sales_build")
@@ -324,7 +324,7 @@ def upsert_fact(spark, sf_dir):
 @query("upsert_dim_product")
 def upsert_dim_product(spark, sf_dir):
     history, batch = (star.dim_product(side) for side in _history_and_batch(spark, sf_dir))
-    return merge.upsert(history, batch, ["product_key"], PRODUCT_UPDATES, order=())
+    return merge.upsert(history, batch, ["product_key"], PRODUCT_UPDATES, unique=True)
 
 
 @query("upsert_null_overwrite")
@@ -346,7 +346,7 @@ def upsert_idempotent(spark, sf_dir):
 def _insert_absent(build, key):
     def run(spark, sf_dir):
         history, batch = (build(side) for side in _history_and_batch(spark, sf_dir))
-        return merge.insert_absent(history, batch, [key])
+        return merge.insert_absent(history, batch, [key], unique=True)
 
     return run
 

@@ -68,7 +68,7 @@ def merge_table(
         return []
 
     target = table.where(F.col(PERIOD).isin(touched)).select(*schema.names)
-    merged = upsert(target, staged, keys, update, order, small_batch=small)
+    merged = upsert(target, staged, keys, update, small_batch=small, unique=True)
     if serial:
         merged = assign_key(merged, table, serial)
     pending = _pending(root)
