@@ -26,7 +26,7 @@ from tillworks.session import prepare, stored, stored_bytes, work_dir
 from tillworks.sources import bronze, lake
 from tillworks.sources.tables import messages, raw_lines, sales_events, table
 from tillworks.streaming.bronze_stream import run_bronze_stream
-from tillworks.streaming.dedupe import drop_replays
+from tillworks.streaming.dedupe import drop_replays, state_partitions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -670,7 +670,9 @@ def stream_dedupe(spark, sf_dir):
         arriving = ingest.stamp(ingest.decode(bronze.landing_stream(spark, landing)))
         unique = drop_replays(arriving.select(*REQUIRED_FIELDS, "ingested_at"), REQUIRED_FIELDS)
         writer = unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
-        writer.trigger(availableNow=True).start().awaitTermination()
+        with state_partitions(spark, stored_bytes(spark, landing)):
+            running = writer.trigger(availableNow=True).start()
+        running.awaitTermination()
 
     for _ in range(2):
         _drop_files(lines, landing)
