@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as registry
+from tillworks.queries.oracle_sql import oracle_sql
+from tillworks.queries.spark_queries import QUERIES
 from check import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -13,7 +15,7 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows_as_sql(spark, connection, name):
     assert difference(spark, connection, name, SF_DIR) is None
 
