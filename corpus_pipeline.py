@@ -8,13 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
 from tillworks.functions import with_computed
-from tillworks.llm import compression_classifier, minhash, quality_rules
+from tillworks.llm import compression_classifier, entropy_mix, minhash, quality_rules, sentence_pieces
 from tillworks.session import stored
 
 #: No stage's decisions can be written in SQL as a whole; tests compare with plain Python instead.
 ORACLE_SQL = None
 LEAST_SCORE = 0.5
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +38,26 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__lw_id")), "left_semi")
 
 
-STAGES = [("quality classifier", quality_classifier), ("quality rules", rules), ("minhash near-dedup", near_dedup)]
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, so a source's words come near its target."""
+    dealt = entropy_mix.mix(docs).where("copies > 0").select(F.col("doc_id").alias("__lw_id"), F.col("copies").alias("__lw_copies"))
+    taken = docs.join(dealt, F.col("doc_id").eqNullSafe(F.col("__lw_id")))
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__lw_copies"))).alias("__lw_copy")).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number of ids, hash of the ids and hash of the decoded text of each document."""
+    digest = sentence_pieces.round_trip_digest(F.col("text"), PIECE_MODEL)
+    return docs.select("doc_id", "source", digest.alias("d")).select("doc_id", "source", "d.*")
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("quality rules", rules),
+    ("minhash near-dedup", near_dedup),
+    ("entropy mix", source_mix),
+    ("sentence pieces", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

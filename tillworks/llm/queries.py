@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import compression_classifier, minhash, quality_rules
+import public_tokenizers
+from tillworks.llm import compression_classifier, entropy_mix, minhash, quality_rules, sentence_pieces
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +33,26 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = entropy_mix.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), "copies"
+    )
+
+
+def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return documents.select("doc_id", sentence_pieces.round_trip_digest(F.col("text"), PIECE_MODEL).alias("d")).select("doc_id", "d.*")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_table(spark, sf_dir, "documents"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select("doc_id", *[F.col("quality")[name].alias(name) for name in names])
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_near_dedup, op4_quality_classifier, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (op3_minhash_near_dedup, op4_quality_classifier, op5_entropy_mix, op9_sentence_pieces, op10_quality_rules)
+}
 ORACLE_SQL: dict[str, str] = {}
