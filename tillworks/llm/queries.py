@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tillworks.llm import compression_classifier, entropy_mix, minhash, quality_rules, sentence_pieces
+from tillworks.llm import compression_classifier, entropy_mix, lattice_lm, minhash, quality_rules, sentence_pieces
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -40,6 +40,13 @@ def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    held_out = _remainder("doc_id", 7) == 2
+    model = lattice_lm.fit(documents, PIECE_MODEL, ~held_out)
+    return lattice_lm.score(documents, model, carry=(held_out.alias("held_out"),))
+
+
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return documents.select("doc_id", sentence_pieces.round_trip_digest(F.col("text"), PIECE_MODEL).alias("d")).select("doc_id", "d.*")
@@ -53,6 +60,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_minhash_near_dedup, op4_quality_classifier, op5_entropy_mix, op9_sentence_pieces, op10_quality_rules)
+    for f in (op3_minhash_near_dedup, op4_quality_classifier, op5_entropy_mix, op7_lattice_lm, op9_sentence_pieces, op10_quality_rules)
 }
 ORACLE_SQL: dict[str, str] = {}
