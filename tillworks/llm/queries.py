@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tillworks.llm import compression_classifier, entropy_mix, lattice_lm, minhash, quality_rules, sentence_pieces
+from tillworks.llm import compression_classifier, entropy_mix, lattice_lm, minhash, quality_rules, sentence_pieces, token_records
+from tillworks.session import work_dir
 
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -20,6 +22,12 @@ def _remainder(doc_id: str, of: int):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % of
 
 
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "token-records")
+    token_records.write(_table(spark, sf_dir, "documents"), path, BYTE_TOKENIZER)
+    return token_records.digest(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32", "shard")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -60,6 +68,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_minhash_near_dedup, op4_quality_classifier, op5_entropy_mix, op7_lattice_lm, op9_sentence_pieces, op10_quality_rules)
+    for f in (op1_token_records, op3_minhash_near_dedup, op4_quality_classifier, op5_entropy_mix, op7_lattice_lm, op9_sentence_pieces, op10_quality_rules)
 }
 ORACLE_SQL: dict[str, str] = {}
