@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tillworks.llm import compression_classifier, entropy_mix, lattice_lm, minhash, quality_rules, sentence_pieces, token_records
+from tillworks.llm import compression_classifier, entropy_mix, lattice_lm, minhash, quality_rules, sentence_pieces, shard_table, token_records, url_templates
 from tillworks.session import work_dir
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +48,14 @@ def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SHARDS = [f"shard-{k:03d}" for k in range(256)]
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_table.place(_table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+    return placed.select("doc_id", "slot", "shard")
+
+
 def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     held_out = _remainder("doc_id", 7) == 2
@@ -55,6 +63,19 @@ def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(documents, model, carry=(held_out.alias("held_out"),))
 
 
+URL_RULES = {  # fixed values of the task
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return documents.select("doc_id", sentence_pieces.round_trip_digest(F.col("text"), PIECE_MODEL).alias("d")).select("doc_id", "d.*")
@@ -68,6 +89,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_records, op3_minhash_near_dedup, op4_quality_classifier, op5_entropy_mix, op7_lattice_lm, op9_sentence_pieces, op10_quality_rules)
+    for f in (op1_token_records, op3_minhash_near_dedup, op4_quality_classifier, op5_entropy_mix, op6_sharding, op7_lattice_lm, op8_url_filters, op9_sentence_pieces, op10_quality_rules)
 }
 ORACLE_SQL: dict[str, str] = {}
