@@ -6,8 +6,9 @@ compared first and their full sets decide. Components come from alternating larg
 
 Candidates are taken in two steps. First each node meets one centre per shared band, of which the
 ``FIRST_CENTRES`` most alike are verified: that joins most of a group with few pairs. Then every band
-whose nodes are still in several components is compared block by block, all its pairs across
-components, so nothing is left out and a group is never expanded within a component.
+whose nodes are still in several components is compared, all its pairs across components, so nothing
+is left out and a group is never expanded within a component. Bands of up to ``FEW_NODES`` nodes give
+candidate pairs to verify; in larger ones the full sets come along, block by block, and only links leave.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ SIMILAR = (75, 100)
 HASHES = 200
 BAND_ROWS = 5  # 40 bands: a pair of similarity 0.75 shares none of them once in 50,000 times
 FIRST_CENTRES = 2
-BLOCK_NODES = 1024
+FEW_NODES = 64
+BLOCK_NODES = 512
 #: A signature of 200 minima estimates 0.75 as less than 0.60 about once in two million times.
 LEAST_ESTIMATE = 0.60
 
@@ -117,21 +119,22 @@ def _estimate(left: pa.Array, right: pa.Array) -> pa.Array:
 def _similar(similar: tuple[int, int]):
     @F.arrow_udf(T.BooleanType())
     def decide(left: pa.Array, right: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(left, right):
-            a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            small, large = (a, b) if len(a) <= len(b) else (b, a)
-            if similar[1] * len(small) < similar[0] * len(large):
-                out.append(False)
-                continue
-            at = np.searchsorted(large, small)
-            common = int(np.count_nonzero(large[np.minimum(at, len(large) - 1)] == small))
-            out.append(similar[1] * common >= similar[0] * (len(a) + len(b) - common))
-        return pa.array(out, pa.bool_())
+        pairs = ((np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(left, right))
+        return pa.array([alike(a, b, similar) for a, b in pairs], pa.bool_())
 
     return decide
 
 
+def alike(a: np.ndarray, b: np.ndarray, similar: tuple[int, int]) -> bool:
+    """Whether enough of the union of two sorted sets is common to both."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    if similar[1] * len(small) < similar[0] * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    common = int(np.count_nonzero(large[np.minimum(at, len(large) - 1)] == small))
+    return similar[1] * common >= similar[0] * (len(a) + len(b) - common)
+
+
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -180,57 +183,94 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield held
 
 
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across components whose signatures are alike, for each pair of blocks of a bucket."""
-    found: list[np.ndarray] = []
-    for group in _groups(batches, ["key", "i", "j"]):
-        node, part, block = (group.column(c).to_numpy() for c in ("node", "component", "block"))
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        signatures = np.frombuffer(b"".join(group.column("minima").to_pylist()), np.uint8).reshape(-1, HASHES)
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        for k in left:
-            other = right[(part[right] != part[k]) & ((node[right] > node[k]) if i == j else True)]
+def _signatures(group: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(group.column("minima").to_pylist()), np.uint8).reshape(-1, HASHES)
+
+
+def _few_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs across components, within small buckets, whose signatures are alike."""
+    found: list[tuple[int, int]] = []
+    for group in _groups(batches, ["key"]):
+        node, part = (group.column(c).to_numpy() for c in ("node", "component"))
+        signatures = _signatures(group)
+        for k in range(len(node)):
+            other = np.flatnonzero((part != part[k]) & (node > node[k]))
             like = other[(signatures[other] == signatures[k]).mean(1) >= LEAST_ESTIMATE] if len(other) else other
-            if len(like):
-                found.append(np.column_stack([np.minimum(node[k], node[like]), np.maximum(node[k], node[like])]))
-        if sum(map(len, found)) > 10_000:
-            yield _pairs_batch(found)
+            found += [(int(node[k]), int(node[x])) for x in like]
+        if len(found) > 10_000:
+            yield _pairs_batch(found, "a", "b")
             found = []
-    if found:
-        yield _pairs_batch(found)
+    yield _pairs_batch(found, "a", "b")
 
 
-def _pairs_batch(found: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.concatenate(found)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+def _pairs_batch(found: list[tuple[int, int]], *names: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], list(names))
 
 
-def _remaining_pairs(members: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
-    """All pairs across components, within buckets that hold several, whose signatures are alike."""
+def _block_links(similar: tuple[int, int]):
+    """Links across components between two blocks of a large bucket, as many as it takes to join what they join."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ["key", "i", "j"]):
+            node, part, block = (group.column(c).to_numpy() for c in ("node", "component", "block"))
+            key, i, j = (group.column(c)[0].as_py() for c in ("key", "i", "j"))
+            signatures = _signatures(group)
+            bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in group.column("shingles").chunks for x in c]
+            sizes = np.array([len(x) for x in sets])
+            part = part.copy()
+            found = []
+            right = np.flatnonzero(block == j)
+            for k in np.flatnonzero(block == i):
+                other = right[(part[right] != part[k]) & ((node[right] > node[k]) if i == j else True)]
+                lower, upper = np.minimum(sizes[other], sizes[k]), np.maximum(sizes[other], sizes[k])
+                other = other[similar[1] * lower >= similar[0] * upper]
+                if not len(other):
+                    continue
+                other = other[(signatures[other] == signatures[k]).mean(1) >= LEAST_ESTIMATE]
+                shared = bands[other] == bands[k]  # a pair is looked at in the first of the bands that it shares
+                other = other[bands[k][shared.argmax(1)] == key] if len(other) else other
+                for x in other:
+                    if part[x] != part[k] and alike(sets[x], sets[k], similar):
+                        found.append((int(node[k]), int(node[x])))
+                        part[part == part[x]] = part[k]
+            if found:
+                yield _pairs_batch(found, "u", "v")
+
+    return links
+
+
+def _remaining_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, parts: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Links across components within buckets that hold several; every such pair is looked at."""
     placed = stored(
         members.select("key", "node").join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")),
         "minhash-placed",
     )
-    buckets = (
+    mark = F.sum(F.xxhash64("node").cast("decimal(20,0)"))
+    buckets = stored(
         placed.groupBy("key")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("mark"),
-        )
-        .where("low <> high")
-        .groupBy("n", "mark", "low", "high")  # bands often hold the same nodes: once is enough
-        .agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("n") / BLOCK_NODES).cast("int").alias("blocks"))
+        .agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), mark.alias("mark"))
+        .where("low <> high"),
+        "minhash-buckets",
     )
-    rows = placed.join(buckets, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    rows = rows.join(nodes.select("node", "minima"), "node").select(
-        "key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "component", "minima"
+    # small bands often hold the same nodes: once is enough
+    few = buckets.where(F.col("n") <= FEW_NODES).groupBy("n", "mark", "low", "high").agg(F.min("key").alias("key")).select("key")
+    rows = placed.join(few, "key").join(nodes.select("node", "minima"), "node")
+    pairs = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_few_pairs, "a bigint, b bigint").distinct()
+
+    many = buckets.where(F.col("n") > FEW_NODES).select("key", F.ceil(F.col("n") / BLOCK_NODES).cast("int").alias("blocks"))
+    rows = (
+        placed.join(many, "key")
+        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        .join(nodes.select("node", "minima", "bands"), "node")
+        .join(sets, "node")
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+        .withColumns({"i": F.least("block", "with"), "j": F.greatest("block", "with")})
+        .drop("blocks", "with")
     )
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(_block_pairs, "a bigint, b bigint").distinct()
+    links = stored(dealt.mapInArrow(_block_links(similar), "u bigint, v bigint"), "minhash-links")
+    return _verified(pairs, sets, similar).union(links)
 
 
 def near_duplicates(
@@ -277,7 +317,7 @@ def near_duplicates(
     )
     first = _verified(_first_pairs(members, nodes), sets, similar)
     parts = components(first)
-    rest = _verified(_remaining_pairs(members, nodes, parts), sets, similar)
+    rest = _remaining_links(members, nodes, sets, parts, similar)
     parts = components(rest.union(parts.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
     placed = rows.select("doc_id", "n_shingles", "node").join(parts, "node", "left")
