@@ -48,7 +48,8 @@ def test_two_days_end_to_end(spark, sale, tmp_path):
     rows = {r.transaction_id: r for r in facts.collect()}
     assert sorted(rows) == ["t1", "t2"]  # t3 has no payment method, t4 lies before the calendar
     assert len({r.sale_key for r in rows.values()}) == 2
-    assert [r.transaction_id for r in s2g.gold_rejects(spark, layout, one).collect()] == ["t3"]
+    refused = {r.transaction_id: r.broken_constraint for day in (one, two) for r in s2g.gold_rejects(spark, layout, day).collect()}
+    assert refused == {"t3": "not_null:payment_method_key", "t4": "fk:date_key"}
     joined = {r.transaction_id: r for r in star.star_join(facts, s2g.dimensions(spark, layout)).collect()}
     assert (joined["t1"].store_id, joined["t2"].store_id, joined["t2"].product_name) == ("SOUTH_02", "NORTH_01", "Oat Milk")
 
@@ -63,3 +64,33 @@ def test_backfill_equals_day_by_day(spark, sale, tmp_path):
     b2s.bronze_to_silver_days(spark, layout)
     assert lake.scan_days(spark, layout.silver, SILVER).count() == 3
     assert lake.scan_days(spark, layout.quarantine, QUARANTINE, partitions=("quarantine_reason",)).count() == 3
+
+
+def test_every_sale_is_served_or_refused(spark, sale, tmp_path):
+    layout, day = Layout(str(tmp_path)), date(2026, 1, 22)
+    line = lambda **c: {**sale.sound, **c}
+    land(spark, layout, day, [
+        line(),
+        line(transaction_id="long", product_id="p2", product_name="x" * 101),
+        line(transaction_id="dear", unit_price="200000000", total_price="400000000"),
+        line(transaction_id="early", timestamp="2001-01-01T00:00:00+00:00"),
+        line(transaction_id="unpaid", payment_method=None),
+    ], "b1")
+    s2g.load_dates(spark, layout)
+    assert b2s.bronze_to_silver(spark, layout, day)["valid_rows"] == 5
+    served = b2s.serve_silver(spark, layout, day)
+    assert (served.merged, served.rejected) == (3, 2)
+    refused = spark.read.parquet(layout.rejects("sales_silver"))
+    assert {r.transaction_id: r.broken_constraint for r in refused.collect()} == {
+        "long": "varchar:product_name", "dear": "decimal:unit_price",
+    }
+    s2g.silver_to_gold(spark, layout, day)
+    (member,) = spark.read.parquet(layout.rejects("dim_product")).collect()
+    assert (member.product_id, member.broken_constraint) == ("p2", "varchar:product_name")
+    gold = s2g.serve_gold(spark, layout, day)
+    assert (gold.merged, gold.rejected) == (2, 3)
+    facts = serving.read_table(spark, layout.serving("fact_sales"), FACT_SALES_SPEC.schema).collect()
+    assert sorted(r.transaction_id for r in facts) == ["long", "t1"]  # the member stays, without its name
+    assert {r.transaction_id: r.broken_constraint for r in s2g.gold_rejects(spark, layout, day).collect()} == {
+        "dear": "decimal:unit_price", "early": "fk:date_key", "unpaid": "not_null:payment_method_key",
+    }

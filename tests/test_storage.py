@@ -93,9 +93,9 @@ def test_broken_off_replacement_is_completed(spark, tmp_path, monkeypatch):
         serving.merge_table(spark, root, first.schema, sales(spark, ("a", "1", 5, (2026, 2, 5))), ["id", "p"])
     monkeypatch.setattr(serving, "finish_pending", real)
     assert content(spark, root, first.schema) == [("a", 1, "202601")]
-    assert real(spark, root, first.schema)
+    assert real(spark, root)
     assert content(spark, root, first.schema) == [("a", 5, "202602")]
-    assert not real(spark, root, first.schema)
+    assert not real(spark, root)
 
 
 def test_serial_numbers_survive_merges(spark, tmp_path):
@@ -110,6 +110,46 @@ def test_serial_numbers_survive_merges(spark, tmp_path):
     assert {k: after[k] for k in before} == before and after["c"] > max(before.values())
 
 
+def test_a_half_moved_replacement_goes_on(spark, tmp_path):
+    root = str(tmp_path / "fact")
+    first = sales(spark, ("a", "1", 1, (2026, 1, 5)), ("b", "1", 2, (2026, 2, 5)), ("e", "1", 2, (2026, 4, 5)))
+    serving.merge_table(spark, root, first.schema, first, ["id", "p"])
+    pending = tmp_path / "fact_pending"
+    # decided: January was moved already, February waits, April is to be emptied
+    new = sales(spark, ("b", "1", 7, (2026, 2, 5))).withColumn("sale_period", F.lit("202602"))
+    new.write.partitionBy("sale_period").parquet(str(pending / "rows"))
+    decided = [("202601", True), ("202602", True), ("202604", False)]
+    spark.createDataFrame(decided, "sale_period string, filled boolean").write.parquet(str(pending / "periods"))
+    assert serving.finish_pending(spark, root)
+    assert content(spark, root, first.schema) == [("a", 1, "202601"), ("b", 7, "202602")]
+
+
+def test_day_scan_lists_its_day_alone(spark, tmp_path):
+    df = spark.createDataFrame([("a",)], "id string")
+    for day in range(1, 13):
+        lake.write_day(df, str(tmp_path), DAY.replace(day=day))
+    assert len(lake.scan_days(spark, str(tmp_path), df.schema).inputFiles()) == 12
+    one = lake.scan_days(spark, str(tmp_path), df.schema, DAY.replace(day=3))
+    assert len(one.inputFiles()) == 1 and one.first().day == "03"
+    absent = lake.scan_days(spark, str(tmp_path), df.schema, DAY.replace(year=1999))
+    assert absent.count() == 0 and absent.columns == one.columns
+
+
+def test_day_files_do_not_follow_the_tasks(spark, tmp_path):
+    rows = spark.range(4000).select("id", (F.col("id") % 8).cast("string").alias("reason")).repartition(64)
+    lake.write_day(rows, str(tmp_path), DAY, ("reason",))
+    assert len(list(tmp_path.rglob("*.parquet"))) <= 16
+
+
+def test_staged_rows_go_with_their_block(spark):
+    with session.staged(spark.range(3), "block") as rows:
+        folder = rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert rows.count() == 3
+    import os
+
+    assert not os.path.exists(folder)
+
+
 def test_work_folder_and_sizes(spark, tmp_path, monkeypatch):
     assert session.work_root(spark) == session.work_root(spark)
     assert session.shuffle_partitions(10**12) == 7451

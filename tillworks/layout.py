@@ -72,5 +72,9 @@ class Layout:
     def serving(self, name: str) -> str:
         return self._under(f"serving/{name}")
 
+    def rejects(self, name: str) -> str:
+        """Rows a serving table or dimension refused, by day, with the constraint they break."""
+        return self._under(f"rejects/{name}")
+
     def checkpoint(self, name: str) -> str:
         return self._under(f"checkpoints/{name}")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks import functions as fn
+from tillworks.functions import with_computed
 from tillworks.operators.merge import absent_from
 from tillworks.schemas import TableSpec
 
@@ -101,17 +102,43 @@ def foreign_key_accepted(fact: DataFrame, dims: dict[str, DataFrame], references
     return rows.select(*fact.columns)
 
 
-def acceptable(df: DataFrame, spec: TableSpec) -> Column:
-    """Whether a row meets the table's per-row constraints (columns the rows lack are not checked)."""
-    checks = [F.col(c).isNotNull() for c in spec.not_null if c in df.columns]
-    checks += [F.coalesce(F.length(c) <= n, F.lit(True)) for c, n in spec.max_length.items() if c in df.columns]
+BROKEN = "broken_constraint"
+
+
+def first_broken(df: DataFrame, spec: TableSpec) -> Column:
+    """Name of the first per-row constraint that a row breaks, NULL for none (columns the rows lack are not checked)."""
+    checks = [(f"not_null:{c}", F.col(c).isNull()) for c in spec.not_null if c in df.columns]
+    checks += [(f"varchar:{c}", F.length(c) > n) for c, n in spec.max_length.items() if c in df.columns]
     checks += [
-        F.col(c).isNull() | fn.serving_money(F.col(c)).isNotNull() for c in spec.money if c in df.columns
+        (f"decimal:{c}", F.col(c).isNotNull() & fn.serving_money(F.col(c)).isNull()) for c in spec.money if c in df.columns
     ]
-    verdict = F.lit(True)
-    for check in checks:
-        verdict = verdict & check
-    return verdict
+    return F.coalesce(*[F.when(bad, F.lit(name)) for name, bad in checks], F.lit(None).cast("string"))
+
+
+def acceptable(df: DataFrame, spec: TableSpec) -> Column:
+    """Whether a row meets the table's per-row constraints (columns the rows lack are not checked)."""
+    return first_broken(df, spec).isNull()
+
+
+def with_broken(df: DataFrame, spec: TableSpec, dims: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Add the first constraint each row breaks: its own ones, then, given the dimensions, its references.
+
+    Every row comes back once: references are left joins to keys that are unique in their dimension.
+    """
+    broken = first_broken(df, spec)
+    if dims is None:
+        return with_computed(df, BROKEN, broken)
+    rows, orphans = df, []
+    for key, name in spec.references.items():
+        known = f"_known_{key}"
+        rows = rows.join(dims[name].select(key, F.lit(True).alias(known)), key, "left")
+        orphans.append(F.when(F.col(known).isNull(), F.lit(f"fk:{key}")))
+    return with_computed(rows, BROKEN, F.coalesce(broken, *orphans)).select(*df.columns, BROKEN)
+
+
+def split_broken(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that break nothing, without the tag, and the others with it."""
+    return tagged.where(F.col(BROKEN).isNull()).drop(BROKEN), tagged.where(F.col(BROKEN).isNotNull())
 
 
 def with_defaults(df: DataFrame, clock: str = "processed_at") -> DataFrame:

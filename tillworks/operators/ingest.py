@@ -32,39 +32,47 @@ def message_text(df: DataFrame, value: str = "value") -> Column:
 
 
 def with_message(df: DataFrame, value: str = "value") -> DataFrame:
-    """Replace the source's value column by one line of JSON text per record.
+    """Replace the source's value column by its text as ``message``."""
+    return df.select(*[c for c in df.columns if c != value], F.rtrim(message_text(df, value)).alias(MESSAGE))
 
-    Line breaks can only stand between JSON tokens, where they carry no meaning,
-    but would split a record over two lines of the bronze files. Most messages
-    have none and pass through as they are.
-    """
-    text = F.rtrim(message_text(df, value))
-    is_line = text.endswith("}") & ~text.contains("\n") & ~text.contains("\r")
-    line = F.when(is_line, text).otherwise(F.rtrim(F.regexp_replace(text, r"[\r\n\t]+", " ")))
-    return df.select(*[c for c in df.columns if c != value], line.alias(MESSAGE))
+
+#: How every message and bronze line is read: JSON as its standard has it.
+STRICT_JSON = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT_FIELD,
+    "allowSingleQuotes": "false",
+    "allowUnquotedControlChars": "false",
+}
 
 
 def decode(df: DataFrame, value: str = "value") -> DataFrame:
     """Parse JSON messages into the raw text fields plus the unreadable text, if any."""
-    parsed = F.from_json(
-        message_text(df, value), RAW_WITH_CORRUPT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_FIELD}
-    )
+    parsed = F.from_json(message_text(df, value), RAW_WITH_CORRUPT, STRICT_JSON)
     others = [c for c in df.columns if c != value]
     return df.select(*others, parsed.alias("record")).select(*others, "record.*")
 
 
 def with_missing_fields(df: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
-    """Add the sorted required fields a message lacks; NULL when it is not a JSON object.
+    """Add the sorted required fields a message lacks; NULL when it is not one JSON object.
 
-    Only presence counts: a field holding JSON null is present.
+    Only presence counts: a field holding JSON null is present. The untouched
+    text is parsed with the bronze scan's options, so nothing is accepted that
+    could not be read back. Line breaks then stand only between JSON tokens,
+    where they carry no meaning; accepted messages get spaces for them, as a
+    record is one line of the bronze files.
     """
     wanted = F.array(*[F.lit(name) for name in sorted(required)])
     message = F.col(MESSAGE)
     # json_object_keys reads the first value only; as the one element of an array
     # the whole text must hold up, which shows anything after the record.
     one_record = F.json_array_length(F.concat(F.lit("["), message, F.lit("]"))) == 1
-    keys = F.when(message.endswith("}") & one_record, F.json_object_keys(message))
-    return with_computed(df, MISSING, F.array_except(wanted, keys))
+    parsed = F.from_json(message, T.StructType([T.StructField(CORRUPT_FIELD, T.StringType())]), STRICT_JSON)
+    sound = message.startswith("{") & message.endswith("}") & one_record & parsed[CORRUPT_FIELD].isNull()
+    keys = F.when(sound, F.json_object_keys(message))
+    checked = with_computed(df, MISSING, F.array_except(wanted, keys))
+    breaks = message.contains("\n") | message.contains("\r")
+    line = F.when(F.col(MISSING).isNotNull() & breaks, F.regexp_replace(message, r"[\r\n]+", " ")).otherwise(message)
+    return checked.withColumn(MESSAGE, line)
 
 
 def accepted(df: DataFrame) -> DataFrame:
@@ -142,34 +150,16 @@ def late_arrivals(df: DataFrame, event_time: str, ingested_at: str = "ingested_a
 
 
 def repartition_by_basket(
-    df: DataFrame,
-    partitions: int,
-    basket: str = "transaction_id",
-    line: str = "product_id",
-    hot_lines: int = 10_000,
+    df: DataFrame, basket: str = "transaction_id", line: str = "product_id", spread: int = 1, partitions: int | None = None
 ) -> DataFrame:
     """Bring the lines of a basket together, as the stream's partition key does.
 
     Rows without a basket belong together with nobody and are spread by their
-    content. A basket of more than ``hot_lines`` lines would overload one task:
-    it is spread by line identity instead, which still keeps repeats of one
-    line together.
+    content. ``spread`` is the number of partitions every basket may take, by
+    line identity; with 1, a basket stays whole. Without ``partitions`` the
+    session sizes the shuffle.
     """
-    hot = (
-        df.where(F.col(basket).isNotNull())
-        .groupBy(basket)
-        .agg(F.count("*").alias("_lines"))
-        .where(F.col("_lines") > hot_lines)
-        .select(basket, F.lit(True).alias("_hot"))
-    )
-    spread = (
-        F.when(F.col(basket).isNull(), F.xxhash64(*[c for c in df.columns]))
-        .when(F.col("_hot"), F.xxhash64(line))
-        .otherwise(F.lit(0).cast("bigint"))
-    )
-    return (
-        df.join(hot, basket, "left")
-        .withColumn("_spread", spread)
-        .repartition(partitions, basket, "_spread")
-        .select(*df.columns)
-    )
+    part = F.when(F.col(basket).isNull(), F.xxhash64(*df.columns)).otherwise(F.pmod(F.xxhash64(line), F.lit(spread)))
+    placed = df.withColumn("_part", part)
+    sized = placed.repartition(basket, "_part") if partitions is None else placed.repartition(partitions, basket, "_part")
+    return sized.drop("_part")

@@ -67,7 +67,7 @@ def demand_baseline(fact: DataFrame, weeks: int = 4) -> DataFrame:
     return daily.withColumn("expected_units", mean)
 
 
-def anomaly_flags(fact: DataFrame, threshold: float = 2.5, min_lines: int = 5) -> DataFrame:
+def anomaly_flags(fact: DataFrame, threshold: float = 2.5) -> DataFrame:
     """Lines whose value lies ``threshold`` standard deviations off its product's mean.
 
     Per product the exact count, sum and sum of squares of cents are aggregated
@@ -85,8 +85,7 @@ def anomaly_flags(fact: DataFrame, threshold: float = 2.5, min_lines: int = 5) -
     )
     n, s, q = F.col("_n"), F.col("_s"), F.col("_q")
     profile = (
-        moments.where(n >= min_lines)
-        .select("product_key", "_n", "_s", ((n * q).cast("decimal(38,0)") - (s * s).cast("decimal(38,0)")).alias("_spread"))
+        moments.select("product_key", "_n", "_s", ((n * q).cast("decimal(38,0)") - (s * s).cast("decimal(38,0)")).alias("_spread"))
         .where(F.col("_spread") > 0)
     )
     score = ((n * wide).cast("decimal(38,0)") - s).cast("double") / F.sqrt(F.col("_spread").cast("double"))

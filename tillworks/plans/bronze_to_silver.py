@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from tillworks.layout import Layout, day_predicate
+from tillworks.layout import Layout
 from tillworks.operators import cleanse, quality
-from tillworks.operators.constraints import acceptable, to_serving
-from tillworks.schemas import DAY_COLUMNS, SALES_SILVER_SPEC, SILVER
+from tillworks.operators.constraints import BROKEN, split_broken, to_serving, with_broken
+from tillworks.schemas import DAY_COLUMNS, SALES_SILVER_SPEC, SILVER, TableSpec
+from tillworks.session import staged
 from tillworks.sources.bronze import scan_bronze
 from tillworks.sources.lake import overwrite_days, scan_days, write_day
 from tillworks.sources.serving import merge_table
@@ -47,19 +49,16 @@ def bronze_to_silver(
 ) -> dict[str, int]:
     """Replace one day of silver and quarantine; returns the row counts.
 
-    Bronze is parsed once: the tagged rows are kept for the two writes, and the
-    counts are observed on the way.
+    Bronze is parsed once: the tagged rows go to the work folder for the two writes,
+    and the counts are observed on the way.
     """
     seen = Observation("bronze_to_silver")
     tagged = tagged_lines(scan_bronze(spark, layout.bronze, day), rules, processed_at)
-    kept = tagged.observe(seen, *quality.metric_columns()).persist()
-    try:
+    with staged(tagged.observe(seen, *quality.metric_columns()), "tagged") as kept:
         valid, quarantined = quality.split(kept)
         write_day(valid, layout.silver, day)
         write_day(quarantined, layout.quarantine, day, (quality.REASON,))
-        return dict(seen.get)
-    finally:
-        kept.unpersist()
+    return dict(seen.get)
 
 
 def bronze_to_silver_days(
@@ -69,29 +68,45 @@ def bronze_to_silver_days(
     rules: Sequence[quality.Rule] = quality.SALES_RULES,
     processed_at: Column | None = None,
 ) -> None:
-    """Backfill: all days of bronze (or the given ones) in one job per side."""
-    raw = scan_bronze(spark, layout.bronze)
-    if days:
-        raw = raw.where(reduce(lambda a, b: a | b, [day_predicate(d) for d in days]))
-    tagged = tagged_lines(raw, rules, processed_at, carry=DAY_COLUMNS).persist()
-    try:
+    """Backfill: all days of bronze (or the given ones) in one job per side.
+
+    The typed lines go to the work folder once and both sides are written from there.
+    """
+    raw = scan_bronze(spark, layout.bronze, days=days)
+    with staged(tagged_lines(raw, rules, processed_at, carry=DAY_COLUMNS), "tagged") as tagged:
         valid, quarantined = quality.split(tagged)
         overwrite_days(valid, layout.silver, days)
         overwrite_days(quarantined, layout.quarantine, days, (quality.REASON,))
-    finally:
-        tagged.unpersist()
 
 
-def serve_silver(spark: SparkSession, layout: Layout, day: date, grain: str = "day") -> list[str]:
-    """Merge one day of silver into the serving table; returns the periods rewritten."""
+class Served(NamedTuple):
+    """What a serving load did: periods rewritten, rows merged, rows refused (stored with their constraint)."""
+
+    periods: list[str]
+    merged: int
+    rejected: int
+
+
+def serve_silver(spark: SparkSession, layout: Layout, day: date, grain: str = "day") -> Served:
+    """Merge one day of silver into the serving table.
+
+    Rows that break a constraint are stored by day under ``layout.rejects("sales_silver")``.
+    """
     batch = scan_days(spark, layout.silver, SILVER, day).select(*SILVER.names)
-    rows = to_serving(batch.where(acceptable(batch, SALES_SILVER_SPEC)), SALES_SILVER_SPEC)
-    return merge_table(
-        spark,
-        layout.serving("sales_silver"),
-        SALES_SILVER_SPEC.schema,
-        rows,
-        SILVER_KEYS,
-        SILVER_UPDATES,
-        grain=grain,
+    return load_serving(
+        with_broken(batch, SALES_SILVER_SPEC), layout, SALES_SILVER_SPEC, day, SILVER_KEYS, SILVER_UPDATES, grain=grain
     )
+
+
+def load_serving(
+    tagged: DataFrame, layout: Layout, spec: TableSpec, day: date, keys: Sequence[str], update: Sequence[str], **options
+) -> Served:
+    """Merge the rows that break nothing and store the others, both from one evaluation of ``tagged``."""
+    with staged(tagged, "serving-batch") as rows:
+        good, refused = split_broken(rows)
+        write_day(refused, layout.rejects(spec.name), day)
+        counts = rows.agg(F.count_if(F.col(BROKEN).isNull()), F.count_if(F.col(BROKEN).isNotNull())).first()
+        periods = merge_table(
+            rows.sparkSession, layout.serving(spec.name), spec.schema, to_serving(good, spec), keys, update, **options
+        )
+    return Served(periods, *counts)

@@ -200,6 +200,16 @@ STEPS: dict[str, str] = {
     "history_fact": _fact_of("history"),
     "batch_fact": _fact_of("batch"),
     "tagged_fact": _fact_of("tagged"),
+    "unmoved": "SELECT * REPLACE (replace(store_id, 'MOVED ', '') AS store_id) FROM batch",
+    "unmoved_fact": _fact_of("unmoved"),
+    "renamed": """SELECT * REPLACE (CASE WHEN quantity % 7 = 0 THEN store_id ELSE replace(store_id, 'MOVED ', '') END AS store_id)
+        FROM batch""",
+    "renamed_fact": _fact_of("renamed"),
+    "moved": """SELECT * REPLACE (CASE WHEN quantity % 5 = 0 THEN date_trunc('day', sale_timestamp) + INTERVAL 1 MONTH
+        ELSE sale_timestamp END AS sale_timestamp) FROM batch""",
+    "moved_silver": _merged("history", "moved", ["transaction_id", "product_id"], SILVER_UPDATES, SILVER_KEPT),
+    "moved_batch_fact": _fact_of("moved"),
+    "moved_fact": _merged("history_fact", "moved_batch_fact", ["transaction_id", "product_key"], FACT_UPDATES, []),
     "merged_fact": _merged("history_fact", "batch_fact", ["transaction_id", "product_key"], FACT_UPDATES, []),
     "history_product": _product_of("history"),
     "batch_product": _product_of("batch"),
@@ -220,7 +230,7 @@ STEPS: dict[str, str] = {
                {_title('product_name')} AS product_name, upper(trim(category)) AS product_category,
                CAST(trunc(quantity) AS INTEGER) AS quantity, unit_price, total_price,
                upper(trim(store_id)) AS store_id, upper(trim(payment_method)) AS payment_method,
-               upper(trim(client_type)) AS client_type, CAST(sale_ts AS TIMESTAMP) AS sale_timestamp, {ARRIVAL_DAY}
+               upper(trim(client_type)) AS client_type, CAST(sale_ts AS TIMESTAMP) AS sale_timestamp, ship_ts, {ARRIVAL_DAY}
         FROM landed""",
     "landed_tagged": f"SELECT *, {_rule_case(SALES_RULES)} AS quarantine_reason FROM landed_typed",
     "landed_valid": "SELECT * FROM landed_tagged WHERE quarantine_reason IS NULL",
@@ -402,8 +412,47 @@ QUERIES: dict[str, str] = {
             _orphans("client_type_key", "history_client"),
         ]
     ),
-    "fk_accepted": f"""SELECT {FACT} FROM batch_fact
+    "assign_sale_key": """SELECT m.transaction_id, m.product_key, h.transaction_id IS NOT NULL AS kept,
+        h.transaction_id IS NULL AS new_and_above, CAST(1 AS BIGINT) AS rows_with_key
+        FROM merged_fact AS m LEFT JOIN history_fact AS h
+        ON m.transaction_id = h.transaction_id AND m.product_key = h.product_key""",
+    "serve_silver_rejects": f"""SELECT transaction_id, product_id,
+        CASE WHEN length(repeat(product_name, quantity)) > 100 THEN 'varchar:product_name'
+             WHEN {_rounded('total_price * 10000')} >= 100000000 THEN 'decimal:total_price' ELSE 'none' END AS broken_constraint
+        FROM silver""",
+    "serve_gold_rejects": """SELECT transaction_id, product_key,
+        CASE WHEN product_key NOT IN (SELECT product_key FROM history_product) THEN 'fk:product_key'
+             WHEN store_key NOT IN (SELECT store_key FROM history_store) THEN 'fk:store_key'
+             WHEN date_key NOT IN (SELECT date_key FROM history_dates) THEN 'fk:date_key'
+             WHEN payment_method_key NOT IN (SELECT payment_method_key FROM history_payment) THEN 'fk:payment_method_key'
+             WHEN client_type_key NOT IN (SELECT client_type_key FROM history_client) THEN 'fk:client_type_key'
+             ELSE 'none' END AS broken_constraint
+        FROM renamed_fact""",
+    "serving_merge_silver": f"""SELECT {SALES.replace(' unit_price, total_price,', '')},
+        strftime(sale_timestamp, '%Y%m') AS sale_period FROM moved_silver""",
+    "serving_merge_fact": f"""SELECT {FACT.replace(' unit_price, total_price,', '')},
+        strftime(sale_timestamp, '%Y%m') AS sale_period FROM moved_fact""",
+    "plan_silver_days": f"SELECT {SALES}, year, month, day, quarantine_reason FROM landed_tagged",
+    "plan_gold_days": _union(
+        [
+            f"""SELECT 'fact_sales' AS name, key, count(*) AS n FROM (SELECT CASE WHEN coalesce(sale_timestamp, ship_ts)
+                >= TIMESTAMP '{BATCH_STARTS} 00:00:00' THEN '19980702' ELSE '19980701' END AS key FROM landed_valid) AS d GROUP BY key""",
+            *[
+                f"SELECT 'dim_{name}' AS name, md5({natural}) AS key, CAST(1 AS BIGINT) AS n "
+                f"FROM (SELECT DISTINCT {natural} FROM landed_valid) AS {name}_members"
+                for name, natural in (
+                    ("product", "product_id"),
+                    ("store", "store_id"),
+                    ("payment_method", "payment_method"),
+                    ("client_type", "client_type"),
+                )
+            ],
+        ]
+    ),
+    "bronze_compact_day": f"SELECT {BRONZE}, strftime(arrived, {TS}) AS ingested_at, {ARRIVAL_DAY} FROM landed",
+    "fk_accepted": f"""SELECT {FACT} FROM (SELECT * FROM history_fact UNION ALL SELECT * FROM unmoved_fact) AS f
         WHERE product_key IN (SELECT product_key FROM history_product)
+          AND store_key IN (SELECT md5(store_id) FROM history WHERE NOT regexp_matches(store_id, '[05]$'))
           AND date_key IN (SELECT date_key FROM history_dates)
           AND payment_method_key IN (SELECT payment_method_key FROM history_payment)
           AND client_type_key IN (SELECT client_type_key FROM history_client)""",
@@ -481,7 +530,7 @@ QUERIES: dict[str, str] = {
                                 ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)""",
     "anomaly_flags": f"""SELECT * FROM (SELECT {FACT.replace('product_key', 'f.product_key AS product_key', 1)},
         CAST(n * CAST(round(total_price * 100) AS HUGEINT) - s AS DOUBLE) / sqrt(CAST(n * q - s * s AS DOUBLE)) AS z_score
-        FROM fact AS f JOIN moments AS m ON f.product_key = m.product_key WHERE n >= 5 AND n * q - s * s > 0) AS z
+        FROM fact AS f JOIN moments AS m ON f.product_key = m.product_key WHERE n * q - s * s > 0) AS z
         WHERE abs(z_score) > 2.5""",
 }
 

@@ -5,14 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillworks import functions as fn
 from tillworks.layout import Layout, day_from_path
 from tillworks.operators import constraints, ingest, insights, merge, quality, star
-from tillworks.plans.bronze_to_silver import SILVER_KEYS, SILVER_UPDATES, tagged_lines
-from tillworks.plans.silver_to_gold import FACT_KEYS, FACT_UPDATES, PRODUCT_UPDATES
+from tillworks.plans.bronze_to_silver import SILVER_KEYS, SILVER_UPDATES, bronze_to_silver, bronze_to_silver_days, serve_silver, tagged_lines
+from tillworks.plans.silver_to_gold import (
+    FACT_KEYS,
+    FACT_UPDATES,
+    PRODUCT_UPDATES,
+    dimensions,
+    gold_rejects,
+    serve_gold,
+    silver_to_gold,
+)
 from tillworks.schemas import (
     DAY_COLUMNS,
     FACT_SALES,
@@ -21,9 +29,10 @@ from tillworks.schemas import (
     REQUIRED_FIELDS,
     SALES_SILVER_SPEC,
     SILVER,
+    TABLE_SPECS,
 )
 from tillworks.session import prepare, stored, stored_bytes, work_dir
-from tillworks.sources import bronze, lake
+from tillworks.sources import bronze, lake, serving, snapshots
 from tillworks.sources.tables import messages, raw_lines, sales_events, table
 from tillworks.streaming.bronze_stream import run_bronze_stream
 from tillworks.streaming.dedupe import drop_replays, state_partitions
@@ -363,9 +372,19 @@ def assign_sale_key(spark, sf_dir):
     serving_schema_key = F.lit(None).cast("bigint").alias("sale_key")
     empty = history.limit(0).select(serving_schema_key, "*")
     loaded = stored(merge.assign_key(history, empty), "loaded_fact")
-    merged = merge.upsert(loaded, batch, FACT_KEYS, FACT_UPDATES)
-    return _texts(
-        stored(merge.assign_key(merged, loaded), "merged_fact").select("sale_key", *FACT_COLUMNS)
+    merged = stored(merge.assign_key(merge.upsert(loaded, batch, FACT_KEYS, FACT_UPDATES), loaded), "merged_fact")
+    highest = loaded.agg(F.max("sale_key")).scalar()
+    before = loaded.select(*FACT_KEYS, F.col("sale_key").alias("old_key"))
+    shared = merged.groupBy("sale_key").agg(F.count("*").alias("rows_with_key"))
+    return (
+        merged.join(before, list(FACT_KEYS), "left")
+        .join(shared, "sale_key")
+        .select(
+            *FACT_KEYS,
+            F.coalesce(F.col("sale_key") == F.col("old_key"), F.lit(False)).alias("kept"),
+            (F.col("old_key").isNull() & (F.col("sale_key") > highest)).alias("new_and_above"),
+            "rows_with_key",
+        )
     )
 
 
@@ -397,10 +416,13 @@ def fk_orphans(spark, sf_dir):
 
 @query("fk_accepted")
 def fk_accepted(spark, sf_dir):
-    """Batch facts that the history's dimensions cover (stores were all renamed, so they are left out)."""
-    facts, dims = _facts_and_old_dims(spark, sf_dir)
-    references = {key: name for key, name in FACT_SALES_SPEC.references.items() if key != "store_key"}
-    return _texts(constraints.foreign_key_accepted(facts, dims, references).drop("processed_at"))
+    """Facts of history and batch that dimensions built without every fifth store, and without the batch, cover."""
+    history, batch = _history_and_batch(spark, sf_dir)
+    facts = star.fact_sales(history.unionByName(batch.withColumn("store_id", F.regexp_replace("store_id", "^MOVED ", ""))))
+    known = history.where(~F.col("store_id").rlike("[05]$"))
+    dims = {name: stored(build(history if name != "dim_store" else known), name) for name, build in star.DIMENSIONS.items()}
+    dims["dim_date"] = stored(star.date_dim_covering(history, "sale_timestamp"), "dim_date")
+    return _texts(constraints.foreign_key_accepted(facts, dims, FACT_SALES_SPEC.references).drop("processed_at"))
 
 
 @query("not_null_violations")
@@ -431,14 +453,120 @@ def decimal_overflow(spark, sf_dir):
     return constraints.decimal_overflow(scaled, SALES_SILVER_SPEC.money, SILVER_KEYS)
 
 
-# ---------------------------------------------------------------- files
+# ---------------------------------------------------------------- serving loads
+
+
+def _grown(df: DataFrame) -> DataFrame:
+    """Names repeated and prices scaled, so that some no longer fit the serving columns."""
+    return df.withColumns(
+        {"product_name": F.repeat("product_name", F.col("quantity")), "total_price": F.col("total_price") * 10000}
+    )
 
 
-def _stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted messages; a delivery arrives on the first day of the quarter after the sale."""
-    events = sales_events(spark, sf_dir).withColumn(
-        "arrived", F.add_months(F.trunc(F.coalesce("sale_ts", "ship_ts"), "quarter"), 3).cast("timestamp")
+@query("serve_silver_rejects")
+def serve_silver_rejects(spark, sf_dir):
+    """What the silver load refuses, with the first constraint broken, and what it merged."""
+    layout = Layout(work_dir(spark, "serve_silver"))
+    lake.write_day(_grown(_silver(spark, sf_dir)), layout.silver, DELIVERY_DAY)
+    serve_silver(spark, layout, DELIVERY_DAY, grain="month")
+    refused = spark.read.parquet(layout.rejects("sales_silver"))
+    merged = serving.read_table(spark, layout.serving("sales_silver"), SALES_SILVER_SPEC.schema)
+    return refused.select(*SILVER_KEYS, constraints.BROKEN).unionByName(
+        merged.select(*SILVER_KEYS, F.lit("none").alias(constraints.BROKEN))
     )
+
+
+@query("serve_gold_rejects")
+def serve_gold_rejects(spark, sf_dir):
+    """The batch's facts against the dimensions of the history: refused ones with their constraint, and merged ones."""
+    layout = Layout(work_dir(spark, "serve_gold"))
+    history, batch = _history_and_batch(spark, sf_dir)
+    for name, build in star.DIMENSIONS.items():
+        snapshots.write_snapshot(build(history), layout.dim(name))
+    snapshots.write_snapshot(star.date_dim_covering(history, "sale_timestamp"), layout.dim("dim_date"))
+    renamed = F.when(F.col("quantity") % 7 == 0, F.col("store_id")).otherwise(F.regexp_replace("store_id", "^MOVED ", ""))
+    lake.write_day(star.fact_sales(batch.withColumn("store_id", renamed)), layout.fact, DELIVERY_DAY)
+    serve_gold(spark, layout, DELIVERY_DAY, grain="month")
+    merged = serving.read_table(spark, layout.serving("fact_sales"), FACT_SALES_SPEC.schema)
+    return gold_rejects(spark, layout, DELIVERY_DAY).select(*FACT_KEYS, constraints.BROKEN).unionByName(
+        merged.select(*FACT_KEYS, F.lit("none").alias(constraints.BROKEN))
+    )
+
+
+def _served(spark: SparkSession, schema, sides: tuple[DataFrame, DataFrame], spec, keys, update, serial=None) -> DataFrame:
+    """Two batches merged on disk, the second moving a part of the sales to another month."""
+    root = Layout(work_dir(spark, "serving")).serving(spec.name)
+    for side in sides:
+        serving.merge_table(spark, root, spec.schema, constraints.to_serving(side, spec), keys, update, serial=serial)
+    return serving.read_table(spark, root, spec.schema).select(*schema, serving.PERIOD)
+
+
+def _moved(batch: DataFrame) -> DataFrame:
+    later = F.when(F.col("quantity") % 5 == 0, F.add_months("sale_timestamp", 1).cast("timestamp"))
+    return batch.withColumn("sale_timestamp", F.coalesce(F.date_trunc("day", later), F.col("sale_timestamp")))
+
+
+@query("serving_merge_silver")
+def serving_merge_silver(spark, sf_dir):
+    history, batch = _history_and_batch(spark, sf_dir)
+    columns = [c for c in SALES_COLUMNS if c not in ("unit_price", "total_price")]
+    return _texts(_served(spark, columns, (history, _moved(batch)), SALES_SILVER_SPEC, SILVER_KEYS, SILVER_UPDATES))
+
+
+@query("serving_merge_fact")
+def serving_merge_fact(spark, sf_dir):
+    history, batch = _history_and_batch(spark, sf_dir)
+    columns = [c for c in FACT_COLUMNS if c not in ("unit_price", "total_price")]
+    sides = (star.fact_sales(history), star.fact_sales(_moved(batch)))
+    return _texts(_served(spark, columns, sides, FACT_SALES_SPEC, FACT_KEYS, FACT_UPDATES, serial="sale_key"))
+
+
+def _days_run(spark: SparkSession, sf_dir: str, arrived: Column | None = None) -> Layout:
+    """All lines landed and taken to silver and quarantine."""
+    layout = Layout(work_dir(spark, "day_plans"))
+    bronze.write_bronze(_stamped(spark, sf_dir, arrived), layout.bronze, "load-0")
+    bronze_to_silver_days(spark, layout, processed_at=_clock())
+    return layout
+
+
+@query("plan_silver_days")
+def plan_silver_days(spark, sf_dir):
+    """Silver and quarantine of every landed day."""
+    layout = _days_run(spark, sf_dir)
+    valid = lake.scan_days(spark, layout.silver, SILVER).withColumn(quality.REASON, F.lit(None).cast("string"))
+    refused = lake.scan_days(spark, layout.quarantine, QUARANTINE, partitions=(quality.REASON,))
+    return _texts(valid.unionByName(refused).drop("processed_at"))
+
+
+@query("plan_gold_days")
+def plan_gold_days(spark, sf_dir):
+    """Members of the dimensions and facts per day, after two days that hold all lines went through the plans one by one."""
+    days = (DELIVERY_DAY, date(1998, 7, 2))
+    late = F.coalesce("sale_ts", "ship_ts") >= F.lit(BATCH_STARTS).cast("timestamp")
+    arrived = F.when(late, F.lit(str(days[1]))).otherwise(F.lit(str(days[0]))).cast("timestamp")
+    layout = _days_run(spark, sf_dir, arrived)
+    for day in days:
+        bronze_to_silver(spark, layout, day, processed_at=_clock())
+        silver_to_gold(spark, layout, day)
+    dims = dimensions(spark, layout)
+    members = [
+        dims[name].select(F.lit(name).alias("name"), F.col(TABLE_SPECS[name].schema.names[0]).alias("key"), F.lit(1).cast("bigint").alias("n"))
+        for name in star.DIMENSIONS
+    ]
+    facts = lake.scan_days(spark, layout.fact, FACT_SALES).groupBy(F.concat(*DAY_COLUMNS).alias("key")).agg(F.count("*").alias("n"))
+    out = facts.select(F.lit("fact_sales").alias("name"), "key", "n")
+    for one in members:
+        out = out.unionByName(one)
+    return out
+
+
+# ---------------------------------------------------------------- files
+
+
+def _stamped(spark: SparkSession, sf_dir: str, arrived: Column | None = None) -> DataFrame:
+    """Accepted messages; a delivery arrives on the first day of the quarter after the sale, unless told otherwise."""
+    quarter = F.add_months(F.trunc(F.coalesce("sale_ts", "ship_ts"), "quarter"), 3).cast("timestamp")
+    events = sales_events(spark, sf_dir).withColumn("arrived", quarter if arrived is None else arrived)
     lines = messages(events, carry=("arrived",)).transform(ingest.with_message).transform(ingest.with_missing_fields)
     return ingest.stamp(ingest.accepted(lines), F.col("arrived"))
 
@@ -475,6 +603,17 @@ def bronze_day_scan(spark, sf_dir):
     return _bronze_columns(bronze.scan_bronze(spark, _landed(spark, sf_dir), DELIVERY_DAY))
 
 
+@query("bronze_compact_day")
+def bronze_compact_day(spark, sf_dir):
+    """A closed day landed in three batches, before and after they are merged: the same lines."""
+    root = Layout(work_dir(spark, "bronze")).bronze
+    lines = stored(_stamped(spark, sf_dir), "stamped")
+    for k in range(3):
+        bronze.write_bronze(lines.where(F.pmod(F.xxhash64(ingest.MESSAGE), F.lit(3)) == k), root, f"load-{k}")
+    bronze.compact_day(spark, root, DELIVERY_DAY)
+    return _bronze_columns(bronze.scan_bronze(spark, root))
+
+
 @query("encode_json_lines")
 def encode_json_lines(spark, sf_dir):
     """Valid rows to JSON lines and back."""
@@ -598,7 +737,7 @@ def late_arrivals(spark, sf_dir):
 def repartition_by_transaction(spark, sf_dir):
     """How many partitions each basket touches after the repartition."""
     lines = raw_lines(sales_events(spark, sf_dir))
-    placed = ingest.repartition_by_basket(lines, 16).withColumn("partition", F.spark_partition_id())
+    placed = ingest.repartition_by_basket(lines).withColumn("partition", F.spark_partition_id())
     baskets = placed.groupBy("transaction_id", "partition").agg(F.count("*").alias("lines"))
     return (
         baskets.where(F.col("transaction_id").isNotNull())

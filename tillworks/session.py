@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,7 +88,7 @@ def work_root(spark: SparkSession) -> str:
     if shared:
         return shared
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _local_work_roots:
         folder = tempfile.mkdtemp(prefix="run-tillworks-")
@@ -110,3 +113,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``stored`` rows for the length of a block, whose end deletes them."""
+    spark = df.sparkSession
+    path = work_dir(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        fs, folder = file_system(spark, path)
+        fs.delete(folder, True)

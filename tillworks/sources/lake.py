@@ -9,12 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.layout import day_columns, day_folder, day_predicate
+from tillworks.layout import day_columns, day_folder
 from tillworks.schemas import DAY_COLUMNS
+from tillworks.session import file_system
 
 _DAY_FIELDS = [T.StructField(name, T.StringType()) for name in DAY_COLUMNS]
 
 
+def day_paths(spark: SparkSession, root: str, days: Sequence[date]) -> list[str]:
+    """Folders of the given days that exist; the other days of the dataset are not listed."""
+    paths = [f"{root}/{day_folder(day)}" for day in days]
+    found = []
+    for path in paths:
+        fs, folder = file_system(spark, path)
+        if fs.exists(folder):
+            found.append(path)
+    return found
+
+
 def scan_days(
     spark: SparkSession,
     root: str,
@@ -22,17 +34,30 @@ def scan_days(
     day: date | None = None,
     partitions: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows of a by-day dataset with its day (and further text partition) columns."""
+    """Rows of a by-day dataset with its day (and further text partition) columns.
+
+    For one ``day`` its folder alone is opened; a day that is not there has no rows.
+    """
     extra = [T.StructField(name, T.StringType()) for name in partitions]
     plain = [f for f in schema.fields if f.name not in partitions]
-    rows = spark.read.schema(T.StructType([*plain, *_DAY_FIELDS, *extra])).parquet(root)
-    return rows if day is None else rows.where(day_predicate(day))
+    full = T.StructType([*plain, *_DAY_FIELDS, *extra])
+    if day is None:
+        return spark.read.schema(full).parquet(root)
+    paths = day_paths(spark, root, [day])
+    if not paths:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", root).parquet(*paths)
 
 
 def write_day(df: DataFrame, root: str, day: date, partitions: Sequence[str] = ()) -> str:
-    """Replace one day's folder, also when there is nothing left to write."""
+    """Replace one day's folder, also when there is nothing left to write.
+
+    Rows are rebalanced first: files of even size, however many tasks made the rows.
+    """
     path = f"{root}/{day_folder(day)}"
-    writer = df.drop(*DAY_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    rows = df.drop(*DAY_COLUMNS)
+    rows = rows.hint("rebalance", *[F.col(c) for c in partitions]) if partitions else rows.hint("rebalance")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)

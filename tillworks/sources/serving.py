@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks.operators.merge import SALES_ORDER, assign_key, one_per_key, upsert
-from tillworks.session import broadcast_limit, file_system, stored_bytes, work_dir
+from tillworks.session import broadcast_limit, file_system, staged, stored_bytes
 
 PERIOD = "sale_period"
 PERIOD_FORMATS = {"day": "yyyyMMdd", "month": "yyyyMM"}
@@ -54,37 +54,35 @@ def merge_table(
     ``serial`` names a surrogate key to number for rows that are new.
     """
     keys = list(keys)
-    finish_pending(spark, root, schema)
-    staged_path = work_dir(spark, "batch")
-    one_per_key(batch, keys, order, on_duplicate=on_duplicate).write.parquet(staged_path)
-    staged = spark.read.schema(batch.schema).parquet(staged_path)
-    small = stored_bytes(spark, staged_path) <= broadcast_limit(spark)
+    finish_pending(spark, root)
+    with staged(one_per_key(batch, keys, order, on_duplicate=on_duplicate), "batch") as rows:
+        return _merge_staged(spark, root, schema, rows, keys, update, instant, grain, serial)
 
+
+def _merge_staged(spark, root, schema, rows, keys, update, instant, grain, serial) -> list[str]:
+    small = sum(stored_bytes(spark, f) for f in rows.inputFiles()) <= broadcast_limit(spark)
     table = read_table(spark, root, schema)
-    matched = table.join(staged.select(*keys), keys, "left_semi").select(PERIOD)
-    arriving = staged.select(period_of(instant, grain).alias(PERIOD))
+    matched = table.join(rows.select(*keys), keys, "left_semi").select(PERIOD)
+    arriving = rows.select(period_of(instant, grain).alias(PERIOD))
     touched = [row[0] for row in matched.distinct().union(arriving.distinct()).distinct().collect()]  # periods only
     if not touched:
         return []
 
     target = table.where(F.col(PERIOD).isin(touched)).select(*schema.names)
-    merged = upsert(target, staged, keys, update, small_batch=small, unique=True)
-    if serial:
-        merged = assign_key(merged, table, serial)
-    pending = _pending(root)
-    (
-        merged.withColumn(PERIOD, period_of(instant, grain))
-        .hint("rebalance", F.col(PERIOD))
-        .sortWithinPartitions(PERIOD, instant)
-        .write.mode("overwrite")
-        .partitionBy(PERIOD)
-        .parquet(f"{pending}/rows")
+    merged = upsert(target, rows, keys, update, small_batch=small, unique=True)
+    laid_out = (
+        merged.withColumn(PERIOD, period_of(instant, grain)).hint("rebalance", F.col(PERIOD)).sortWithinPartitions(PERIOD, instant)
     )
+    if serial:  # numbered behind the last shuffle, in the task that writes: a rerun task numbers its own rows alone
+        laid_out = assign_key(laid_out, table, serial)
+    pending = _pending(root)
+    laid_out.write.mode("overwrite").partitionBy(PERIOD).parquet(f"{pending}/rows")
+    filled = _periods(spark, f"{pending}/rows")
     # Written last: once this list is complete, the replacement is decided.
-    spark.createDataFrame([(p,) for p in touched], f"{PERIOD} string").coalesce(1).write.mode("overwrite").parquet(
-        f"{pending}/periods"
-    )
-    finish_pending(spark, root, schema)
+    spark.createDataFrame([(p, p in filled) for p in touched], f"{PERIOD} string, filled boolean").coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{pending}/periods")
+    finish_pending(spark, root)
     return sorted(touched)
 
 
@@ -92,22 +90,31 @@ def _pending(root: str) -> str:
     return f"{root}_pending"
 
 
-def finish_pending(spark: SparkSession, root: str, schema: T.StructType) -> bool:
-    """Move decided periods into the table; safe to repeat, and a no-op when none are waiting."""
+def _periods(spark: SparkSession, root: str) -> set[str]:
+    """Periods that have a folder."""
+    fs, path = file_system(spark, root)
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return {name.partition("=")[2] for name in names if name.startswith(f"{PERIOD}=")}
+
+
+def finish_pending(spark: SparkSession, root: str) -> bool:
+    """Move decided periods' folders into the table; safe to repeat, and a no-op when none are waiting.
+
+    No row is written again. A period to be filled whose folder is no longer waiting was moved before.
+    """
     pending = _pending(root)
     fs, folder = file_system(spark, pending)
     if not fs.exists(file_system(spark, f"{pending}/periods/_SUCCESS")[1]):
         return False
-    touched = {row[0] for row in spark.read.parquet(f"{pending}/periods").collect()}  # periods only
-    rows = read_table(spark, f"{pending}/rows", schema)
-    filled = {row[0] for row in rows.select(PERIOD).distinct().collect()}
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PERIOD)
-        .parquet(root)
-    )
-    for period in touched - filled:
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{PERIOD}={period}")
+    decided = spark.read.parquet(f"{pending}/periods").collect()  # periods only
+    waiting = _periods(spark, f"{pending}/rows")
+    fs.mkdirs(file_system(spark, root)[1])
+    for period, filled in decided:
+        place = file_system(spark, f"{root}/{PERIOD}={period}")[1]
+        if filled and period not in waiting:
+            continue
+        fs.delete(place, True)
+        if filled and not fs.rename(file_system(spark, f"{pending}/rows/{PERIOD}={period}")[1], place):
+            raise OSError(f"cannot move period {period} of {root}")
     fs.delete(folder, True)
     return True
