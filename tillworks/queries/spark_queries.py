@@ -321,13 +321,13 @@ def dedupe_latest(spark, sf_dir):
 @query("upsert_silver")
 def upsert_silver(spark, sf_dir):
     history, batch = _history_and_batch(spark, sf_dir)
-    return _texts(merge.upsert(history, batch, SILVER_KEYS, SILVER_UPDATES).select(*SALES_COLUMNS))
+    return _texts(merge.upsert(history, batch, SILVER_KEYS, SILVER_UPDATES, unique=True).select(*SALES_COLUMNS))
 
 
 @query("upsert_fact")
 def upsert_fact(spark, sf_dir):
     history, batch = (star.fact_sales(side) for side in _history_and_batch(spark, sf_dir))
-    return _texts(merge.upsert(history, batch, FACT_KEYS, FACT_UPDATES).select(*FACT_COLUMNS))
+    return _texts(merge.upsert(history, batch, FACT_KEYS, FACT_UPDATES, unique=True).select(*FACT_COLUMNS))
 
 
 @query("upsert_dim_product")
@@ -340,7 +340,7 @@ def upsert_dim_product(spark, sf_dir):
 def upsert_null_overwrite(spark, sf_dir):
     """Only the column in which the batch carries NULLs is updated."""
     history, batch = _history_and_batch(spark, sf_dir)
-    merged = merge.upsert(history, batch, SILVER_KEYS, ("product_name",))
+    merged = merge.upsert(history, batch, SILVER_KEYS, ("product_name",), unique=True)
     return merged.select("transaction_id", "product_id", "product_name", "quantity", "store_id")
 
 
@@ -348,8 +348,8 @@ def upsert_null_overwrite(spark, sf_dir):
 def upsert_idempotent(spark, sf_dir):
     """The same batch merged twice."""
     history, batch = _history_and_batch(spark, sf_dir)
-    once = merge.upsert(history, batch, SILVER_KEYS, SILVER_UPDATES)
-    return _texts(merge.upsert(once, batch, SILVER_KEYS, SILVER_UPDATES).select(*SALES_COLUMNS))
+    once = merge.upsert(history, batch, SILVER_KEYS, SILVER_UPDATES, unique=True)
+    return _texts(merge.upsert(once, batch, SILVER_KEYS, SILVER_UPDATES, unique=True).select(*SALES_COLUMNS))
 
 
 def _insert_absent(build, key):
@@ -372,7 +372,7 @@ def assign_sale_key(spark, sf_dir):
     serving_schema_key = F.lit(None).cast("bigint").alias("sale_key")
     empty = history.limit(0).select(serving_schema_key, "*")
     loaded = stored(merge.assign_key(history, empty), "loaded_fact")
-    merged = stored(merge.assign_key(merge.upsert(loaded, batch, FACT_KEYS, FACT_UPDATES), loaded), "merged_fact")
+    merged = stored(merge.assign_key(merge.upsert(loaded, batch, FACT_KEYS, FACT_UPDATES, unique=True), loaded), "merged_fact")
     highest = loaded.agg(F.max("sale_key")).scalar()
     before = loaded.select(*FACT_KEYS, F.col("sale_key").alias("old_key"))
     shared = merged.groupBy("sale_key").agg(F.count("*").alias("rows_with_key"))
@@ -749,8 +749,18 @@ def repartition_by_transaction(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 
 
+# Lines per landing file, and micro-batches in which a stream takes what is there.
+FILE_LINES, PULLS = 10_000, 4
+
+
 def _drop_files(df: DataFrame, folder: str) -> None:
-    df.select("value").write.mode("append").text(folder)
+    df.select("value").write.mode("append").option("maxRecordsPerFile", FILE_LINES).text(folder)
+
+
+def _landing(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream of a landing folder, a part of its files a pull."""
+    files = len(spark.read.text(folder).inputFiles())
+    return bronze.landing_stream(spark, folder, max_files=-(-files // PULLS))
 
 
 def _stream_columns(df: DataFrame) -> DataFrame:
@@ -761,7 +771,7 @@ def _ingested(spark: SparkSession, sf_dir: str) -> Layout:
     """All messages dropped as files and landed by the stream."""
     layout, landing = Layout(work_dir(spark, "stream")), work_dir(spark, "landing")
     _drop_files(messages(sales_events(spark, sf_dir)), landing)
-    run_bronze_stream(bronze.landing_stream(spark, landing), layout)
+    run_bronze_stream(_landing(spark, landing), layout)
     return layout
 
 
