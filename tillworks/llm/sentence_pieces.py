@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 #: Entries that a worker remembers of each kind; beyond it works the same, only slower.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 _PROBE = "  Ａ ﬁ  x\t​\n　é "
 _CHUNKS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -90,6 +90,8 @@ class Encoder:
             return [self.bytes[b] for b in text.encode()] if self.falls_back else [self.unknown]
         last = [-1] * (len(text) + 1)
         for end, token in self.automaton.iter(text):
+            if last[end + 1] >= 0:
+                continue  # a prefix has one last token
             start = end + 1 - self.lengths[token]
             if start == 0:
                 if self._whole.get(token, True):
