@@ -177,31 +177,30 @@ def fences(sketched: DataFrame, groups: tuple[str, ...], reach: float = 3.0) ->
     )
 
 
-def judge(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", out: str = "quality") -> DataFrame:
-    """All rows and columns of ``df`` and a struct ``out``: the counts, ``base_failed`` and ``kept``.
+def judge(
+    df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", out: str = "quality", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """All rows of ``df`` with its columns (or those named in ``keep``) and a struct ``out``: the counts,
+    ``base_failed`` and ``kept``.
 
     NULL texts count as empty and fail the base rules, as do empty ones. NULL language or source is
     a group of its own. Equal rows get equal verdicts. An existing column ``out`` is replaced.
     Fences are learned from the documents that pass the base rules. Matching groups is NULL-safe.
     """
-    mine = {"counts": "__lw_counts", "lang": "__lw_lang", "source": "__lw_source"}
-    kept_columns = [F.col(f"`{c}`") for c in df.columns if c != out]
-    counted = stored(
-        df.select(*kept_columns, text_counts(F.col(f"`{text}`")).alias(mine["counts"])), "quality-counts"
-    )
-    groups = (mine["lang"], mine["source"])
-    sound = counted.where(~base_failed(F.col(mine["counts"]))).select(
-        F.col(f"`{lang}`").alias(mine["lang"]), F.col(f"`{source}`").alias(mine["source"]), mine["counts"]
-    )
-    learned = fences(sketch(sound, groups, mine["counts"]), groups)
-    joined = counted.join(
-        learned, F.col(f"`{lang}`").eqNullSafe(F.col(mine["lang"])) & F.col(f"`{source}`").eqNullSafe(F.col(mine["source"])), "left"
-    )
-    counts = F.col(mine["counts"])
+    texts.lean_batches(df.sparkSession)
+    kept_columns = [F.col(f"`{c}`") for c in (keep or df.columns) if c != out]
+    groups = ("__lw_lang", "__lw_source")
+    own = [F.col(f"`{c}`").alias(name) for c, name in zip((lang, source), groups)]
+    counted = stored(df.select(*kept_columns, *own, text_counts(F.col(f"`{text}`")).alias("__lw_counts")), "quality-counts")
+    counts = F.col("__lw_counts")
+    failed = base_failed(counts)
+    learned = fences(sketch(counted.where(~failed), groups, "__lw_counts"), groups)
+    learned = learned.select(*[F.col(g).alias(f"{g}_of") for g in groups], F.col("fences").alias("__lw_fences"))
+    same_group = F.col(groups[0]).eqNullSafe(F.col(f"{groups[0]}_of")) & F.col(groups[1]).eqNullSafe(F.col(f"{groups[1]}_of"))
+    joined = counted.join(learned, same_group, "left")
     within = F.lit(True)
     for name in RATIOS:
-        within = within & F.coalesce(ratio(counts, name) <= F.col("fences")[name], F.lit(True))
-    failed = base_failed(counts)
+        within = within & F.coalesce(ratio(counts, name) <= F.col("__lw_fences")[name], F.lit(True))
     verdict = F.struct(
         *[counts[name].alias(name) for name in COUNTS], failed.alias("base_failed"), (~failed & within).alias("kept")
     )
