@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillworks.llm.texts import lean_batches
+
 BLOCK = 512
 LEVEL = 3
 DICTIONARY_BYTES = 65_536
@@ -109,6 +111,7 @@ def fit(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     of all ids serving the dictionaries and the other the calibration. Repeated ids count once, ids without
     a document and NULL ids are left out. With no label of either class every score is 0.5.
     """
+    lean_batches(documents.sparkSession)
     labelled = (
         labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{quality}`").cast("int").alias("good"))
         .where(F.col("id").isNotNull() & F.col("good").isin(0, 1))

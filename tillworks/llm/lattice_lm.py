@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.lattice import Lattice
+from tillworks.llm.texts import gathered, lean_batches
 from tillworks.session import stored
 
 HEAD = 200_000
@@ -33,6 +34,7 @@ LANGUAGES = 7  # languages with a model of their own, by documents; the others s
 ROUNDS = 2
 ADDED = 0.01
 FLUSH = 300_000
+WORD_ROWS = 20_000
 
 
 def vocabulary(path: str) -> list[bytes]:
@@ -107,7 +109,7 @@ def _expect(counts: DataFrame, path: str, scores: list[np.ndarray | None], langu
     def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(path)
         total = np.zeros((languages, len(lattice.tokens)))
-        for batch in batches:
+        for batch in gathered(batches, WORD_ROWS):
             k, n = batch.column("language").to_numpy(), batch.column("n").to_numpy().astype(float)
             words = batch.column("word").to_pylist()
             for one in np.unique(k):
@@ -143,6 +145,7 @@ def fit(df: DataFrame, path: str, train: Column, text: str = "text", lang: str =
     count as empty, NULL languages as one of those that share a model. Without training rows every word
     gets the lattice of equal scores.
     """
+    lean_batches(df.sparkSession)
     groups = (
         df.where(train & F.col(f"`{lang}`").isNotNull())
         .groupBy(F.col(f"`{lang}`").alias("lang"))
@@ -180,14 +183,14 @@ def fit(df: DataFrame, path: str, train: Column, text: str = "text", lang: str =
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(path)
-        for batch in batches:
+        for batch in gathered(batches, WORD_ROWS):
             words = batch.column("word").to_pylist()
             n = np.column_stack([batch.column(f"n{k}").to_numpy() for k in range(k_all)]).astype(float)
             spelled = lattice.log_probabilities(words, scores)
             logs = np.log((1 - unseen) * n / np.maximum(sums[:, 0], 1) + unseen * np.exp(spelled) + 1e-300)
             logs = np.where(n > 0, logs, np.log(unseen) + spelled)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.array(n.sum(1).astype(np.int64)), pa.array(logs.tolist(), pa.list_(pa.float64()))],
+                [batch.column("word").combine_chunks(), pa.array(n.sum(1).astype(np.int64)), pa.array(logs.tolist(), pa.list_(pa.float64()))],
                 ["word", "count", "logs"],
             )
 

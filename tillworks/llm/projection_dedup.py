@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tillworks.llm.components import components
 from tillworks.llm.minhash import _groups as groups
+from tillworks.llm.texts import lean_batches
 from tillworks.session import stored
 
 SIMILAR = 0.98
@@ -137,6 +138,7 @@ def near_duplicates(
     repeat an id count as different vectors. ``component_id`` is the smallest id reachable, ``kept`` marks
     the vector that bears it. NULL ids take part but never name a component with other ids.
     """
+    lean_batches(df.sparkSession)
     values = F.col("vector")
     finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     sound = F.col("label").isNotNull() & values.isNotNull() & finite & F.exists(values, lambda x: x != 0)

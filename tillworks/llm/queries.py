@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from tillworks.llm import compression_classifier, entropy_mix, lattice_lm, minhash, projection_dedup, quality_rules, sentence_pieces, shard_table, token_records, url_templates
+from tillworks.llm.texts import id_remainder, lean_batches
 from tillworks.session import work_dir
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,11 +18,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _remainder(doc_id: str, of: int):
-    """crc32 of the id's decimal text modulo ``of``; NULL ids count as an empty text."""
-    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % of
-
-
 def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "token-records")
     token_records.write(_table(spark, sf_dir, "documents"), path, BYTE_TOKENIZER)
@@ -38,10 +34,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    model = compression_classifier.fit(documents, labels.where(_remainder("doc_id", 3) != 1))
+    model = compression_classifier.fit(documents, labels.where(id_remainder("doc_id", 3) != 1))
     scored = documents.select("doc_id", compression_classifier.score(model, F.col("text")).alias("score"))
     return scored.select(
-        "doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
@@ -62,7 +58,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
-    held_out = _remainder("doc_id", 7) == 2
+    held_out = id_remainder("doc_id", 7) == 2
     model = lattice_lm.fit(documents, PIECE_MODEL, ~held_out)
     return lattice_lm.score(documents, model, carry=(held_out.alias("held_out"),))
 
@@ -81,12 +77,13 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lean_batches(spark)
     documents = _table(spark, sf_dir, "documents")
     return documents.select("doc_id", sentence_pieces.round_trip_digest(F.col("text"), PIECE_MODEL).alias("d")).select("doc_id", "d.*")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judge(_table(spark, sf_dir, "documents"))
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents"), keep=("doc_id",))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select("doc_id", *[F.col("quality")[name].alias(name) for name in names])
 

@@ -1,7 +1,7 @@
 """Vectorised words, word hashes and windows of whole texts, for use inside Arrow batches.
 
 A word is a run of bytes other than space and \\x09-\\x0D. Columns are worked through in slices of
-about a megabyte, so a batch of long texts needs little memory; one text is never cut.
+a quarter of a megabyte, so a batch of long texts needs little memory; one text is never cut.
 """
 
 from __future__ import annotations
@@ -11,8 +11,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -25,6 +28,32 @@ _WINDOW_FACTORS = np.random.default_rng(20240608).integers(1, 1 << 63, 64, dtype
 _powers = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
 
 
+def lean_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in small batches: rows here hold whole texts, shingle sets or vectors.
+
+    Executors and their workers hold a few batches at a time, so this bounds their memory.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def id_remainder(doc_id: str, of: int) -> Column:
+    """crc32 of the id's decimal text modulo ``of``; NULL ids count as an empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % of
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Narrow rows put together again, some ``rows`` at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first row, bytes, offsets)`` of consecutive rows; NULL counts as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

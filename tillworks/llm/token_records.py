@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillworks.llm.crc32c import masked
+from tillworks.llm.texts import lean_batches
 
 REMEMBERED = 300_000
 MANIFEST = "manifest"
@@ -146,6 +147,7 @@ def write(
     table gives an empty manifest.
     """
     spark = df.sparkSession
+    lean_batches(spark)
     rows = df.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     order = [F.col("doc_id"), F.xxhash64("text")]
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("shard"), "doc_id", "text")
