@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from tillworks.functions import with_computed
 from tillworks.llm import compression_classifier, entropy_mix, minhash, quality_rules, sentence_pieces
+from tillworks.llm.texts import id_remainder, lean_batches
 from tillworks.session import stored
 
 #: No stage's decisions can be written in SQL as a whole; tests compare with plain Python instead.
@@ -20,8 +21,9 @@ PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is at least ``LEAST_SCORE``; the classifier learns from all labels."""
-    model = compression_classifier.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents whose score is at least ``LEAST_SCORE``; a third of the labels is held out from the fit."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(id_remainder("doc_id", 3) != 1)
+    model = compression_classifier.fit(docs, labels)
     scored = with_computed(docs, "__lw_score", compression_classifier.score(model, F.col("text")))
     return scored.where(F.col("__lw_score") >= LEAST_SCORE).select(*docs.columns)
 
@@ -39,14 +41,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, so a source's words come near its target."""
-    dealt = entropy_mix.mix(docs).where("copies > 0").select(F.col("doc_id").alias("__lw_id"), F.col("copies").alias("__lw_copies"))
-    taken = docs.join(dealt, F.col("doc_id").eqNullSafe(F.col("__lw_id")))
+    """Each document as often as the mix takes it, so a source's words come near its target.
+
+    Rows get a number of their own first, as ids may be NULL or repeat.
+    """
+    numbered = stored(docs.withColumn("__lw_row", F.monotonically_increasing_id()), "mix-documents")
+    dealt = entropy_mix.mix(numbered, doc_id="__lw_row").where("copies > 0")
+    dealt = dealt.select(F.col("doc_id").alias("__lw_row"), F.col("copies").alias("__lw_copies"))
+    taken = numbered.join(dealt, "__lw_row")
     return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__lw_copies"))).alias("__lw_copy")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number of ids, hash of the ids and hash of the decoded text of each document."""
+    lean_batches(spark)
     digest = sentence_pieces.round_trip_digest(F.col("text"), PIECE_MODEL)
     return docs.select("doc_id", "source", digest.alias("d")).select("doc_id", "source", "d.*")
 
