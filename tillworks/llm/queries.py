@@ -104,6 +104,41 @@ QUERIES = {
     )
 }
 
-#: Sketches, trained models, library encoders and fixed points: none of the ten is plain SQL. Tests compare
-#: them with brute force instead.
-ORACLE_SQL: dict[str, str] = {}
+_REACHED = """
+    reached(id, least) AS (SELECT DISTINCT id, id FROM ids UNION SELECT both_ways.b, reached.least
+                           FROM reached JOIN both_ways ON reached.id = both_ways.a),
+    parts AS (SELECT id, min(least) AS component_id FROM reached GROUP BY id)"""
+
+#: SQL over all pairs for the two whose results are fixed by their inputs. Sketches, trained models, library
+#: encoders and a table filled by turns are not plain SQL; tests compare those with brute force instead.
+ORACLE_SQL: dict[str, str] = {
+    "op2_projection_dedup": f"""
+        WITH RECURSIVE ids AS (SELECT vec_id AS id FROM embeddings),
+        sound AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+                  WHERE label IS NOT NULL AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0
+                    AND len([x for x in embedding if x <> 0]) > 0),
+        links AS (SELECT a.id AS a, b.id AS b FROM sound AS a JOIN sound AS b ON a.label = b.label AND a.id < b.id
+                  AND len(a.e) = len(b.e)
+                  WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.98),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        {_REACHED}
+        SELECT id AS vec_id, (SELECT count(*) FROM both_ways WHERE a = parts.id) AS n_links, component_id,
+               id = component_id AS kept
+        FROM parts""",
+    "op3_minhash_near_dedup": f"""
+        WITH RECURSIVE ids AS (SELECT doc_id AS id FROM documents),
+        split AS (SELECT doc_id AS id, [x for x in string_split_regex(translate(coalesce(text, ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] AS w
+                  FROM documents),
+        shingles AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                         ELSE [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] END) AS s FROM split),
+        sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+        common AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.id < b.id
+                   GROUP BY a.id, b.id),
+        links AS (SELECT a, b FROM common JOIN sizes AS x ON x.id = a JOIN sizes AS y ON y.id = b
+                  WHERE 100 * k >= 75 * (x.n + y.n - k)),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        {_REACHED}
+        SELECT parts.id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, parts.id = component_id AS kept
+        FROM parts LEFT JOIN sizes ON sizes.id = parts.id""",
+}
