@@ -30,13 +30,24 @@ from tokenizers import Tokenizer
 from tillworks.llm.crc32c import masked
 from tillworks.llm.texts import lean_batches
 
-REMEMBERED = 300_000
+#: Stretches and pattern matches whose ids a worker remembers; beyond it works the same, only slower.
+REMEMBERED_CHUNKS, REMEMBERED_PIECES = 400_000, 1_200_000
 MANIFEST = "manifest"
 _NO_ID, _WIDE = 1, 2  # flags of a payload
 _HEADER = struct.Struct("<qII")
 _MANIFEST_TYPE = "shard int, file string, n_records bigint, n_tokens bigint, n_bytes bigint"
 
 
+def _alphabet() -> dict[int, int]:
+    """Byte-level models write printable bytes as themselves, the others as code points from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
+
+
+_ALPHABET = _alphabet()
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, remembering those of frequent words.
 
@@ -52,6 +63,7 @@ class Encoder:
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.wide = self.library.get_vocab_size() > 1 << 16
         self.type = np.dtype("<u4" if self.wide else "<u2")
+        self._model = self.library.model
         self._chunks: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
         self.splits = self._byte_level()
@@ -71,16 +83,20 @@ class Encoder:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.type).tobytes() for e in found]
 
-    def _chunk(self, chunk: str) -> bytes:
-        parts = self._parts.findall(chunk)
-        new = [p for p in dict.fromkeys(parts) if p not in self._pieces]
-        if new:
-            if len(self._pieces) > REMEMBERED:
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one match of the pattern, by the file's model: its bytes in the model's alphabet."""
+        tokens = self._model.tokenize(piece.encode().decode("latin-1").translate(_ALPHABET))
+        ids = np.array([t.id for t in tokens], self.type).tobytes()
+        if len(piece) <= 64:
+            if len(self._pieces) >= REMEMBERED_PIECES:
                 self._pieces.clear()
-                new = list(dict.fromkeys(parts))
-            self._pieces.update(zip(new, self._encode(new)))
-        ids = b"".join([self._pieces[p] for p in parts])
-        if len(self._chunks) < REMEMBERED and len(chunk) <= 64:
+            self._pieces[piece] = ids
+        return ids
+
+    def _chunk(self, chunk: str) -> bytes:
+        known, piece = self._pieces.get, self._piece
+        ids = b"".join([known(p) or piece(p) for p in self._parts.findall(chunk)])
+        if len(self._chunks) < REMEMBERED_CHUNKS and len(chunk) <= 64:
             self._chunks[chunk] = ids
         return ids
 
