@@ -13,7 +13,6 @@ from __future__ import annotations
 import functools
 import json
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -31,7 +30,7 @@ from tillworks.llm.crc32c import masked
 from tillworks.llm.texts import lean_batches
 
 #: Stretches and pattern matches whose ids a worker remembers; beyond it works the same, only slower.
-REMEMBERED_CHUNKS, REMEMBERED_PIECES = 400_000, 1_200_000
+REMEMBERED_CHUNKS, REMEMBERED_PIECES = 800_000, 1_200_000
 MANIFEST = "manifest"
 _NO_ID, _WIDE = 1, 2  # flags of a payload
 _HEADER = struct.Struct("<qII")
@@ -48,6 +47,10 @@ def _alphabet() -> dict[int, int]:
 _ALPHABET = _alphabet()
 
 
+class _Unsplit(Exception):
+    """White space stands next to a single space, so the text has to be encoded as a whole."""
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, remembering those of frequent words.
 
@@ -55,7 +58,6 @@ class Encoder:
     pattern always splits, so the stretches between such places can be encoded on their own.
     """
 
-    _spaces = re.compile(r"\s | \s|^ ")
     _parts = regex.compile(r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
     def __init__(self, path: str):
@@ -86,7 +88,7 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         """Ids of one match of the pattern, by the file's model: its bytes in the model's alphabet."""
         tokens = self._model.tokenize(piece.encode().decode("latin-1").translate(_ALPHABET))
-        ids = np.array([t.id for t in tokens], self.type).tobytes()
+        ids = struct.pack(f"<{len(tokens)}{'I' if self.wide else 'H'}", *[t.id for t in tokens])
         if len(piece) <= 64:
             if len(self._pieces) >= REMEMBERED_PIECES:
                 self._pieces.clear()
@@ -95,20 +97,35 @@ class Encoder:
 
     def _chunk(self, chunk: str) -> bytes:
         known, piece = self._pieces.get, self._piece
-        ids = b"".join([known(p) or piece(p) for p in self._parts.findall(chunk)])
-        if len(self._chunks) < REMEMBERED_CHUNKS and len(chunk) <= 64:
-            self._chunks[chunk] = ids
+        return b"".join([known(p) or piece(p) for p in self._parts.findall(chunk)])
+
+    def _between(self, part: str) -> bytes:
+        """Ids of a space and what follows it up to the next one; raises _Unsplit where the text does not split there."""
+        if not part or part[0].isspace() or part[-1].isspace():
+            raise _Unsplit
+        ids = self._chunk(" " + part)
+        if len(self._chunks) < REMEMBERED_CHUNKS and len(part) <= 64:
+            self._chunks[part] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text, packed; NULL counts as empty."""
         if not text:
             return b""
-        if not self.splits or self._spaces.search(text) or any(a in text for a in self.added):
+        if not self.splits or any(a in text for a in self.added):
             return self._encode([text])[0]
         first, *rest = text.split(" ")
-        known, chunk = self._chunks.get, self._chunk
-        return self._chunk(first) + b"".join([known(c) or chunk(c) for c in [" " + part for part in rest]])
+        if not rest:
+            return self._chunk(text)
+        last = rest.pop()
+        known, between = self._chunks.get, self._between
+        if not first or first[-1].isspace() or not last or last[0].isspace():
+            return self._encode([text])[0]
+        try:
+            middle = b"".join([known(part) or between(part) for part in rest])
+        except _Unsplit:
+            return self._encode([text])[0]
+        return self._chunk(first) + middle + self._chunk(" " + last)
 
 
 @functools.lru_cache(maxsize=2)
