@@ -14,8 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 20
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+SLICE_BYTES = 1 << 18
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -65,6 +65,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1)
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
+    pa.default_memory_pool().release_unused()  # workers live on, and their memory counts with the executor's
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
