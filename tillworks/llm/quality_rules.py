@@ -196,6 +196,7 @@ def judge(
     failed = base_failed(counts)
     learned = fences(sketch(counted.where(~failed), groups, "__lw_counts"), groups)
     learned = learned.select(*[F.col(g).alias(f"{g}_of") for g in groups], F.col("fences").alias("__lw_fences"))
+    learned = stored(learned, "quality-fences")  # of known size: within its bound Spark broadcasts it and leaves the texts in place
     same_group = F.col(groups[0]).eqNullSafe(F.col(f"{groups[0]}_of")) & F.col(groups[1]).eqNullSafe(F.col(f"{groups[1]}_of"))
     joined = counted.join(learned, same_group, "left")
     within = F.lit(True)
