@@ -126,11 +126,11 @@ def _expect(counts: DataFrame, path: str, scores: list[np.ndarray | None], langu
         .mapInArrow(expected, "language int, token int, uses double")
         .groupBy("language", "token")
         .agg(F.sum("uses").alias("uses"))
-        .collect()  # at most a row per language and vocabulary token, whatever the corpus
+        .toArrow()  # at most a row per language and vocabulary token, whatever the corpus
     )
     out = np.zeros((languages, len(_lattice(path).tokens)))
-    for row in summed:
-        out[row["language"], row["token"]] = row["uses"]
+    language, token, uses = (summed.column(c).to_numpy() for c in ("language", "token", "uses"))
+    out[language, token] = uses
     return out
 
 
@@ -216,19 +216,14 @@ def score(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text
     """
     spark = df.sparkSession
     languages = len(model.shares)
-    head = model.words.orderBy(F.desc("count"), "word").limit(HEAD).collect()  # bounded by HEAD
-    head = [r for r in head if r["count"] > 0]
-    shared = spark.sparkContext.broadcast(
-        (
-            {bytes(r["word"]): i for i, r in enumerate(head)},
-            np.array([r["logs"] for r in head]).reshape(-1, languages),
-            model.base(np.array([r["count"] for r in head], float)),
-        )
-    )
+    head = model.words.where("count > 0").orderBy(F.desc("count"), "word").limit(HEAD).toArrow()  # bounded by HEAD
+    head = head.combine_chunks()
+    logs = head.column("logs").combine_chunks().flatten().to_numpy().reshape(-1, languages)
+    shared = spark.sparkContext.broadcast((head.select(["word"]), logs, model.base(head.column("count").to_numpy().astype(float))))
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, logs, base = shared.value
-        get = places.get
+        words_of_head, logs, base = shared.value
+        get = {word: i for i, word in enumerate(words_of_head.column("word").to_pylist())}.get
         for batch in batches:
             n, known, bases, sums, tails = [], [], [], [], []
             for t in batch.column("text"):
