@@ -162,6 +162,26 @@ def test_a_dense_group_gets_all_its_links(spark):
     assert {tuple(x) for x in got.select("n_links", "component_id").distinct().collect()} == {(699, 0)}
 
 
+def test_no_pair_of_a_narrow_label_is_missed(spark):
+    r = np.random.default_rng(3)
+    axis = np.eye(64)[0]
+
+    def around(centre, cosine):
+        off = r.standard_normal(64)
+        off -= off @ centre * centre
+        return cosine * centre + math.sqrt(1 - cosine**2) * off / np.linalg.norm(off)
+
+    units = [around(axis, 0.95) for _ in range(6000)]  # any two at a cosine near 0.9, in a narrow cone
+    units += [around(units[k], 0.981) for k in range(300)]
+    x = np.array(units)
+    linked = x @ x.T >= 0.98
+    np.fill_diagonal(linked, False)
+    part = components_of(range(len(x)), zip(*np.nonzero(linked)))
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {g.vec_id: (g.n_links, g.component_id) for g in projection_dedup.near_duplicates(df).collect()}
+    assert linked.sum() >= 600 and got == {k: (linked[k].sum(), part[k]) for k in part}
+
+
 # ---------------------------------------------------------------- 3
 
 

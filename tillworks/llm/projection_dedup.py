@@ -1,9 +1,8 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by comparing all pairs of a label, block by block.
 
-Each pass hashes every vector to the signs of random projections, concatenated, and sorts the vectors by
-label and hash. Within the sorted order every vector is compared with a bounded window of neighbours; the
-verified pairs of all passes are united into components. Within a component all pairs are then compared
-block by block and only counted, so a dense group, which no window covers, gets all its links.
+Vectors of a label and dimension are dealt into blocks, and every two blocks meet in one group, so no pair
+is left out, however large the label and however close together its vectors lie. Links are counted and
+reduced to a spanning set where they are found, so a dense group gets all its links without emitting them.
 """
 
 from __future__ import annotations
@@ -21,14 +20,9 @@ from tillworks.llm.texts import lean_batches
 from tillworks.session import stored
 
 SIMILAR = 0.98
-#: A pair of cosine 0.98 agrees in a sign with probability 0.936. Among n vectors of a label it meets in a
-#: window when it agrees in about log2(n / WINDOW) signs, so one pass misses 4 of 10 such pairs among 5,000
-#: vectors and all passes together one in 100,000; among 100 million, one in 25.
-PASSES = 12
-BITS = 32
-WINDOW = 64
-BLOCK_NODES = 512
-_SEED = 20240611
+#: Vectors of a block, and how many of them are compared with another block at a time.
+WINDOW = 1024
+SLAB = 256
 
 
 def unit_rows(column: pa.Array, dim: int) -> np.ndarray:
@@ -38,27 +32,6 @@ def unit_rows(column: pa.Array, dim: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _hashes(units: np.ndarray, passes: int) -> np.ndarray:
-    """``[row, pass]``: the concatenated signs of ``BITS`` projections."""
-    planes = np.random.default_rng([_SEED, units.shape[1]]).standard_normal((units.shape[1], passes * BITS))
-    signs = (units @ planes > 0).reshape(len(units), passes, BITS)
-    return signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-
-
-def _project(passes: int):
-    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dims = batch.column("dim").to_numpy()
-            for dim in np.unique(dims):
-                some = pa.Table.from_batches([batch]).filter(pa.array(dims == dim)).combine_chunks()
-                hashes = _hashes(unit_rows(some.column("vector").combine_chunks(), int(dim)), passes)
-                for k in range(passes):
-                    out = some.append_column("pass", pa.array(np.full(len(some), k, np.int32)))
-                    yield from out.append_column("hash", pa.array(hashes[:, k])).to_batches()
-
-    return project
-
-
 def _spanning(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
     """For n rows the smallest row that each is joined with by the pairs, directly or not."""
     label = np.arange(n)
@@ -73,62 +46,36 @@ def _spanning(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
-def _windows(similar: float, window: int):
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if not table.num_rows:
-                continue
-            carried = 0 if held is None else held.num_rows
-            table = table if held is None else pa.concat_tables([held, table])
-            left, right = _neighbours(table, carried, similar, window)
-            node = table.column("node").to_numpy()
-            least = _spanning(left, right, len(node))
-            joined = np.flatnonzero(least != np.arange(len(node)))
-            yield pa.RecordBatch.from_arrays([pa.array(node[joined]), pa.array(node[least[joined]])], ["u", "v"])
-            held = table.slice(max(0, table.num_rows - window)).combine_chunks()
-
-    return links
-
-
-def _neighbours(table: pa.Table, carried: int, similar: float, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows within a window of the same pass, label and dimension, of which the later is not carried over."""
-    same = np.column_stack([table.column(c).to_numpy() for c in ("pass", "label", "dim")])
-    edges = np.flatnonzero((same[1:] != same[:-1]).any(1)) + 1
-    lefts, rights = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for i, j in zip(np.r_[0, edges], np.r_[edges, len(same)]):
-        units = unit_rows(table.column("vector").slice(i, j - i).combine_chunks(), int(same[i, 2]))
-        for apart in range(1, min(window, j - i - 1) + 1):
-            near = np.flatnonzero(np.einsum("ij,ij->i", units[:-apart], units[apart:]) >= similar)
-            near = near[near + i + apart >= carried]
-            lefts.append(near + i)
-            rights.append(near + i + apart)
-    return np.concatenate(lefts), np.concatenate(rights)
-
-
-def _counts(similar: float):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, ["component", "dim", "i", "j"]):
+def _compared(similar: float):
+    """``node, links, least`` of linked nodes: links within two blocks, and the smallest row's node that they join it with."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, ["label", "dim", "i", "j"]):
             node, block, copies = (group.column(c).to_numpy() for c in ("node", "block", "copies"))
             i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
             units = unit_rows(group.column("vector").combine_chunks(), group.column("dim")[0].as_py())
             a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
-            linked = units[a] @ units[b].T >= similar
-            if i == j:
-                np.fill_diagonal(linked, False)
-            out = np.zeros(len(node), np.int64)
-            out[a] += linked @ copies[b]
-            if i != j:
-                out[b] += linked.T @ copies[a]
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(out)], ["node", "links"])
-
-    return count
+            others, out, least = units[b].T, np.zeros(len(node), np.int64), np.arange(len(node))
+            for k in range(0, len(a), SLAB):
+                some = a[k : k + SLAB]
+                linked = (units[some] @ others >= similar) & (some[:, None] != b)
+                left, right = np.nonzero(linked)
+                if not len(left):
+                    continue
+                out[some] += linked @ copies[b]
+                if i != j:
+                    out[b] += linked.T @ copies[some]
+                joined = np.flatnonzero(least != np.arange(len(node)))
+                least = _spanning(np.r_[joined, some[left]], np.r_[least[joined], b[right]], len(node))
+            found = np.flatnonzero(out)
+            yield pa.RecordBatch.from_arrays([pa.array(node[found]), pa.array(out[found]), pa.array(node[least[found]])], ["node", "links", "least"])
+
+    return compare
 
 
 def near_duplicates(
     df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label",
-    similar: float = SIMILAR, passes: int = PASSES, window: int = WINDOW,
+    similar: float = SIMILAR, window: int = WINDOW,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row; other columns are not looked at.
 
@@ -137,6 +84,7 @@ def near_duplicates(
     Equal vectors of a label are one node with so many copies, each linked with all others; rows that
     repeat an id count as different vectors. ``component_id`` is the smallest id reachable, ``kept`` marks
     the vector that bears it. NULL ids take part but never name a component with other ids.
+    ``window`` is the size of a block; results do not depend on it.
     """
     lean_batches(df.sparkSession)
     values = F.col("vector")
@@ -155,19 +103,8 @@ def near_duplicates(
         .select("*", F.size("vector").alias("dim"), F.monotonically_increasing_id().alias("node")),
         "vector-nodes",
     )
-    several = nodes.select("node", "label", "dim", "vector")
-    kind = dict(several.dtypes)["vector"]
-    projected = several.mapInArrow(_project(passes), f"node bigint, label bigint, dim int, vector {kind}, pass int, hash bigint")
-    order = ["pass", "label", "dim", "hash", "node"]
-    sorted_ = projected.repartitionByRange(*order).sortWithinPartitions(*order)
-    parts = components(sorted_.mapInArrow(_windows(similar, window), "u bigint, v bigint"))
-
-    sizes = parts.groupBy("component").agg((F.count("*") + 1).alias("n"))
-    # every component's smallest node is in `parts` only as the component
-    members = parts.union(sizes.select(F.col("component").alias("node"), "component")).join(
-        sizes.select("component", F.ceil(F.col("n") / BLOCK_NODES).cast("int").alias("blocks")), "component"
-    )
-    placed = members.join(nodes.select("node", "dim", "copies", "vector"), "node").withColumn(
+    sizes = stored(nodes.groupBy("label", "dim").agg(F.ceil(F.count("*") / window).cast("int").alias("blocks")), "vector-blocks")
+    placed = nodes.select("node", "label", "dim", "copies", "vector").join(sizes, ["label", "dim"]).withColumn(
         "block", F.pmod(F.xxhash64("node"), "blocks").cast("int")
     )
     paired = (
@@ -175,12 +112,15 @@ def near_duplicates(
         .withColumns({"i": F.least("block", "with"), "j": F.greatest("block", "with")})
         .drop("blocks", "with")
     )
-    dealt = paired.repartition("component", "i", "j").sortWithinPartitions("component", "dim", "i", "j")
-    links = dealt.mapInArrow(_counts(similar), "node bigint, links bigint").groupBy("node").agg(F.sum("links").alias("links"))
+    tile = ["label", "dim", "i", "j"]
+    dealt = paired.repartition(*tile).sortWithinPartitions(*tile)
+    found = stored(dealt.mapInArrow(_compared(similar), "node bigint, links bigint, least bigint"), "vector-pairs")
+    members = components(found.select(F.col("node").alias("u"), F.col("least").alias("v")))
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
 
     in_parts = stored(
         nodes.select("node", *key, "least_id", "copies")
-        .join(members.select("node", "component"), "node", "left")
+        .join(members, "node", "left")
         .join(links, "node", "left")
         .select(*key, "least_id", F.coalesce("component", "node").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")),
         "vector-links",
