@@ -453,6 +453,16 @@ def test_templates_generalise_and_reject(spark):
     assert {got[k].verdict for k in range(60)} == {"block"} and {got[k].verdict for k in range(60, 135)} == {"allow"}
 
 
+@pytest.mark.parametrize("times", [1, 10])
+def test_blocked_branches_do_not_decide_for_unlabelled_ones(spark, times):
+    paths = [f"es/{k}" for k in range(8)] + [f"fr/{k}" for k in range(100, 111)] + [f"de/{k}" for k in range(200, 214)]
+    urls = [f"http://h.net/{p}" for p in paths] + [f"http://h.com/{k}" for k in range(5)]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls * times)], "page_id long, url string")
+    got = url_templates.judge(df, {"net/es/": "block", "net/fr/": "block", "com/": "allow"}).collect()
+    assert len(got) == len(urls) * times
+    assert {(r.host, r.path[1:3], r.verdict) for r in got if r.host == "h.net"} == {("h.net", "es", "block"), ("h.net", "fr", "block"), ("h.net", "de", "allow")}
+
+
 def test_similar_branches_are_merged(spark):
     branches = spark.createDataFrame(
         [("h", "/a/*", 40, 40), ("h", "/b/*", 30, 29), ("h", "/c/*", 50, 2), ("h", "/d/*", 0, 0), ("g", "/a/*", 9, 9)],

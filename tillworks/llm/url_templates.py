@@ -1,9 +1,11 @@
 """URL filter by a tree of path templates per host.
 
-A path's segments are followed from the root. At each node of a host's tree the segments that many pages
-share stay literal, all others fall together in a wildcard. Sibling branches of one shape whose labelled
-pages are blocked at rates that do not differ beyond chance are merged. A template is rejected when its
-smoothed share of blocked pages is high. Explicit rules come first and supply the labels.
+A path's segments are followed from the root. At each node of a host's tree the labelled segments that are
+blocked at a rate differing beyond chance from the node's stay literal, as does the only labelled one; all
+others fall together in a wildcard. A segment without labels is judged by its labelled siblings, each of
+which is one vote however many pages it has, so a few large branches do not decide for others. Merged
+branches of one shape are judged by their labelled pages. A page is rejected when the lowest of these
+smoothed shares of blocked is high. Explicit rules come first and supply the labels. Equal addresses count once.
 """
 
 from __future__ import annotations
@@ -15,11 +17,9 @@ from tillworks.session import stored
 
 #: Levels of the tree; deeper segments fall together in one last wildcard.
 DEPTH = 4
-#: A segment stays literal when this many pages, and this share of its parent's, have it.
-MIN_PAGES, MIN_SHARE = 20, 0.02
-#: Standard errors by which a branch may differ from its siblings and still be merged with them.
+#: Standard errors by which a segment or branch may differ from its siblings and still be merged with them.
 CHANCE = 2.0
-#: Pages of prior belief (at the share of all labelled pages), and the purity from which on a template is rejected.
+#: Votes or pages of prior belief (at the share of all labelled addresses), and the purity from which on a page is rejected.
 PRIOR_PAGES, REJECT = 5.0, 0.9
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,23 +50,49 @@ def rule_for(host: Column, path: Column, rules: list[str]) -> Column:
     return F.coalesce(*fits, F.lit(None).cast("string"))
 
 
-def _templates(pages: DataFrame) -> DataFrame:
-    """Add ``template``: the path with its variable segments as wildcards. Pages are ``host, segments, blocked``."""
-    now = pages.withColumn("template", F.lit(""))
+def _labels() -> list[Column]:
+    return [F.count("given").alias("labelled"), F.count(F.when(F.col("given") == "block", 1)).alias("blocked")]
+
+
+def _alike(labelled: Column, blocked: Column, rate: Column) -> Column:
+    spread = F.sqrt(F.greatest(rate * (1 - rate), F.lit(0.01)) / labelled)
+    return F.abs(blocked / labelled - rate) <= CHANCE * spread
+
+
+def _smoothed(blocked: Column, of: Column, prior: float) -> Column:
+    return (blocked + PRIOR_PAGES * prior) / (of + PRIOR_PAGES)
+
+
+def _judged(here: DataFrame, prior: float) -> DataFrame:
+    """``host, template, segment, literal, segment_belief`` of the segments of nodes with labels; the belief only of those without."""
+    counts = here.groupBy("host", "template", "segment").agg(*_labels())
+    nodes = counts.where("labelled > 0").groupBy("host", "template").agg(
+        F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"),
+        F.count("*").alias("voters"), F.sum(F.col("blocked") / F.col("labelled")).alias("votes"),
+    )
+    rate = F.col("all_blocked") / F.col("all_labelled")
+    known = F.col("labelled") > 0
+    literal = F.when(known, (F.col("voters") == 1) | ~_alike(F.col("labelled"), F.col("blocked"), rate)).otherwise(False)
+    return counts.join(nodes, ["host", "template"]).select(
+        "host", "template", "segment", literal.alias("literal"),
+        F.when(~known, _smoothed(F.col("votes"), F.col("voters"), prior)).alias("segment_belief"),
+    )
+
+
+def _templates(addresses: DataFrame, prior: float) -> DataFrame:
+    """Add ``template``, the path with its variable segments as wildcards, and ``belief``, the least of the path's segments.
+
+    ``addresses`` is ``host, segments, given`` and further columns, with a row per address.
+    """
+    now = addresses.withColumns({"template": F.lit(""), "belief": F.lit(None).cast("double")})
     for level in range(DEPTH):
-        here = stored(now.withColumn("segment", F.get("segments", F.lit(level))), "url-level")
-        counts = here.where("segment IS NOT NULL").groupBy("host", "template", "segment").agg(F.count("*").alias("n"))
-        totals = counts.groupBy("host", "template").agg(F.sum("n").alias("total"))
-        literal = (
-            counts.where(F.col("n") >= MIN_PAGES)
-            .join(totals, ["host", "template"])
-            .where(F.col("n") >= MIN_SHARE * F.col("total"))
-            .select("host", "template", "segment", F.lit(True).alias("literal"))
-        )
-        step = F.when(F.col("segment").isNotNull(), F.concat(F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise(F.lit(WILD))))
-        now = here.join(literal, ["host", "template", "segment"], "left").withColumn(
-            "template", F.concat("template", F.coalesce(step, F.lit("")))
-        ).drop("segment", "literal")
+        # the end of a path is a segment too, an empty one
+        here = stored(now.withColumn("segment", F.coalesce(F.get("segments", F.lit(level)), F.lit(""))), "url-level")
+        step = F.concat(F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise(F.lit(WILD)))
+        now = here.join(_judged(here, prior), ["host", "template", "segment"], "left").withColumns({
+            "template": F.concat("template", F.when(F.col("segment") == "", F.lit("")).otherwise(step)),
+            "belief": F.least("belief", "segment_belief"),
+        }).drop("segment", "literal", "segment_belief")
     deeper = F.when(F.size("segments") > DEPTH, F.lit(f"/{REST}")).otherwise(F.lit(""))
     return now.withColumn("template", F.concat("template", deeper))
 
@@ -86,8 +112,7 @@ def _merged(branches: DataFrame) -> DataFrame:
             F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"), F.countDistinct("branch").alias("siblings")
         )
         rate = F.col("all_blocked") / F.col("all_labelled")
-        spread = F.sqrt(F.greatest(rate * (1 - rate), F.lit(0.01)) / F.col("labelled"))
-        alike = (F.col("siblings") > 1) & (F.col("labelled") > 0) & (F.abs(F.col("blocked") / F.col("labelled") - rate) <= CHANCE * spread)
+        alike = (F.col("siblings") > 1) & (F.col("labelled") > 0) & _alike(F.col("labelled"), F.col("blocked"), rate)
         now = here.join(pool, ["host", "shape"], "left").select(
             "host", "template", "labelled", "blocked", F.when(alike, F.col("shape")).otherwise(F.col("branch")).alias("branch")
         )
@@ -98,9 +123,10 @@ def judge(df: DataFrame, rules: dict[str, str], page_id: str = "page_id", url: s
     """``page_id, host, path, rule, verdict, template, purity`` for each row.
 
     ``rules`` maps rules to ``allow`` or ``block``; it is part of the plan, so it should stay a short list.
-    Where a rule fits, its verdict holds; else ``block`` when the smoothed share of blocked among the
-    labelled pages of the page's merged template reaches ``REJECT``. A template without labelled pages has
-    the prior share and, as that is mixed, is allowed unless all labels are ``block``. NULL urls and those
+    Where a rule fits, its verdict holds; else ``block`` when ``purity`` reaches ``REJECT``: the least of the
+    smoothed shares of blocked among the labelled pages of the page's merged template and, for each segment
+    of it without labels, among the votes of its labelled siblings. Pages with neither have the prior share
+    and, as that is mixed, are allowed unless all labels are ``block``. NULL urls and those
     without ``://`` have an empty host and path, no rule, and are allowed. Equal rows get equal results.
     """
     address = F.col(f"`{url}`")
@@ -108,21 +134,22 @@ def judge(df: DataFrame, rules: dict[str, str], page_id: str = "page_id", url: s
     pages = df.select(F.col(f"`{page_id}`").alias("page_id"), host(address).alias("host"), path(address).alias("path"))
     pages = pages.withColumn("rule", rule_for(F.col("host"), F.col("path"), list(rules)))
     given = F.lit(None).cast("string") if verdicts is None else F.when(F.col("rule").isNotNull(), verdicts[F.col("rule")])
+    pages = pages.withColumn("given", given)
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    placed = stored(_templates(pages.withColumn("given", given).withColumn("segments", segments)).drop("segments"), "url-templates")
+    addresses = pages.select("host", "path", "given").distinct().withColumn("segments", segments)
+    share = addresses.agg(*_labels()).select(((F.col("blocked") + 1) / (F.col("labelled") + 2)).alias("share")).first()["share"]
+    placed = stored(_templates(addresses, share).drop("segments"), "url-templates")
 
-    branches = placed.groupBy("host", "template").agg(
-        F.count("given").alias("labelled"), F.count(F.when(F.col("given") == "block", 1)).alias("blocked")
+    merged = stored(_merged(placed.groupBy("host", "template").agg(*_labels())), "url-branches")
+    pure = merged.groupBy("host", "branch").agg(
+        F.when(F.sum("labelled") > 0, _smoothed(F.sum("blocked"), F.sum("labelled"), share)).alias("purity")
     )
-    merged = stored(_merged(branches), "url-branches")
-    share = merged.agg(((F.sum("blocked") + 1) / (F.sum("labelled") + 2)).alias("share")).first()["share"]
-    prior = 0.5 if share is None else share
-    purity = (F.sum("blocked") + PRIOR_PAGES * prior) / (F.sum("labelled") + PRIOR_PAGES)
-    pure = merged.groupBy("host", "branch").agg(purity.alias("purity"))
-    learned = merged.join(pure, ["host", "branch"]).select("host", "template", "purity")
+    branches = merged.join(pure, ["host", "branch"]).select("host", "template", "purity")
+    purity = F.coalesce(F.least("belief", "purity"), F.lit(share))
+    learned = placed.join(branches, ["host", "template"], "left").select("host", "path", "template", purity.alias("purity"))
     verdict = F.coalesce(
         "given", F.when((F.col("purity") >= REJECT) & (F.col("host") != ""), F.lit("block")).otherwise(F.lit("allow"))
     )
-    return placed.join(learned, ["host", "template"], "left").select(
+    return pages.join(learned, ["host", "path"], "left").select(
         "page_id", "host", "path", "rule", verdict.alias("verdict"), "template", "purity"
     )
