@@ -463,6 +463,14 @@ def test_blocked_branches_do_not_decide_for_unlabelled_ones(spark, times):
     assert {(r.host, r.path[1:3], r.verdict) for r in got if r.host == "h.net"} == {("h.net", "es", "block"), ("h.net", "fr", "block"), ("h.net", "de", "allow")}
 
 
+def test_branches_that_differ_far_down_stay_apart(spark):
+    urls = [f"http://h.org/a/b/c/d/e/{kind}/{k}.html" for kind in ("bad", "good") for k in range(60)]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    rules = {f"h.org/a/b/c/d/e/{kind}/{k}.": verdict for kind, verdict in (("bad", "block"), ("good", "allow")) for k in range(30)}
+    got = {(r.template, r.verdict) for r in url_templates.judge(df, rules).collect()}
+    assert got == {("/a/b/c/d/e/bad/*", "block"), ("/a/b/c/d/e/good/*", "allow")}
+
+
 def test_similar_branches_are_merged(spark):
     branches = spark.createDataFrame(
         [("h", "/a/*", 40, 40), ("h", "/b/*", 30, 29), ("h", "/c/*", 50, 2), ("h", "/d/*", 0, 0), ("g", "/a/*", 9, 9)],

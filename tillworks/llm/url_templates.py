@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tillworks.session import stored
 
-#: Levels of the tree; deeper segments fall together in one last wildcard.
+#: Levels of the tree that are always followed, and deeper ones as long as a node has pages with and without labels.
+#: Segments below that, whose pages are all labelled or all not, fall together in one last wildcard.
 DEPTH = 4
 #: Standard errors by which a segment or branch may differ from its siblings and still be merged with them.
 CHANCE = 2.0
@@ -79,22 +80,34 @@ def _judged(here: DataFrame, prior: float) -> DataFrame:
     )
 
 
+def _open(here: DataFrame, level: int) -> bool:
+    """Whether a node has pages with and without labels, and one that goes on below ``level`` segments."""
+    nodes = here.groupBy("host", "template").agg(
+        F.count("given").alias("labelled"), F.count("*").alias("n"), F.max(F.size("segments")).alias("longest")
+    )
+    return not nodes.where((F.col("labelled") > 0) & (F.col("labelled") < F.col("n")) & (F.col("longest") > level)).isEmpty()
+
+
 def _templates(addresses: DataFrame, prior: float) -> DataFrame:
     """Add ``template``, the path with its variable segments as wildcards, and ``belief``, the least of the path's segments.
 
     ``addresses`` is ``host, segments, given`` and further columns, with a row per address.
     """
     now = addresses.withColumns({"template": F.lit(""), "belief": F.lit(None).cast("double")})
-    for level in range(DEPTH):
+    level = 0
+    while True:
         # the end of a path is a segment too, an empty one
         here = stored(now.withColumn("segment", F.coalesce(F.get("segments", F.lit(level)), F.lit(""))), "url-level")
+        if level >= DEPTH and not _open(here, level):
+            break
         step = F.concat(F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise(F.lit(WILD)))
         now = here.join(_judged(here, prior), ["host", "template", "segment"], "left").withColumns({
             "template": F.concat("template", F.when(F.col("segment") == "", F.lit("")).otherwise(step)),
             "belief": F.least("belief", "segment_belief"),
         }).drop("segment", "literal", "segment_belief")
-    deeper = F.when(F.size("segments") > DEPTH, F.lit(f"/{REST}")).otherwise(F.lit(""))
-    return now.withColumn("template", F.concat("template", deeper))
+        level += 1
+    deeper = F.when(F.size("segments") > level, F.lit(f"/{REST}")).otherwise(F.lit(""))
+    return here.drop("segment").withColumn("template", F.concat("template", deeper))
 
 
 def _merged(branches: DataFrame) -> DataFrame:
@@ -102,8 +115,9 @@ def _merged(branches: DataFrame) -> DataFrame:
 
     ``branches`` is ``host, template, labelled, blocked`` and has a row per template.
     """
-    now = branches.withColumn("branch", F.col("template"))
-    for level in range(DEPTH):
+    now = stored(branches.withColumn("branch", F.col("template")), "url-branch-level")
+    depth = now.agg(F.max(F.size(F.split("template", "/")) - 1).alias("depth")).first()["depth"]
+    for level in range(depth or 0):
         parts = F.split("branch", "/")
         shape = F.array_join(F.transform(parts, lambda s, k: F.when(k == level + 1, F.lit("?")).otherwise(s)), "/")
         literal = (F.size(parts) > level + 1) & ~F.coalesce(F.get(parts, F.lit(level + 1)), F.lit(WILD)).isin(WILD, REST)
@@ -116,6 +130,7 @@ def _merged(branches: DataFrame) -> DataFrame:
         now = here.join(pool, ["host", "shape"], "left").select(
             "host", "template", "labelled", "blocked", F.when(alike, F.col("shape")).otherwise(F.col("branch")).alias("branch")
         )
+        now = stored(now, "url-branch-level")  # read twice by each level
     return now
 
 
@@ -140,7 +155,7 @@ def judge(df: DataFrame, rules: dict[str, str], page_id: str = "page_id", url: s
     share = addresses.agg(*_labels()).select(((F.col("blocked") + 1) / (F.col("labelled") + 2)).alias("share")).first()["share"]
     placed = stored(_templates(addresses, share).drop("segments"), "url-templates")
 
-    merged = stored(_merged(placed.groupBy("host", "template").agg(*_labels())), "url-branches")
+    merged = _merged(placed.groupBy("host", "template").agg(*_labels()))
     pure = merged.groupBy("host", "branch").agg(
         F.when(F.sum("labelled") > 0, _smoothed(F.sum("blocked"), F.sum("labelled"), share)).alias("purity")
     )
