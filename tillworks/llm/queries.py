@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tillworks.llm import compression_classifier, entropy_mix, lattice_lm, minhash, projection_dedup, quality_rules, sentence_pieces, shard_table, token_records, url_templates
+from tillworks.llm import byte_fst, compression_classifier, entropy_mix, lattice_lm, minhash, projection_dedup, quality_rules, sentence_pieces, shard_table, token_records, url_templates
 from tillworks.llm.texts import id_remainder, lean_batches
 from tillworks.session import work_dir
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -88,6 +89,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col("quality")[name].alias(name) for name in names])
 
 
+def op11_byte_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lean_batches(spark)
+    documents = _table(spark, sf_dir, "documents")
+    return documents.select("doc_id", byte_fst.round_trip_digest(F.col("text"), BYTE_RANKS).alias("d")).select("doc_id", "d.*")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -101,6 +108,7 @@ QUERIES = {
         op8_url_filters,
         op9_sentence_pieces,
         op10_quality_rules,
+        op11_byte_fst,
     )
 }
 
