@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tillworks.llm import byte_fst, compression_classifier, entropy_mix, lattice_lm, minhash, projection_dedup, quality_rules, sentence_pieces, shard_table, token_records, url_templates
+from tillworks.llm import byte_fst, compression_classifier, entropy_mix, lattice_lm, merkle, minhash, projection_dedup, quality_rules, sentence_pieces, shard_table, token_records, url_templates
 from tillworks.llm.texts import id_remainder, lean_batches
 from tillworks.session import work_dir
 
@@ -95,6 +95,26 @@ def op11_byte_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", byte_fst.round_trip_digest(F.col("text"), BYTE_RANKS).alias("d")).select("doc_id", "d.*")
 
 
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")  # fixed values of the task
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "merkle")
+    lowered = [F.translate("text", UPPER, LOWER) if c == "text" else F.col(c) for c in LEAF_COLUMNS]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    manifest = merkle.build(
+        _table(spark, sf_dir, "documents"), f"{path}/manifest", "doc_id", "source", LEAF_COLUMNS, carry={"tampered": F.when(chosen, merkle.leaf(lowered))}
+    )
+    found = merkle.proofs(manifest, manifest.leaves.drop("group"), f"{path}/descent")
+    subroots = manifest.trees.select(F.col("tree").alias("of"), "subroot")
+    checked = found.join(subroots, F.col("tree") == F.col("of")).select(
+        F.col("id").alias("doc_id"), F.col("found").alias("leaf"), "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"), "rank",
+    )
+    return checked.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -109,6 +129,7 @@ QUERIES = {
         op9_sentence_pieces,
         op10_quality_rules,
         op11_byte_fst,
+        op12_merkle_manifest,
     )
 }
 
@@ -117,7 +138,57 @@ _REACHED = """
                            FROM reached JOIN both_ways ON reached.id = both_ways.a),
     parts AS (SELECT id, min(least) AS component_id FROM reached GROUP BY id)"""
 
-#: SQL over all pairs for the two whose results are fixed by their inputs. Sketches, trained models, library
+# Unsigned crc32 of an id's decimal text, bit by bit (fixed value: the reversed polynomial 0xEDB88320).
+_CRC32 = """xor(list_reduce([ascii(x) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')],
+    lambda crc, byte: list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, byte)), 4294967295), 4294967295)"""
+
+
+def _merkle_sql(heights: int = 8, top_heights: int = 3) -> str:
+    """The trees level by level; a tree that has come down to one node stays as it is."""
+    def leaf(text: str) -> str:
+        parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END" for c in (*LEAF_COLUMNS[:-1], text)]
+        return f"sha256({' || '.join(parts)})"
+
+    def climb(tree: str, highest: int) -> str:
+        out = ""
+        for k in range(highest):
+            out += f"""{tree}{k + 1} AS (
+                SELECT s, p // 16 AS p, list(d ORDER BY p) AS children, max(n) = 1 AS lone,
+                       CASE WHEN max(n) = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY p)) END AS d
+                FROM (SELECT s, p, d, count(*) OVER (PARTITION BY s) AS n FROM {tree}{k}) GROUP BY s, p // 16),"""
+        return out
+
+    def siblings(tree: str, rank: str, s: str, highest: int, start: str) -> str:
+        out = ""
+        for k in range(highest):
+            digit = f"CAST({rank} // {16**k} % 16 AS INT)"
+            out += f"""{tree}_path{k + 1} AS (
+                SELECT x.* EXCLUDE (proof, fold, lone, l, r), CASE WHEN lone THEN proof ELSE proof || l || r END AS proof,
+                       CASE WHEN lone THEN fold ELSE sha256(l || fold || r) END AS fold
+                FROM (SELECT x.*, lone, array_to_string(children[:{digit}], '') AS l, array_to_string(children[{digit} + 2:], '') AS r
+                      FROM {start} AS x JOIN {tree}{k + 1} AS t ON t.s = {s} AND t.p = {rank} // {16 ** (k + 1)}) AS x),"""
+            start = f"{tree}_path{k + 1}"
+        return out
+
+    lower = f"translate(text, '{UPPER}', '{LOWER}')"
+    return f"""
+        WITH leaves AS (
+            SELECT doc_id, source, {leaf("text")} AS leaf, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+                   CASE WHEN {_CRC32} % 5 = 0 THEN {leaf(lower)} END AS tampered FROM documents),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM leaves),
+        g0 AS (SELECT tree AS s, rank AS p, leaf AS d FROM ranked),
+        {climb("g", heights)}
+        t0 AS (SELECT 0 AS s, s AS p, d FROM g{heights}),
+        {climb("t", top_heights)}
+        start AS (SELECT *, '' AS proof, coalesce(tampered, leaf) AS fold FROM ranked),
+        {siblings("g", "rank", "tree", heights, "start")}
+        {siblings("t", "tree", "0", top_heights, f"g_path{heights}")}
+        found AS (SELECT x.*, g{heights}.d AS subroot, t{top_heights}.d AS root
+                  FROM t_path{top_heights} AS x JOIN g{heights} ON g{heights}.s = x.tree CROSS JOIN t{top_heights})
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, fold AS folded_root, rank, fold = root AS verified FROM found"""
+
+
+#: SQL for those whose results are fixed by their inputs, the near-duplicates over all pairs. Sketches, trained models, library
 #: encoders and a table filled by turns are not plain SQL; tests compare those with brute force instead.
 ORACLE_SQL: dict[str, str] = {
     "op2_projection_dedup": f"""
@@ -149,4 +220,5 @@ ORACLE_SQL: dict[str, str] = {
         {_REACHED}
         SELECT parts.id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, parts.id = component_id AS kept
         FROM parts LEFT JOIN sizes ON sizes.id = parts.id""",
+    "op12_merkle_manifest": _merkle_sql(),
 }
