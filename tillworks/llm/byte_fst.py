@@ -29,9 +29,9 @@ import public_tokenizers
 
 #: Steps of the transducer, pair tests and pieces that a worker remembers. Beyond it the steps and tests are
 #: made anew, and the pieces not met lately go; results are the same.
-STEPS, PAIRS, PIECES = 250_000, 200_000, 200_000
-#: Characters of a piece that is remembered, pieces encoded and ids decoded at a time.
-SHORT, BLOCK = 32, 16_384
+STEPS, PAIRS, PIECES = 500_000, 200_000, 300_000
+#: Characters of a piece that is remembered; pieces encoded or ids decoded at a time; characters of a text that is not split at once.
+SHORT, BLOCK, LONG = 32, 16_384, 1 << 20
 _NONE = 1 << 60
 
 
@@ -44,6 +44,10 @@ def _read(path: str) -> bytes:
         return stream.read()
 
 
+class _Unsplit(Exception):
+    """White space stands next to a single space, so a text cannot be split there."""
+
+
 class Recent:
     """A bounded dictionary of two generations: what was not asked for since the last turn goes."""
 
@@ -82,13 +86,22 @@ class Transducer:
                     self._ends.append(-1)
                 node = following
             self._ends[node] = i
+        self.complete = np.zeros(max(self.tokens) + 2, bool)  # of each id whether its bytes are whole characters
+        for token, i in self.ranks.items():
+            try:
+                token.decode()
+                self.complete[i] = True
+            except UnicodeDecodeError:
+                pass
         self._merged: dict[int, tuple[list[int], list[bytes], list[bytes], bool]] = {}
         self._pairs: dict[int, bool] = {}
         self._restart()
 
     def _restart(self) -> None:
         start = ((0, -1, ()),)
-        self._states, self._numbers, self._steps = [start], {start: 0}, {}
+        self._states, self._numbers = [start], {start: 0}
+        self._steps: dict[int, int] = {}
+        self._decided: dict[int, bytes] = {}
 
     def _merging(self, data: bytes) -> tuple[list[int], list[bytes], list[bytes], list[bytes]]:
         """The definition, for short strings: join the adjacent pair of least rank, leftmost first, until none is a token.
@@ -134,9 +147,9 @@ class Transducer:
         if len(self._pairs) >= PAIRS:
             self._pairs.clear()
         before, _, lasts, _ = self._moments(left)
-        after, firsts, _, _ = self._moments(right)
+        after, firsts, _, known = self._moments(right)
         i = j = 0
-        while True:
+        while known:  # a token that merging does not give stands beside nothing
             across = self.ranks.get(lasts[i] + firsts[j], _NONE)
             if across < before[i] and across <= after[j]:
                 known = False
@@ -146,48 +159,54 @@ class Transducer:
             elif before[i] < _NONE:
                 i += 1
             else:
-                known = True
                 break
         self._pairs[key] = known
         return known
 
-    def _step(self, key: int) -> tuple[int, bytes]:
-        """Make the step of ``state << 8 | byte``: the next state and the ids that are decided by it."""
-        byte, ways, found = key & 255, [], None
+    def _step(self, key: int) -> int:
+        """Make the step of ``state << 8 | byte``: twice the next state, and one more if ids are decided by it."""
+        byte, ways, found, children = key & 255, [], None, self._children
         for node, last, path in self._states[key >> 8]:
-            node = self._children.get(node << 8 | byte)
+            node = children.get(node << 8 | byte)
             if node is None:
                 continue
             ways.append((node, last, path))
-            token = self._ends[node]
-            if found is None and token >= 0 and self.whole(token) and (last < 0 or self.fits(last, token)):
-                found = (0, token, (*path, token))
+            if found is None:
+                token = self._ends[node]
+                if token >= 0 and (self.whole(token) if last < 0 else self.fits(last, token)):
+                    found = (0, token, (*path, token))
         ways.append(found)
         shared = 0
-        for column in zip(*[path for _, _, path in ways]):
-            if column.count(column[0]) < len(column):
-                break
-            shared += 1
-        decided = ways[0][2][:shared]
-        state = tuple((node, last, path[shared:]) for node, last, path in ways)
+        if ways[0][2]:
+            for column in zip(*[path for _, _, path in ways]):
+                if column.count(column[0]) < len(column):
+                    break
+                shared += 1
+        if shared:
+            self._decided[key] = struct.pack(f"<{shared}I", *ways[0][2][:shared])
+            ways = [(node, last, path[shared:]) for node, last, path in ways]
+        state = tuple(ways)
         number = self._numbers.get(state)
         if number is None:
             number = self._numbers[state] = len(self._states)
             self._states.append(state)
-        step = self._steps[key] = (number, struct.pack(f"<{len(decided)}I", *decided))
+        step = self._steps[key] = number << 1 | (shared > 0)
         return step
 
     def run(self, pieces: Iterable[bytes]) -> Iterator[bytes]:
         """Packed ids of one string given in parts, as they are decided."""
         if len(self._steps) >= STEPS:
             self._restart()
-        state, steps, step = 0, self._steps, self._step
+        state, known, make, decided = 0, self._steps.get, self._step, self._decided
         for piece in pieces:
             for byte in piece:
                 key = state << 8 | byte
-                state, out = steps.get(key) or step(key)
-                if out:
-                    yield out
+                step = known(key)
+                if step is None:
+                    step = make(key)
+                if step & 1:
+                    yield decided[key]
+                state = step >> 1
         rest = self._states[state][-1][2]
         if rest:
             yield struct.pack(f"<{len(rest)}I", *rest)
@@ -199,27 +218,61 @@ class Transducer:
 
 
 class Encoder:
-    """Splits texts by a pattern and encodes each match by itself."""
+    """Splits texts by a pattern and encodes each match by itself.
+
+    The given pattern always splits before a single space between two characters that are no white space.
+    What stands between two such places is remembered with its ids.
+    """
 
     def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
         self.machine = Transducer(path)
         self._pattern = regex.compile(pattern)
-        self._recent = Recent(PIECES)
+        self._splits = pattern == public_tokenizers.PATTERN
+        self._recent, self._encoded = Recent(PIECES), Recent(PIECES)
 
-    def _new(self, piece: str) -> bytes:
-        found = self._recent.get(piece)
+    def _piece(self, piece: str) -> bytes:
+        found = self._encoded.get(piece)
         if found is None:
             found = self.machine.encode(piece.encode())
             if len(piece) <= SHORT:
-                self._recent.put(piece, found)
+                self._encoded.put(piece, found)
+        return found
+
+    def _pieces(self, text: str) -> bytes:
+        known, piece = self._encoded.young.get, self._piece
+        return b"".join([known(p) or piece(p) for p in self._pattern.findall(text)])
+
+    def _between(self, part: str) -> bytes:
+        """Ids of a space and what follows it up to the next one; raises _Unsplit where the pattern need not split."""
+        found = self._recent.get(part)
+        if found is None:
+            if not part or part[0].isspace() or part[-1].isspace():
+                raise _Unsplit
+            found = self._pieces(" " + part)
+            if len(part) <= SHORT:
+                self._recent.put(part, found)
         return found
 
+    def _matches(self, text: str) -> Iterator[bytes]:
+        """Packed ids of any text, some matches at a time."""
+        matches = self._pattern.finditer(text)
+        while pieces := [m[0].encode() for m in itertools.islice(matches, BLOCK)]:
+            yield b"".join(map(self.machine.encode, pieces))
+
     def blocks(self, text: str | None) -> Iterator[bytes]:
         """Packed ids (little-endian, four bytes) of a whole text, block by block; NULL counts as empty."""
-        matches = self._pattern.finditer(text or "")
-        while pieces := [m[0] for m in itertools.islice(matches, BLOCK)]:
-            known, new = self._recent.young.get, self._new
-            yield b"".join([known(p) or new(p) for p in pieces])
+        text = text or ""
+        if not self._splits or len(text) > LONG or text != text.strip():
+            yield from self._matches(text)
+            return
+        first, *parts = text.split(" ")
+        known, between = self._recent.young.get, self._between
+        try:
+            if first[-1:].isspace():
+                raise _Unsplit
+            yield self._pieces(first) + b"".join([known(p) or between(p) for p in parts])
+        except _Unsplit:
+            yield from self._matches(text)
 
     def encode(self, text: str | None) -> np.ndarray:
         return np.frombuffer(b"".join(self.blocks(text)), "<u4")
@@ -263,6 +316,7 @@ class StreamDecoder:
 
     def __init__(self, machine: Transducer, steps: dict[int, int] | None = None):
         self._tokens, self._steps = machine.tokens, {} if steps is None else steps
+        self._complete = machine.complete
         self._state, self._rest = 0, b""
 
     def _step(self, key: int) -> int:
@@ -272,14 +326,23 @@ class StreamDecoder:
         self._steps[key] = state
         return state
 
-    def feed(self, ids: Iterable[int]) -> bytes:
+    def feed(self, ids: np.ndarray | list[int]) -> bytes:
         """Bytes of the characters that the ids complete. An id that the file does not have raises KeyError."""
-        ids, state, known = list(ids), self._state, self._steps.get
-        for i in ids:
-            following = known(state << 32 | i)
-            state = self._step(state << 32 | i) if following is None else following
-        tokens = self._tokens
-        data = self._rest + b"".join([tokens[i] for i in ids])
+        ids, state, known = np.asarray(ids, np.int64), self._state, self._steps.get
+        # Tokens of whole characters leave the state between characters as it is; only the others take steps.
+        odd = np.flatnonzero(~self._complete[np.minimum(ids, len(self._complete) - 1)])
+        following, ids = 0, ids.tolist()
+        for k in odd.tolist():
+            if state and k != following:
+                state = 0  # a whole character broke off an incomplete one
+            key = state << 32 | ids[k]
+            state = known(key)
+            if state is None:
+                state = self._step(key)
+            following = k + 1
+        if following != len(ids):
+            state = 0
+        data = self._rest + b"".join([self._tokens[i] for i in ids])
         self._state, cut = state, len(data) - HELD[state]
         self._rest = data[cut:]
         return data[:cut]
@@ -359,7 +422,7 @@ def round_trip_digest(text: Column, path: str) -> Column:
             for packed in e.blocks(t.as_py()):
                 n += len(packed) // 4
                 ids_hash.update(packed)
-                text_hash.update(stream.feed(np.frombuffer(packed, "<u4").tolist()))
+                text_hash.update(stream.feed(np.frombuffer(packed, "<u4")))
             text_hash.update(stream.finish())
             counts.append(n)
             ids_hashes.append(ids_hash.hexdigest())
