@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tillworks.llm import byte_fst, compression_classifier, entropy_mix, lattice_lm, merkle, minhash, projection_dedup, quality_rules, sentence_pieces, shard_table, token_records, url_templates
+from tillworks.llm import byte_fst, collocations, compression_classifier, entropy_mix, lattice_lm, merkle, minhash, projection_dedup, quality_rules, sentence_pieces, shard_table, token_records, url_templates
 from tillworks.llm.texts import id_remainder, lean_batches
 from tillworks.session import work_dir
 
@@ -115,6 +115,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -130,6 +134,7 @@ QUERIES = {
         op10_quality_rules,
         op11_byte_fst,
         op12_merkle_manifest,
+        op13_collocations,
     )
 }
 
@@ -221,4 +226,26 @@ ORACLE_SQL: dict[str, str] = {
         SELECT parts.id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, parts.id = component_id AS kept
         FROM parts LEFT JOIN sizes ON sizes.id = parts.id""",
     "op12_merkle_manifest": _merkle_sql(),
+    "op13_collocations": f"""
+        WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+        pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+        words AS (SELECT lang, [x FOR x IN string_split_regex(piece, '[\x20\x09]+') IF x <> ''] AS w FROM pieces),
+        grams AS (
+            SELECT lang, 1 AS width, unnest(w) AS phrase FROM words
+            UNION ALL SELECT lang, 2, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM words WHERE len(w) > 1
+            UNION ALL SELECT lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) FROM words WHERE len(w) > 2),
+        counted AS (SELECT lang, width, phrase, count(*) AS n FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM counted WHERE width = 1 GROUP BY lang),
+        candidates AS (SELECT lang, width, phrase, n AS a, string_split(phrase, ' ') AS w FROM counted WHERE width > 1 AND n >= 10),
+        cuts AS (SELECT lang, width, phrase, a, w, unnest(range(1, width)) AS k FROM candidates),
+        scored AS (SELECT c.lang, c.width, c.phrase, c.a, k, x.n AS l, y.n AS r,
+                          CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+                   FROM cuts AS c JOIN counted AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ')
+                   JOIN counted AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inner_parts AS (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM candidates WHERE width = 3),
+        around AS (SELECT lang, phrase, max(a) AS most FROM inner_parts GROUP BY ALL),
+        kept AS (SELECT best.* FROM best LEFT JOIN around USING (lang, phrase) WHERE 100 * coalesce(most, 0) < 50 * a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
 }
