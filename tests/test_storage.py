@@ -1,3 +1,5 @@
+import random
+import shutil
 from datetime import date, datetime
 
 import pytest
@@ -5,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tillworks import session
 from tillworks.layout import day_columns
+from tillworks.operators.numbering import numbered
 from tillworks.schemas import DIM_STORE
-from tillworks.sources import lake, serving, snapshots
+from tillworks.sources import lake, serving, snapshots, versions
 
 DAY = date(2026, 1, 2)
 SCHEMA = "id string, v int, reason string"
@@ -65,63 +68,197 @@ def test_serving_merge_moves_periods_and_leaves_others(spark, tmp_path):
     first = sales(spark, ("a", "1", 1, (2026, 1, 5)), ("b", "1", 2, (2026, 2, 5)), ("c", "1", 3, (2026, 3, 5)))
     keys = ["id", "p"]
     serving.merge_table(spark, root, first.schema, first, keys)
-    untouched = sorted((tmp_path / "fact" / "sale_period=202602").iterdir())
+    untouched = sorted((tmp_path / "fact" / "sale_period=202602").rglob("*"))
     moved = sales(spark, ("a", "1", 9, (2026, 3, 1)), ("d", "1", 4, (2026, 3, 2)))
     assert serving.merge_table(spark, root, first.schema, moved, keys) == ["202601", "202603"]
     expected = [("a", 9, "202603"), ("b", 2, "202602"), ("c", 3, "202603"), ("d", 4, "202603")]
     assert content(spark, root, first.schema) == expected
-    assert sorted((tmp_path / "fact" / "sale_period=202602").iterdir()) == untouched
+    assert sorted((tmp_path / "fact" / "sale_period=202602").rglob("*")) == untouched
     serving.merge_table(spark, root, first.schema, moved, keys)
     assert content(spark, root, first.schema) == expected
 
 
-def test_broken_off_replacement_is_completed(spark, tmp_path, monkeypatch):
-    root = str(tmp_path / "fact")
-    first = sales(spark, ("a", "1", 1, (2026, 1, 5)))
-    serving.merge_table(spark, root, first.schema, first, ["id", "p"])
-    real = serving.finish_pending
-    calls = []
-
-    def fail_after_decision(*args):
-        calls.append(1)
-        if len(calls) == 2:
-            raise RuntimeError("lost")
-        return real(*args)
-
-    monkeypatch.setattr(serving, "finish_pending", fail_after_decision)
-    with pytest.raises(RuntimeError):
-        serving.merge_table(spark, root, first.schema, sales(spark, ("a", "1", 5, (2026, 2, 5))), ["id", "p"])
-    monkeypatch.setattr(serving, "finish_pending", real)
-    assert content(spark, root, first.schema) == [("a", 1, "202601")]
-    assert real(spark, root)
-    assert content(spark, root, first.schema) == [("a", 5, "202602")]
-    assert not real(spark, root)
-
-
-def test_serial_numbers_survive_merges(spark, tmp_path):
-    root = str(tmp_path / "fact")
-    batch = sales(spark, ("a", "1", 1, (2026, 1, 5)), ("b", "1", 2, (2026, 1, 6)))
-    schema = batch.select(F.lit(1).cast("bigint").alias("sale_key"), "*").schema
-    serving.merge_table(spark, root, schema, batch, ["id", "p"], serial="sale_key")
-    before = {r.id: r.sale_key for r in serving.read_table(spark, root, schema).collect()}
-    more = sales(spark, ("a", "1", 7, (2026, 1, 5)), ("c", "1", 2, (2026, 1, 7)))
-    serving.merge_table(spark, root, schema, more, ["id", "p"], serial="sale_key")
-    after = {r.id: r.sale_key for r in serving.read_table(spark, root, schema).collect()}
-    assert {k: after[k] for k in before} == before and after["c"] > max(before.values())
+class Lost(Exception):
+    """A driver that dies."""
+
+
+def broken_off(monkeypatch, owner, name, at=1):
+    """The function fails from its ``at``-th call on."""
+    real, calls = getattr(owner, name), []
+
+    def lost(*args, **options):
+        calls.append(args)
+        if len(calls) >= at:
+            raise Lost
+        return real(*args, **options)
 
+    monkeypatch.setattr(owner, name, lost)
 
-def test_a_half_moved_replacement_goes_on(spark, tmp_path):
+
+@pytest.mark.parametrize("step", ["finish_pending", "mark", "expire"])
+def test_broken_off_merge_is_completed(spark, tmp_path, monkeypatch, step):
+    root = str(tmp_path / "fact")
+    first = sales(spark, ("a", "1", 1, (2026, 1, 5)), ("z", "1", 3, (2026, 5, 5)))
+    serving.merge_table(spark, root, first.schema, first, ["id", "p"])
+    before = content(spark, root, first.schema)
+    with monkeypatch.context() as patch:
+        broken_off(patch, versions, step)
+        with pytest.raises(Lost):
+            serving.merge_table(spark, root, first.schema, sales(spark, ("a", "1", 5, (2026, 2, 5))), ["id", "p"])
+        if step != "expire":
+            assert content(spark, root, first.schema) == before
+    assert versions.finish_pending(spark, root)
+    after = [("a", 5, "202602"), ("z", 3, "202605")]
+    assert content(spark, root, first.schema) == after
+    assert not versions.finish_pending(spark, root)
+    serving.merge_table(spark, root, first.schema, sales(spark, ("a", "1", 6, (2026, 2, 5))), ["id", "p"])
+    assert content(spark, root, first.schema) == [("a", 6, "202602"), ("z", 3, "202605")]
+
+
+def test_merge_opens_the_admitted_periods_alone(spark, tmp_path):
+    """Twelve periods; a batch corrects rows of two and moves one of them to a third. The other rows can't even be read."""
+    root, keys = str(tmp_path / "fact"), ["id", "p"]
+    first = sales(spark, *[(f"k{m}-{i}", str(i % 3), i, (2026, m, 1 + i)) for m in range(1, 13) for i in range(20)])
+    serving.merge_table(spark, root, first.schema, first, keys)
+    batch = sales(spark, ("k3-4", "1", 100, (2026, 3, 5)), ("k7-5", "2", 200, (2026, 9, 1)), ("new", "0", 300, (2026, 9, 2)))
+    assert serving.admitted_periods(spark, root, batch, keys) == ["202603", "202607"]
+    hidden = {}
+    for part in (tmp_path / "fact").iterdir():
+        if part.name[-6:] not in ("202603", "202607", "202609"):
+            for file in part.glob("version=*/part-*"):
+                hidden[file] = file.read_bytes()
+                file.write_bytes(b"no Parquet")
+                file.with_name(f".{file.name}.crc").unlink()
+    assert len(hidden) >= 9
+    assert serving.merge_table(spark, root, first.schema, batch, keys) == ["202603", "202607", "202609"]
+    for file, data in hidden.items():
+        file.write_bytes(data)
+    expected = {r.id: r.v for r in first.collect()} | {"k3-4": 100, "k7-5": 200, "new": 300}
+    got = serving.read_table(spark, root, first.schema).collect()
+    assert len(got) == len(expected) and {r.id: r.v for r in got} == expected
+
+
+def test_no_match_is_lost(spark, tmp_path):
+    """Merges of random batches against a dictionary, with keys that move between periods and periods that empty."""
+    dice, root, keys, known = random.Random(8), str(tmp_path / "fact"), ["id", "p"], {}
+    for _ in range(5):
+        rows = {(f"k{dice.randrange(60)}", "1"): (dice.randrange(99), (2026, dice.randrange(1, 7), 3)) for _ in range(25)}
+        batch = sales(spark, *[(*key, *value) for key, value in rows.items()])
+        truly = {f"{known[k][1][0]}{known[k][1][1]:02d}" for k in rows if k in known}
+        if known:
+            assert set(serving.admitted_periods(spark, root, batch, keys)) == truly
+        serving.merge_table(spark, root, batch.schema, batch, keys)
+        known |= rows
+        expected = sorted((k[0], v, f"{at[0]}{at[1]:02d}") for k, (v, at) in known.items())
+        assert content(spark, root, batch.schema) == expected
+
+
+def test_periods_without_a_sketch_are_admitted(spark, tmp_path):
     root = str(tmp_path / "fact")
-    first = sales(spark, ("a", "1", 1, (2026, 1, 5)), ("b", "1", 2, (2026, 2, 5)), ("e", "1", 2, (2026, 4, 5)))
+    first = sales(spark, ("a", "1", 1, (2026, 1, 5)), ("b", "1", 2, (2026, 2, 5)))
     serving.merge_table(spark, root, first.schema, first, ["id", "p"])
-    pending = tmp_path / "fact_pending"
-    # decided: January was moved already, February waits, April is to be emptied
-    new = sales(spark, ("b", "1", 7, (2026, 2, 5))).withColumn("sale_period", F.lit("202602"))
-    new.write.partitionBy("sale_period").parquet(str(pending / "rows"))
-    decided = [("202601", True), ("202602", True), ("202604", False)]
-    spark.createDataFrame(decided, "sale_period string, filled boolean").write.parquet(str(pending / "periods"))
-    assert serving.finish_pending(spark, root)
-    assert content(spark, root, first.schema) == [("a", 1, "202601"), ("b", 7, "202602")]
+    (sketch,) = (tmp_path / "fact" / "sale_period=202602").glob("version=*/_keys")
+    shutil.rmtree(sketch)
+    batch = sales(spark, ("x", "1", 9, (2026, 3, 1)))
+    assert serving.admitted_periods(spark, root, batch, ["id", "p"]) == ["202602"]
+    assert serving.merge_table(spark, root, first.schema, batch, ["id", "p"]) == ["202603"]
+
+
+def test_serial_numbers_have_no_gaps_over_merges(spark, tmp_path):
+    root, keys = str(tmp_path / "fact"), ["id", "p"]
+    schema = sales(spark).select(F.lit(1).cast("bigint").alias("sale_key"), "*").schema
+    given, dice = {}, random.Random(9)
+    for _ in range(3):
+        ids = dice.sample(range(400), 150)
+        batch = sales(spark, *[(f"k{i:03d}", "1", i, (2026, dice.randrange(1, 13), 5)) for i in ids]).repartition(6)
+        serving.merge_table(spark, root, schema, batch, keys, serial="sale_key")
+        fresh = sorted(f"k{i:03d}" for i in ids if f"k{i:03d}" not in given)
+        given |= {key: len(given) + n for n, key in enumerate(fresh, 1)}
+        got = {r.id: r.sale_key for r in serving.read_table(spark, root, schema).collect()}
+        assert got == given and sorted(got.values()) == list(range(1, len(given) + 1))
+    for note in (tmp_path / "fact").rglob("_highest.*"):
+        note.unlink()
+    assert serving.highest_number(spark, root, schema, "sale_key") == len(given)
+
+
+def test_numbers_are_dense_whatever_the_tasks(spark):
+    rows = spark.range(5000).select(F.hash("id").alias("h"), "id").repartition(13)
+    with numbered(rows, ["h", "id"], "n", after=7) as out:
+        got = [(r.n, r.h, r.id) for r in out.collect()]
+    expected = sorted((r.h, r.id) for r in rows.collect())
+    assert sorted(got) == [(8 + i, *row) for i, row in enumerate(expected)]
+    with numbered(rows.limit(0), ["id"], "n") as out:
+        assert out.count() == 0
+
+
+DAYS = "id string, at timestamp, v int"
+
+
+def days_of(spark, v, *days):
+    return lake.with_day(spark.createDataFrame([(f"r{d}-{i}", datetime(2026, 1, d, 5), v) for d in days for i in range(5)], DAYS), "at")
+
+
+def seen(spark, root):
+    rows = lake.scan_days(spark, root, spark.createDataFrame([], DAYS).schema).collect()
+    assert all(r.day == f"{r.at.day:02d}" for r in rows)
+    return sorted((r.day, r.v) for r in rows)
+
+
+def whole(v, *days):
+    return [(f"{d:02d}", v) for d in days for _ in range(5)]
+
+
+@pytest.mark.parametrize("step, shown", [("replace_parts", "old"), ("finish_pending", "old"), ("mark", "old"), ("expire", "new")])
+def test_broken_off_backfill_shows_whole_days(spark, tmp_path, monkeypatch, step, shown):
+    root, old = str(tmp_path / "s"), whole(1, 1, 2, 3)
+    lake.overwrite_days(days_of(spark, 1, 1, 2, 3), root)
+    new = whole(2, 1, 2)  # the third day is emptied
+    with monkeypatch.context() as patch:
+        broken_off(patch, versions, step, at=2 if step == "finish_pending" else 1)
+        with pytest.raises(Lost):
+            lake.overwrite_days(days_of(spark, 2, 1, 2), root, [DAY.replace(day=d) for d in (1, 2, 3)])
+        assert seen(spark, root) == (old if shown == "old" else new)
+    # The next write finishes what was decided; what was not decided never shows.
+    lake.write_day(days_of(spark, 4, 9), root, DAY.replace(day=9))
+    assert seen(spark, root) == (old if step == "replace_parts" else new) + whole(4, 9)
+    assert not (tmp_path / "s_pending" / "decided").exists()
+
+
+def test_a_day_between_two_marks_is_old_or_new(spark, tmp_path, monkeypatch):
+    """A backfill that dies after marking the first of two days: one is new, one is old, both are whole."""
+    root = str(tmp_path / "s")
+    lake.overwrite_days(days_of(spark, 1, 1, 2), root)
+    with monkeypatch.context() as patch:
+        broken_off(patch, versions, "mark", at=2)
+        with pytest.raises(Lost):
+            lake.overwrite_days(days_of(spark, 2, 1, 2), root)
+    assert seen(spark, root) == whole(2, 1) + whole(1, 2)
+    assert versions.finish_pending(spark, root) and seen(spark, root) == whole(2, 1, 2)
+
+
+def test_broken_off_day_write_leaves_the_old_day(spark, tmp_path):
+    root, fail = str(tmp_path / "s"), F.raise_error(F.lit("lost")).cast("int")
+    lake.write_day(days_of(spark, 1, 2), root, DAY)
+    bad = days_of(spark, 2, 2).withColumn("v", F.when(F.col("id") == "r2-3", fail).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        lake.write_day(bad, root, DAY)
+    assert seen(spark, root) == whole(1, 2)
+    (tmp_path / "s" / "year=2026" / "month=01" / "day=02" / "version=00000007").mkdir()  # left by another
+    lake.write_day(days_of(spark, 3, 2), root, DAY)
+    assert seen(spark, root) == whole(3, 2)
+
+
+def test_a_reader_that_has_started_keeps_its_files(spark, tmp_path):
+    root = str(tmp_path / "s")
+    lake.write_day(days_of(spark, 1, 2), root, DAY)
+    schema = spark.createDataFrame([], DAYS).schema
+    started = lake.scan_days(spark, root, schema, DAY)
+    lake.write_day(days_of(spark, 2, 2), root, DAY)
+    assert {r.v for r in started.collect()} == {1}
+    assert {r.v for r in lake.scan_days(spark, root, schema, DAY).collect()} == {2}
+    for v in (3, 4):
+        lake.write_day(days_of(spark, v, 2), root, DAY)
+    assert len(list(tmp_path.rglob("version=*"))) == versions.KEEP
 
 
 def test_day_scan_lists_its_day_alone(spark, tmp_path):

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import re
 
-from tillworks.queries.spark_queries import BATCH_STARTS, CLOCK_TEXT, DELIVERY_DAY, HISTORY_ENDS
+from tillworks.queries.spark_queries import (
+    BATCH_STARTS, CLOCK_TEXT, CORRECTED, DELIVERIES, DELIVERY_DAY, EMPTIED_DAY, HISTORY_ENDS, REPLACED_FROM,
+)
 
 TS = "'%Y-%m-%d %H:%M:%S'"
 DAY = "'%Y-%m-%d'"
@@ -234,6 +236,7 @@ STEPS: dict[str, str] = {
         FROM landed""",
     "landed_tagged": f"SELECT *, {_rule_case(SALES_RULES)} AS quarantine_reason FROM landed_typed",
     "landed_valid": "SELECT * FROM landed_tagged WHERE quarantine_reason IS NULL",
+    "landed_product": _product_of("landed_valid"),
     "landed_fact": _fact_of("landed_valid").replace("sale_timestamp\n", "sale_timestamp, year, month, day\n"),
     "daily": """
         SELECT product_key, store_key, date_key, sum(quantity) AS units,
@@ -279,7 +282,8 @@ def _absent(history: str, batch: str, key: str, natural: str) -> str:
 def _orphans(key: str, dim: str) -> str:
     return f"""
         SELECT 'fk:{key}' AS constraint_name, CAST({key} AS VARCHAR) AS missing_key, count(*) AS lines
-        FROM batch_fact AS f WHERE {key} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {dim} AS d WHERE d.{key} = f.{key})
+        FROM (SELECT * FROM history_fact UNION ALL SELECT * FROM batch_fact) AS f
+        WHERE {key} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {dim} AS d WHERE d.{key} = f.{key})
         GROUP BY {key}"""
 
 
@@ -327,6 +331,16 @@ def _decimal_text(amount: str) -> str:
     return f"concat(CAST({whole} // 100 AS VARCHAR), '.', lpad(CAST({whole} % 100 AS VARCHAR), 2, '0'))"
 
 
+CENTS = "CAST(sum(CAST(round(total_price * 100) AS BIGINT)) AS BIGINT)"
+
+
+def _priced(columns: str) -> str:
+    """The columns with both amounts as text."""
+    for amount in ("unit_price", "total_price"):
+        columns = columns.replace(f" {amount},", f" {_decimal_text(amount)} AS {amount},")
+    return columns
+
+
 def _message_value(column: str) -> str:
     """What a cut-off message decodes to: nothing."""
     return f"CASE WHEN {CUT_OFF} THEN NULL ELSE {column} END AS {column}"
@@ -428,20 +442,31 @@ QUERIES: dict[str, str] = {
              WHEN client_type_key NOT IN (SELECT client_type_key FROM history_client) THEN 'fk:client_type_key'
              ELSE 'none' END AS broken_constraint
         FROM renamed_fact""",
-    "serving_merge_silver": f"""SELECT {SALES.replace(' unit_price, total_price,', '')},
-        strftime(sale_timestamp, '%Y%m') AS sale_period FROM moved_silver""",
-    "serving_merge_fact": f"""SELECT {FACT.replace(' unit_price, total_price,', '')},
-        strftime(sale_timestamp, '%Y%m') AS sale_period FROM moved_fact""",
+    "serving_merge_silver": f"""SELECT {_priced(SALES)}, strftime(sale_timestamp, '%Y%m') AS sale_period FROM moved_silver""",
+    "serving_merge_fact": f"""SELECT {_priced(FACT)}, strftime(sale_timestamp, '%Y%m') AS sale_period FROM moved_fact""",
+    "serving_merge_admitted": f"""SELECT {_priced(SALES)}, sale_period, hit_period AS admitted, hit_period AS rewritten
+        FROM (SELECT * REPLACE (CASE WHEN hit THEN concat(product_name, ' (corrected)') ELSE product_name END AS product_name,
+                     CASE WHEN hit THEN quantity + 1 ELSE quantity END AS quantity,
+                     CASE WHEN hit THEN {_rounded('unit_price * (quantity + 1)')} ELSE total_price END AS total_price)
+              FROM (SELECT *, hit_period AND quantity % 3 = 0 AS hit
+                    FROM (SELECT *, strftime(sale_timestamp, '%Y%m') AS sale_period,
+                                 strftime(sale_timestamp, '%Y%m') IN {CORRECTED} AS hit_period FROM silver) AS p) AS h) AS c""",
+    "dense_sale_key": f"""SELECT row_number() OVER (ORDER BY delivery, transaction_id, product_key) AS sale_key,
+        transaction_id, product_key, quantity, strftime(sale_timestamp, '%Y%m') AS sale_period
+        FROM (SELECT *, CASE {' '.join(f"WHEN sale_timestamp < TIMESTAMP '{end} 00:00:00' THEN {k}" for k, (_, end) in enumerate(DELIVERIES))}
+              END AS delivery FROM fact) AS f""",
     "plan_silver_days": f"SELECT {SALES}, year, month, day, quarantine_reason FROM landed_tagged",
     "plan_gold_days": _union(
         [
-            f"""SELECT 'fact_sales' AS name, key, count(*) AS n FROM (SELECT CASE WHEN coalesce(sale_timestamp, ship_ts)
+            f"""SELECT 'fact_sales' AS name, key, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS units, {CENTS} AS cents,
+                CAST(NULL AS VARCHAR) AS member FROM (SELECT *, CASE WHEN coalesce(sale_timestamp, ship_ts)
                 >= TIMESTAMP '{BATCH_STARTS} 00:00:00' THEN '19980702' ELSE '19980701' END AS key FROM landed_valid) AS d GROUP BY key""",
+            """SELECT 'dim_product', product_key, NULL, NULL, NULL, concat_ws('/', product_id, product_name, product_category)
+                FROM landed_product""",
             *[
-                f"SELECT 'dim_{name}' AS name, md5({natural}) AS key, CAST(1 AS BIGINT) AS n "
+                f"SELECT 'dim_{name}', md5({natural}), NULL, NULL, NULL, {natural} "
                 f"FROM (SELECT DISTINCT {natural} FROM landed_valid) AS {name}_members"
                 for name, natural in (
-                    ("product", "product_id"),
                     ("store", "store_id"),
                     ("payment_method", "payment_method"),
                     ("client_type", "client_type"),
@@ -449,6 +474,17 @@ QUERIES: dict[str, str] = {
             ],
         ]
     ),
+    "day_replacement": _union(
+        [
+            *[
+                f"""SELECT '{phase}' AS phase, year, month, day, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS units,
+                    {CENTS} AS cents FROM landed_valid GROUP BY year, month, day"""
+                for phase in ("before", "staged", "decided")
+            ],
+            f"""SELECT 'after', year, month, day, count(*), CAST(sum(quantity + CASE WHEN year >= '{REPLACED_FROM}' THEN 1 ELSE 0 END) AS BIGINT),
+                {CENTS} FROM landed_valid WHERE concat_ws('-', year, month, day) <> '{EMPTIED_DAY}' GROUP BY year, month, day""",
+        ]
+    ),
     "bronze_compact_day": f"SELECT {BRONZE}, strftime(arrived, {TS}) AS ingested_at, {ARRIVAL_DAY} FROM landed",
     "fk_accepted": f"""SELECT {FACT} FROM (SELECT * FROM history_fact UNION ALL SELECT * FROM unmoved_fact) AS f
         WHERE product_key IN (SELECT product_key FROM history_product)

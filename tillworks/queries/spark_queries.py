@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillworks import functions as fn
-from tillworks.layout import Layout, day_from_path
+from tillworks.layout import Layout, day_folder, day_from_path
 from tillworks.operators import constraints, ingest, insights, merge, quality, star
 from tillworks.plans.bronze_to_silver import SILVER_KEYS, SILVER_UPDATES, bronze_to_silver, bronze_to_silver_days, serve_silver, tagged_lines
 from tillworks.plans.silver_to_gold import (
@@ -32,7 +34,7 @@ from tillworks.schemas import (
     TABLE_SPECS,
 )
 from tillworks.session import prepare, stored, stored_bytes, work_dir
-from tillworks.sources import bronze, lake, serving, snapshots
+from tillworks.sources import bronze, lake, serving, snapshots, versions
 from tillworks.sources.tables import messages, raw_lines, sales_events, table
 from tillworks.streaming.bronze_stream import run_bronze_stream
 from tillworks.streaming.dedupe import drop_replays, state_partitions
@@ -402,11 +404,11 @@ def pk_duplicates(spark, sf_dir):
 
 
 def _facts_and_old_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Fact rows of the batch against dimensions that know the history alone."""
+    """Fact rows of history and batch against dimensions that know the history alone."""
     history, batch = _history_and_batch(spark, sf_dir)
     dims = {name: stored(build(history), name) for name, build in star.DIMENSIONS.items()}
     dims["dim_date"] = stored(star.date_dim_covering(history, "sale_timestamp"), "dim_date")
-    return star.fact_sales(batch), dims
+    return star.fact_sales(history.unionByName(batch)), dims
 
 
 @query("fk_orphans")
@@ -469,7 +471,8 @@ def serve_silver_rejects(spark, sf_dir):
     layout = Layout(work_dir(spark, "serve_silver"))
     lake.write_day(_grown(_silver(spark, sf_dir)), layout.silver, DELIVERY_DAY)
     serve_silver(spark, layout, DELIVERY_DAY, grain="month")
-    refused = spark.read.parquet(layout.rejects("sales_silver"))
+    schema = T.StructType([*SILVER.fields, T.StructField(constraints.BROKEN, T.StringType())])
+    refused = lake.scan_days(spark, layout.rejects("sales_silver"), schema, DELIVERY_DAY)
     merged = serving.read_table(spark, layout.serving("sales_silver"), SALES_SILVER_SPEC.schema)
     return refused.select(*SILVER_KEYS, constraints.BROKEN).unionByName(
         merged.select(*SILVER_KEYS, F.lit("none").alias(constraints.BROKEN))
@@ -498,7 +501,12 @@ def _served(spark: SparkSession, schema, sides: tuple[DataFrame, DataFrame], spe
     root = Layout(work_dir(spark, "serving")).serving(spec.name)
     for side in sides:
         serving.merge_table(spark, root, spec.schema, constraints.to_serving(side, spec), keys, update, serial=serial)
-    return serving.read_table(spark, root, spec.schema).select(*schema, serving.PERIOD)
+    return _amounts(serving.read_table(spark, root, spec.schema)).select(*schema, serving.PERIOD)
+
+
+def _amounts(df: DataFrame) -> DataFrame:
+    """Decimal money as exact text."""
+    return df.withColumns({c: F.col(c).cast("string") for c in ("unit_price", "total_price")})
 
 
 def _moved(batch: DataFrame) -> DataFrame:
@@ -509,16 +517,59 @@ def _moved(batch: DataFrame) -> DataFrame:
 @query("serving_merge_silver")
 def serving_merge_silver(spark, sf_dir):
     history, batch = _history_and_batch(spark, sf_dir)
-    columns = [c for c in SALES_COLUMNS if c not in ("unit_price", "total_price")]
-    return _texts(_served(spark, columns, (history, _moved(batch)), SALES_SILVER_SPEC, SILVER_KEYS, SILVER_UPDATES))
+    return _texts(_served(spark, SALES_COLUMNS, (history, _moved(batch)), SALES_SILVER_SPEC, SILVER_KEYS, SILVER_UPDATES))
 
 
 @query("serving_merge_fact")
 def serving_merge_fact(spark, sf_dir):
     history, batch = _history_and_batch(spark, sf_dir)
-    columns = [c for c in FACT_COLUMNS if c not in ("unit_price", "total_price")]
     sides = (star.fact_sales(history), star.fact_sales(_moved(batch)))
-    return _texts(_served(spark, columns, sides, FACT_SALES_SPEC, FACT_KEYS, FACT_UPDATES, serial="sale_key"))
+    return _texts(_served(spark, FACT_COLUMNS, sides, FACT_SALES_SPEC, FACT_KEYS, FACT_UPDATES, serial="sale_key"))
+
+
+# The two months that a batch of corrections hits.
+CORRECTED = ("199603", "199710")
+
+
+@query("serving_merge_admitted")
+def serving_merge_admitted(spark, sf_dir):
+    """Corrections of two months merged into the whole table: every row, and whether its period was admitted and rewritten."""
+    silver = _silver(spark, sf_dir)
+    root = Layout(work_dir(spark, "serving")).serving("sales_silver")
+    hit = F.date_format("sale_timestamp", "yyyyMM").isin(*CORRECTED) & (F.col("quantity") % 3 == 0)
+    corrections = silver.where(hit).withColumns(
+        {
+            "product_name": F.concat(F.col("product_name"), F.lit(" (corrected)")),
+            "store_id": F.lit("ELSEWHERE"),
+            "quantity": F.col("quantity") + 1,
+            "total_price": fn.line_total(F.col("unit_price"), F.col("quantity") + 1),
+        }
+    )
+    spec, done = SALES_SILVER_SPEC, []
+    for sales in (silver, corrections):
+        batch = stored(constraints.to_serving(sales, spec), "delivery")
+        admitted = serving.admitted_periods(spark, root, batch, SILVER_KEYS)
+        done.append((admitted, serving.merge_table(spark, root, spec.schema, batch, SILVER_KEYS, SILVER_UPDATES)))
+    admitted, rewritten = done[-1]
+    rows = _amounts(serving.read_table(spark, root, spec.schema))
+    flags = {"admitted": F.col(serving.PERIOD).isin(admitted), "rewritten": F.col(serving.PERIOD).isin(rewritten)}
+    return _texts(rows.withColumns(flags).select(*SALES_COLUMNS, serving.PERIOD, *flags))
+
+
+# Three deliveries of sales, by first day and day after the last; they overlap.
+DELIVERIES = (("1900-01-01", "1995-01-01"), ("1994-01-01", "1997-01-01"), ("1996-01-01", "2100-01-01"))
+
+
+@query("dense_sale_key")
+def dense_sale_key(spark, sf_dir):
+    """Surrogate keys after three merges that overlap: 1 to n in the order of arrival and key."""
+    facts = stored(_fact(spark, sf_dir), "fact")
+    root = Layout(work_dir(spark, "serving")).serving("fact_sales")
+    for first, end in DELIVERIES:
+        batch = facts.where((F.col("sale_timestamp") >= first) & (F.col("sale_timestamp") < end))
+        batch = constraints.to_serving(batch, FACT_SALES_SPEC)
+        serving.merge_table(spark, root, FACT_SALES_SPEC.schema, batch, FACT_KEYS, FACT_UPDATES, serial="sale_key")
+    return serving.read_table(spark, root, FACT_SALES_SPEC.schema).select("sale_key", *FACT_KEYS, "quantity", serving.PERIOD)
 
 
 def _days_run(spark: SparkSession, sf_dir: str, arrived: Column | None = None) -> Layout:
@@ -549,14 +600,13 @@ def plan_gold_days(spark, sf_dir):
         bronze_to_silver(spark, layout, day, processed_at=_clock())
         silver_to_gold(spark, layout, day)
     dims = dimensions(spark, layout)
-    members = [
-        dims[name].select(F.lit(name).alias("name"), F.col(TABLE_SPECS[name].schema.names[0]).alias("key"), F.lit(1).cast("bigint").alias("n"))
-        for name in star.DIMENSIONS
-    ]
-    facts = lake.scan_days(spark, layout.fact, FACT_SALES).groupBy(F.concat(*DAY_COLUMNS).alias("key")).agg(F.count("*").alias("n"))
-    out = facts.select(F.lit("fact_sales").alias("name"), "key", "n")
-    for one in members:
-        out = out.unionByName(one)
+    counted = {"n": F.count("*"), "units": F.sum("quantity"), "cents": F.sum(fn.cents(F.col("total_price")))}
+    facts = lake.scan_days(spark, layout.fact, FACT_SALES).groupBy(F.concat(*DAY_COLUMNS).alias("key"))
+    out = facts.agg(*[value.alias(name) for name, value in counted.items()]).withColumn("name", F.lit("fact_sales"))
+    for name in star.DIMENSIONS:
+        key, *natural = TABLE_SPECS[name].schema.names
+        member = dims[name].select(F.col(key).alias("key"), F.lit(name).alias("name"), F.concat_ws("/", *natural).alias("member"))
+        out = out.unionByName(member, allowMissingColumns=True)
     return out
 
 
@@ -660,6 +710,34 @@ def silver_overwrite_idempotent(spark, sf_dir):
     return _texts(lake.scan_days(spark, silver, SILVER).drop("processed_at"))
 
 
+REPLACED_FROM, EMPTIED_DAY = "1998", date(1998, 10, 1)
+
+
+@query("day_replacement")
+def day_replacement(spark, sf_dir):
+    """What a reader finds by day before, during and after a backfill of the last years that breaks off on the way.
+
+    The backfill corrects every line and empties one day. Once it was only staged, once decided but not carried out.
+    """
+    root = _silver_lake(spark, sf_dir)
+    late = lake.scan_days(spark, root, SILVER).where(F.col("year") >= REPLACED_FROM)
+    late = late.where(F.concat_ws("-", *DAY_COLUMNS) != str(EMPTIED_DAY)).withColumn("quantity", F.col("quantity") + 1)
+
+    def seen(phase: str) -> DataFrame:
+        days = lake.scan_days(spark, root, SILVER).groupBy(*DAY_COLUMNS)
+        found = days.agg(F.count("*").alias("lines"), F.sum("quantity").alias("units"), F.sum(fn.cents(F.col("total_price"))).alias("cents"))
+        return stored(found.withColumn("phase", F.lit(phase)), "seen")
+
+    phases = [seen("before")]
+    filled = lake.stage_days(late, root)
+    phases.append(seen("staged"))
+    versions.decide(spark, root, filled, [day_folder(EMPTIED_DAY)])
+    phases.append(seen("decided"))
+    versions.finish_pending(spark, root)
+    phases.append(seen("after"))
+    return functools.reduce(DataFrame.unionByName, phases)
+
+
 @query("quarantine_roundtrip")
 def quarantine_roundtrip(spark, sf_dir):
     root = Layout(work_dir(spark, "quarantine_lake")).quarantine

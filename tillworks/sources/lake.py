@@ -1,4 +1,4 @@
-"""Parquet datasets by day: scans that prune and writes that can be repeated."""
+"""Parquet datasets by day: scans that prune, and writes that replace a day at once."""
 
 from __future__ import annotations
 
@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from tillworks.layout import day_columns, day_folder
 from tillworks.schemas import DAY_COLUMNS
 from tillworks.session import file_system
+from tillworks.sources import versions
 
 _DAY_FIELDS = [T.StructField(name, T.StringType()) for name in DAY_COLUMNS]
+_DAYS = "/".join(f"{name}=*" for name in DAY_COLUMNS)
 
 
 def day_paths(spark: SparkSession, root: str, days: Sequence[date]) -> list[str]:
@@ -36,55 +38,62 @@ def scan_days(
 ) -> DataFrame:
     """Rows of a by-day dataset with its day (and further text partition) columns.
 
-    For one ``day`` its folder alone is opened; a day that is not there has no rows.
+    Of every day the version that counts is opened. For one ``day`` its folder alone is listed; a day, or a
+    dataset, that is not there has no rows.
     """
     extra = [T.StructField(name, T.StringType()) for name in partitions]
     plain = [f for f in schema.fields if f.name not in partitions]
     full = T.StructType([*plain, *_DAY_FIELDS, *extra])
     if day is None:
-        return spark.read.schema(full).parquet(root)
-    paths = day_paths(spark, root, [day])
+        paths = list(versions.current_parts(spark, root, _DAYS).values())
+    else:
+        path = versions.current(spark, f"{root}/{day_folder(day)}")
+        paths = [path] if path else []
     if not paths:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", root).parquet(*paths)
+    return spark.read.schema(full).option("basePath", root).parquet(*paths).select(*full.names)
 
 
 def write_day(df: DataFrame, root: str, day: date, partitions: Sequence[str] = ()) -> str:
-    """Replace one day's folder, also when there is nothing left to write.
+    """Replace one day, also when there is nothing left to write.
 
-    Rows are rebalanced first: files of even size, however many tasks made the rows.
+    The rows become the day's next version, which counts once it is complete; until then, and for readers that
+    have started, the old one stays. Rows are rebalanced first: files of even size, however many tasks made them.
     """
-    path = f"{root}/{day_folder(day)}"
+    spark, folder = df.sparkSession, f"{root}/{day_folder(day)}"
+    versions.finish_pending(spark, root)
+    path = versions.path_of(folder, versions.following(spark, folder))
     rows = df.drop(*DAY_COLUMNS)
     rows = rows.hint("rebalance", *[F.col(c) for c in partitions]) if partitions else rows.hint("rebalance")
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partitions:
-        writer = writer.partitionBy(*partitions)
+    writer = rows.write.partitionBy(*partitions) if partitions else rows.write
     writer.parquet(path)
+    versions.mark(spark, path)
+    versions.expire(spark, folder)
     return path
 
 
+def stage_days(df: DataFrame, root: str, partitions: Sequence[str] = ()) -> set[str]:
+    """Write rows beside the dataset, by their day columns, and return the days found; nothing is replaced yet.
+
+    Rows are rebalanced first, so a day gets files of even size and a day with most of the rows is split
+    over several tasks.
+    """
+    spark, columns = df.sparkSession, [*DAY_COLUMNS, *partitions]
+    versions.finish_pending(spark, root)
+    rows = df.hint("rebalance", *[F.col(c) for c in columns])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*columns).parquet(versions.waiting(root))
+    return versions.waiting_parts(spark, root, _DAYS)
+
+
 def overwrite_days(df: DataFrame, root: str, days: Sequence[date] = (), partitions: Sequence[str] = ()) -> None:
     """Replace every day found in the rows' day columns, in one job.
 
-    ``days`` lists the days the load covers: those without rows are emptied.
-    Rows are rebalanced first, so a day gets files of even size and a day with
-    most of the rows is split over several tasks.
+    ``days`` lists the days the load covers: those without rows are emptied. Each day changes at once; a load
+    that breaks off before all rows are written changes none, and later is finished by the next write.
     """
-    columns = [*DAY_COLUMNS, *partitions]
-    (
-        df.hint("rebalance", *[F.col(c) for c in columns])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(root)
-    )
-    if days:
-        spark = df.sparkSession
-        found = {tuple(row) for row in df.select(*DAY_COLUMNS).distinct().collect()}  # one row per day
-        for day in days:
-            if (f"{day.year:04d}", f"{day.month:02d}", f"{day.day:02d}") not in found:
-                write_day(spark.createDataFrame([], df.schema), root, day, partitions)
+    filled = stage_days(df, root, partitions)
+    emptied = {day_folder(day) for day in days} - filled
+    versions.replace_parts(df.sparkSession, root, filled, sorted(emptied))
 
 
 def with_day(df: DataFrame, instant: str) -> DataFrame:
