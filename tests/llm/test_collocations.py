@@ -74,7 +74,7 @@ def test_bursts_spills_and_new_numbers_change_nothing(spark, monkeypatch):
     # Run in this process, with bounds that are reached all the time.
     monkeypatch.setattr(hat_trie, "MOST", 60)
     monkeypatch.setattr(hat_trie, "WORDS", 7)
-    monkeypatch.setattr(collocations, "_STRETCH", 40)
+    monkeypatch.setattr(collocations, "_WORDS_AT_ONCE", 40)
     for width in (1, 2, 3, 4):
         counted = Counter()
         one = collocations._Language("en", width, None)

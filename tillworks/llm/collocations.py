@@ -24,6 +24,7 @@ from tillworks.session import staged, stored
 #: Bits of the bitmap that goes to every worker (16 MB) whatever the input; a fuller one only lets more pass.
 FILTER_BITS = 1 << 27
 _STRETCH = 1 << 18  # bytes of a text that are split into words at a time
+_WORDS_AT_ONCE = 1 << 19  # that are put into a trie together
 _LANGUAGES = 500  # that a worker counts at a time
 NO_LANGUAGE = "und"
 ALL_WORDS = ""  # in counts: the phrase of no word, which stands for all word occurrences
@@ -31,20 +32,20 @@ ALL_WORDS = ""  # in counts: the phrase of no word, which stands for all word oc
 # Fixed values of the contract: A-Z become lower case, pieces end at these characters, words at space and tab.
 _PIECE_ENDS, _SPACE, _TAB = b".,;:!?\x0a\x0b\x0c\x0d", 32, 9
 _TABLE = bytes(
-    10 if b in _PIECE_ENDS else _SPACE if b == _TAB else b + 32 if 65 <= b <= 90 else b for b in range(256)
+    hat_trie.BREAK[0] if b in _PIECE_ENDS else _SPACE if b == _TAB else b + 32 if 65 <= b <= 90 else b for b in range(256)
 )
 _FACTORS = np.random.default_rng(20240613).integers(1, 1 << 63, hat_trie.WIDEST, dtype=np.uint64) | np.uint64(1)
 
 
-def stretches(text: bytes, size: int = _STRETCH) -> Iterator[list[list[bytes]]]:
-    """A text's pieces as lists of words, about ``size`` bytes at a time; all but the first of a stretch begin a new piece."""
+def stretches(text: bytes, size: int = _STRETCH) -> Iterator[list[bytes]]:
+    """A text's words, and a ``BREAK`` between its pieces, about ``size`` bytes at a time."""
     data, start = text.translate(_TABLE), 0
     while start < len(data):
         end = len(data)
         if start + size < end:  # up to the next space or end of a piece
-            found = [x for x in (data.find(b" ", start + size), data.find(b"\n", start + size)) if x >= 0]
+            found = [x for x in (data.find(b" ", start + size), data.find(hat_trie.BREAK, start + size)) if x >= 0]
             end = min(found, default=end)
-        yield [piece.split() for piece in data[start:end].split(b"\n")]
+        yield data[start:end].replace(hat_trie.BREAK, b" " + hat_trie.BREAK + b" ").split()
         start = end
 
 
@@ -67,20 +68,17 @@ class _Language:
         self.full = 1 << self.trie.bits - 1
 
     def add(self, text: bytes) -> Iterator[pa.RecordBatch]:
-        for pieces in stretches(text, self.stretch):
-            for k, words in enumerate(pieces):
-                if k:
-                    self._ids.append(0)
-                self.total += len(words)
-                self._ids += self.words.number(words)
-            if len(self._ids) > _STRETCH:
+        for words in stretches(text, self.stretch):
+            self.total += len(words) - words.count(hat_trie.BREAK)
+            self._ids += self.words.number(words)
+            if len(self._ids) > _WORDS_AT_ONCE:
                 self.count()
             if len(self.words.words) > self.full:  # numbering starts anew; the last words go on with new numbers
                 self.count()
                 last = [self.words.words[i] for i in self._ids]
                 yield from self.leave(0)
                 self.words = hat_trie.Words()
-                self._ids = [self.words.number([w])[0] if w else 0 for w in last]
+                self._ids = self.words.number(last)
         self._ids.append(0)
 
     def count(self) -> None:
@@ -96,11 +94,11 @@ class _Language:
         self._ids = self._ids[max(0, len(self._ids) - self.width + 1) :]
 
     def leave(self, keep: int) -> Iterator[pa.RecordBatch]:
-        """Sorted runs of the largest subtrees, until at most ``keep`` sequences are left."""
-        order = None
-        for keys, counts in self.trie.release(keep):
-            order = order or self.words.order()
-            for phrases, n in hat_trie.run_of(keys, counts, self.width, *order):
+        """The largest subtrees as one sorted run, until at most ``keep`` sequences are left."""
+        subtrees = list(self.trie.release(keep))
+        if subtrees:
+            keys, counts = (np.concatenate(part) for part in zip(*subtrees))
+            for phrases, n in hat_trie.run_of(keys, counts, self.width, *self.words.order()):
                 yield _rows(self.name, phrases, n)
 
     def end(self) -> Iterator[pa.RecordBatch]:
@@ -129,8 +127,6 @@ def _runs(texts: DataFrame, width: int, bitmap: bytes | None) -> DataFrame:
                 if one is None:
                     one = languages[name] = _Language(name, width, bits)
                 yield from one.add(text.as_py())
-            for one in languages.values():
-                one.count()
             if len(languages) > _LANGUAGES or sum(len(x.words.words) for x in languages.values()) > hat_trie.WORDS:
                 for one in languages.values():
                     yield from one.end()

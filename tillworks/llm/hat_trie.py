@@ -19,6 +19,7 @@ BURST, MOST = 4_096, 500_000
 #: Words that a worker numbers before everything leaves and numbering starts anew.
 WORDS = 250_000
 ROWS = 20_000  # of a run that leave at a time
+BREAK = b"\xff"  # stands between words that are in no sequence together; no byte of UTF-8
 WIDEST = 4  # ids of a sequence are packed into 63 bits
 
 
@@ -108,8 +109,8 @@ class Words:
     """Local numbers of words, from 1 on; 0 is a break, which is in no sequence."""
 
     def __init__(self):
-        self.numbers: dict[bytes, int] = {}
-        self.words: list[bytes] = [b""]
+        self.numbers: dict[bytes, int] = {BREAK: 0}
+        self.words: list[bytes] = [BREAK]
         self._hashes = np.zeros(1, np.uint64)
 
     def number(self, words: list[bytes]) -> list[int]:
@@ -137,7 +138,7 @@ class Words:
         by_word = sorted(range(len(self.words)), key=self.words.__getitem__)
         ranks = np.empty(len(by_word), np.int64)
         ranks[by_word] = np.arange(len(by_word))
-        return ranks, pa.array([self.words[k] for k in by_word], pa.binary()).cast(pa.string())
+        return ranks, pa.array([b"" if k == 0 else self.words[k] for k in by_word], pa.binary()).cast(pa.string())
 
 
 def run_of(keys: np.ndarray, counts: np.ndarray, width: int, ranks: np.ndarray, words: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:

@@ -230,22 +230,23 @@ ORACLE_SQL: dict[str, str] = {
         WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
         pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
         words AS (SELECT lang, [x FOR x IN string_split_regex(piece, '[\x20\x09]+') IF x <> ''] AS w FROM pieces),
-        grams AS (
-            SELECT lang, 1 AS width, unnest(w) AS phrase FROM words
-            UNION ALL SELECT lang, 2, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM words WHERE len(w) > 1
-            UNION ALL SELECT lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) FROM words WHERE len(w) > 2),
-        counted AS (SELECT lang, width, phrase, count(*) AS n FROM grams GROUP BY ALL),
-        totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM counted WHERE width = 1 GROUP BY lang),
-        candidates AS (SELECT lang, width, phrase, n AS a, string_split(phrase, ' ') AS w FROM counted WHERE width > 1 AND n >= 10),
-        cuts AS (SELECT lang, width, phrase, a, w, unnest(range(1, width)) AS k FROM candidates),
-        scored AS (SELECT c.lang, c.width, c.phrase, c.a, k, x.n AS l, y.n AS r,
-                          CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
-                   FROM cuts AS c JOIN counted AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ')
-                   JOIN counted AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
-        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
-        inner_parts AS (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM candidates WHERE width = 3),
-        around AS (SELECT lang, phrase, max(a) AS most FROM inner_parts GROUP BY ALL),
-        kept AS (SELECT best.* FROM best LEFT JOIN around USING (lang, phrase) WHERE 100 * coalesce(most, 0) < 50 * a)
+        placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+        counted AS MATERIALIZED (
+            SELECT lang, w1, w2, w3, count(*) AS n
+            FROM (SELECT lang, w[i] AS w1, CASE WHEN width > 1 THEN w[i + 1] ELSE '' END AS w2, CASE WHEN width > 2 THEN w[i + 2] ELSE '' END AS w3
+                  FROM placed CROSS JOIN (VALUES (1), (2), (3)) AS widths(width) WHERE i + width - 1 <= len(w))
+            GROUP BY ALL HAVING n >= 10 OR w2 = ''),
+        totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM counted WHERE w2 = '' GROUP BY lang),
+        cuts AS (SELECT *, n AS a, 1 AS k, '' AS l2, w2 AS r1, w3 AS r2 FROM counted WHERE w2 <> ''
+                 UNION ALL SELECT *, n, 2, w2, w3, '' FROM counted WHERE w3 <> ''),
+        scored AS (SELECT c.*, x.n AS l, y.n AS r, CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+                   FROM cuts AS c JOIN counted AS x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.l2 AND x.w3 = ''
+                   JOIN counted AS y ON y.lang = c.lang AND y.w1 = c.r1 AND y.w2 = c.r2 AND y.w3 = ''),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, w1, w2, w3 ORDER BY score, k) = 1),
+        inner_parts AS (SELECT lang, w1, w2, n FROM counted WHERE w3 <> '' UNION ALL SELECT lang, w2, w3, n FROM counted WHERE w3 <> ''),
+        around AS (SELECT lang, w1, w2, '' AS w3, max(n) AS most FROM inner_parts GROUP BY ALL),
+        kept AS (SELECT best.* EXCLUDE (n), trim(w1 || ' ' || w2 || ' ' || w3, ' ') AS phrase
+                 FROM best LEFT JOIN around USING (lang, w1, w2, w3) WHERE 100 * coalesce(most, 0) < 50 * a)
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
         FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
 }
