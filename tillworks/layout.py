@@ -76,5 +76,14 @@ class Layout:
         """Rows a serving table or dimension refused, by day, with the constraint they break."""
         return self._under(f"rejects/{name}")
 
+    @property
+    def shard_failures(self) -> str:
+        return self._under("bronze/shard_failures")
+
+    @property
+    def batch_metrics(self) -> str:
+        """What each batch of a stream read, accepted and refused: one file per source and batch."""
+        return self._under("bronze/batch_metrics")
+
     def checkpoint(self, name: str) -> str:
         return self._under(f"checkpoints/{name}")

@@ -127,14 +127,18 @@ def missing_field_report(df: DataFrame) -> DataFrame:
     )
 
 
+METRICS = ("messages", "accepted", "incomplete", "malformed")
+
+
+def metric_columns() -> list[Column]:
+    """Messages read, accepted, and skipped by cause, to be aggregated or observed."""
+    counts = (F.count("*"), F.count_if(F.size(MISSING) == 0), F.count_if(F.size(MISSING) > 0), F.count_if(F.col(MISSING).isNull()))
+    return [count.alias(name) for name, count in zip(METRICS, counts)]
+
+
 def ingest_metrics(df: DataFrame) -> DataFrame:
-    """Messages read, accepted, and skipped by cause, in one pass."""
-    return df.agg(
-        F.count("*").alias("messages"),
-        F.count_if(F.size(MISSING) == 0).alias("accepted"),
-        F.count_if(F.size(MISSING) > 0).alias("incomplete"),
-        F.count_if(F.col(MISSING).isNull()).alias("malformed"),
-    )
+    """The counts of all messages, in one pass."""
+    return df.agg(*metric_columns())
 
 
 def late_arrivals(df: DataFrame, event_time: str, ingested_at: str = "ingested_at") -> DataFrame:

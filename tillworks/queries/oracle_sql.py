@@ -9,6 +9,7 @@ import re
 
 from tillworks.queries.spark_queries import (
     BATCH_STARTS, CLOCK_TEXT, CORRECTED, DELIVERIES, DELIVERY_DAY, EMPTIED_DAY, HISTORY_ENDS, REPLACED_FROM,
+    BROKEN_SHARD, SHARDS,
 )
 
 TS = "'%Y-%m-%d %H:%M:%S'"
@@ -550,6 +551,13 @@ QUERIES: dict[str, str] = {
         CASE WHEN {CUT_OFF} THEN NULL ELSE transaction_id END AS transaction_id
         FROM sales_events WHERE {CUT_OFF} OR {ANY_MISSING}""",
     "stream_restart_no_dup": f"SELECT {BRONZE} FROM landed",
+    "stream_shards": f"""SELECT transaction_id, product_id, store_id, client_type, 'kinesis_producer' AS source_system, quantity,
+        CAST(l_orderkey % {SHARDS} AS INTEGER) AS shard, phase FROM landed CROSS JOIN (VALUES ('broken'), ('repaired')) AS p(phase)
+        WHERE phase = 'repaired' OR l_orderkey % {SHARDS} <> {BROKEN_SHARD}""",
+    "stream_batch_metrics": f"""SELECT count(*) AS messages,
+        count(*) FILTER (WHERE NOT ({CUT_OFF}) AND NOT {ANY_MISSING}) AS accepted,
+        count(*) FILTER (WHERE NOT ({CUT_OFF}) AND {ANY_MISSING}) AS incomplete,
+        count(*) FILTER (WHERE {CUT_OFF}) AS malformed FROM sales_events""",
     "stream_dedupe": f"""SELECT DISTINCT {MESSAGE_FIELDS}, quantity, unit_price, total_price,
         strftime(sale_ts, {TS}) AS sale_ts FROM sales_events""",
     "sales_velocity": """SELECT product_key, store_key, date_key, CAST(units AS BIGINT) AS units,

@@ -33,11 +33,12 @@ from tillworks.schemas import (
     SILVER,
     TABLE_SPECS,
 )
-from tillworks.session import prepare, stored, stored_bytes, work_dir
+from tillworks.session import file_system, prepare, stored, stored_bytes, work_dir, write_text
 from tillworks.sources import bronze, lake, serving, snapshots, versions
 from tillworks.sources.tables import messages, raw_lines, sales_events, table
-from tillworks.streaming.bronze_stream import run_bronze_stream
+from tillworks.streaming.bronze_stream import batch_metrics, run_bronze_stream
 from tillworks.streaming.dedupe import drop_replays, state_partitions
+from tillworks.streaming.shards import run_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -885,6 +886,65 @@ def stream_restart_no_dup(spark, sf_dir):
     return _stream_columns(bronze.scan_bronze(spark, layout.bronze))
 
 
+SHARDS, BROKEN_SHARD = 4, 3
+
+
+def _break(spark: SparkSession, folder: str) -> Callable[[], None]:
+    """Make a landed file unreadable; returns what delivers it again."""
+    (path, *_) = sorted(spark.read.text(folder).inputFiles())
+    fs, file = file_system(spark, path)
+    _, kept = file_system(spark, f"{folder}-kept/{path.rpartition('/')[2]}")
+    fs.mkdirs(kept.getParent())
+    fs.rename(file, kept)
+    write_text(spark, path, "no gzip")
+
+    def deliver() -> None:
+        fs.delete(file, False)
+        fs.rename(kept, file)
+
+    return deliver
+
+
+@query("stream_shards")
+def stream_shards(spark, sf_dir):
+    """Messages in four shards, one with an unreadable file: what is landed then, and after the file came again."""
+    layout, landing = Layout(work_dir(spark, "shards")), work_dir(spark, "landing")
+    shard = F.pmod("l_orderkey", F.lit(SHARDS)).cast("string")
+    lines = messages(sales_events(spark, sf_dir), carry=("l_orderkey",)).select("value", shard.alias("shard"))
+    lines.write.option("compression", "gzip").partitionBy("shard").text(landing)
+    folders = {str(k): f"{landing}/shard={k}" for k in range(SHARDS)}
+    streams = {name: functools.partial(bronze.landing_stream, spark, folder) for name, folder in folders.items()}
+    deliver = _break(spark, folders[str(BROKEN_SHARD)])
+
+    def landed(phase: str) -> DataFrame:
+        run_shards(spark, layout, streams, attempts=2, pause=0.1)
+        rows = bronze.scan_bronze(spark, layout.bronze)
+        found = F.regexp_extract(bronze.BATCH, r"-(\d+)-\d+$", 1).cast("int")
+        rows = stored(rows.select("*", found.alias("shard")), "landed")  # more rows land in the same folders later
+        return _shard_rows(rows, phase)
+
+    first = landed("broken")
+    deliver()
+    return first.unionByName(landed("repaired"))
+
+
+def _shard_rows(rows: DataFrame, phase: str) -> DataFrame:
+    columns = ("transaction_id", "product_id", "store_id", "client_type", "source_system", "shard")
+    return rows.select(*columns, fn.money(F.col("quantity")).alias("quantity"), F.lit(phase).alias("phase"))
+
+
+@query("stream_batch_metrics")
+def stream_batch_metrics(spark, sf_dir):
+    """The counts of all batches of a stream that was stopped and restarted in between, added up."""
+    layout, landing = Layout(work_dir(spark, "stream")), work_dir(spark, "landing")
+    lines = messages(sales_events(spark, sf_dir), carry=("sale_ts",))
+    early = F.coalesce(F.col("sale_ts") < HISTORY_ENDS, F.lit(False))
+    for part in (early, ~early):
+        _drop_files(lines.where(part), landing)
+        run_bronze_stream(_landing(spark, landing), layout)
+    return batch_metrics(spark, layout).agg(*[F.sum(name).alias(name) for name in ingest.METRICS])
+
+
 @query("stream_dedupe")
 def stream_dedupe(spark, sf_dir):
     """Every message delivered twice, in two batches; each distinct line comes out once."""

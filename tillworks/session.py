@@ -62,6 +62,21 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in place at once, over one that is there."""
+    fs, target = file_system(spark, path)
+    draft = file_system(spark, f"{path}.{uuid.uuid4().hex}.tmp")[1]
+    fs.mkdirs(target.getParent())
+    stream = fs.create(draft)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    fs.delete(target, False)
+    if not fs.rename(draft, target):
+        raise OSError(f"cannot write {path}")
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Bytes stored under ``path``; 0 when it does not exist."""
     fs, hadoop_path = file_system(spark, path)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tillworks.layout import Layout
 from tillworks.operators import ingest
+from tillworks.session import write_text
 from tillworks.sources.bronze import write_bronze, write_lines
 
 
@@ -32,21 +34,31 @@ def landing_writer(layout: Layout, source: str) -> Callable[[DataFrame, int], No
 
     ``source`` names the checkpoint the batch numbers belong to. A batch that is
     run again after a failure has the same number and the same clock, so it
-    replaces its own folders.
+    replaces its own folders, and its counts, which are observed while it is landed
+    and stored before it counts as done (``batch_metrics``).
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        name = f"{source}-{batch_id:010d}"
-        kept = batch.persist()
+        name, seen = f"{source}-{batch_id:010d}", Observation()
+        # Observed before the rows are kept, so each is counted once however many writes follow.
+        kept = batch.observe(seen, *ingest.metric_columns()).persist()
         try:
             write_bronze(ingest.accepted(kept), layout.bronze, name)
             write_lines(dead_letter_line(ingest.rejected(kept)), layout.dead_letter, "line", "ingested_at", name)
+            counts = {"source": source, "batch": batch_id, **seen.get}
+            write_text(kept.sparkSession, f"{layout.batch_metrics}/{name}.json", json.dumps(counts))
         finally:
             kept.unpersist()
 
     return land
 
 
+def batch_metrics(spark: SparkSession, layout: Layout) -> DataFrame:
+    """``source, batch, messages, accepted, incomplete, malformed`` of every landed batch."""
+    counts = ", ".join(f"{name} bigint" for name in ingest.METRICS)
+    return spark.read.schema(f"source string, batch bigint, {counts}").json(layout.batch_metrics)
+
+
 def start_bronze_stream(
     messages: DataFrame,
     layout: Layout,
