@@ -71,3 +71,54 @@ def test_anomalies(spark, lines):
     assert len(flagged) == expected > 0 and {r.total_price for r in flagged} == {5000.0}
     same = spark.createDataFrame([("a", "s", 20260101, 1, 2.0)] * 10, SCHEMA)
     assert insights.anomaly_flags(same).count() == 0
+
+
+def filled(lines):
+    """Units per shelf and calendar day, from the first selling day to six days after the last line of all."""
+    units = daily(lines)
+    shelves = {(p, s) for p, s, _ in units}
+    last = max(as_day(d) for _, _, d in units) + timedelta(days=6)
+    out = {}
+    for shelf in shelves:
+        day = min(as_day(d) for p, s, d in units if (p, s) == shelf)
+        out[shelf] = []
+        while day <= last:
+            out[shelf].append((day, units.get((*shelf, int(day.strftime("%Y%m%d"))), 0)))
+            day += timedelta(days=1)
+    return out
+
+
+def test_calendar_days_without_a_sale_count(spark, lines):
+    rare = [("rare", "s1", 20260105 + 7 * k, 7, 1.0) for k in range(3)] + [("once", "s1", 20260110, 3, 1.0)]
+    fact, days = spark.createDataFrame(lines + rare, SCHEMA), filled(lines + rare)
+    checked = set()
+    for row in insights.calendar_velocity(fact).collect():
+        upto = [u for d, u in days[row.product_key, row.store_key] if d <= as_day(row.date_key)]
+        assert upto[-1] == row.units and row.avg_units == sum(upto[-7:]) / len(upto[-7:])
+        checked.add(row.product_key)
+    assert checked >= {"hot", "rare", "once"}
+    for row in insights.calendar_baseline(fact).collect():
+        day = as_day(row.date_key)
+        assert row.day_of_week == day.isoweekday()
+        earlier = [u for d, u in days[row.product_key, row.store_key] if d < day and d.isoweekday() == day.isoweekday()][-4:]
+        assert row.expected_units == (sum(earlier) / len(earlier) if earlier else None)
+
+
+@pytest.mark.parametrize("width", [1, 7])
+def test_spans_tell_every_day(spark, lines, width):
+    fact, got = spark.createDataFrame(lines, SCHEMA), defaultdict(dict)
+    for row in insights.velocity_spans(fact, width).collect():
+        day = row.from_day
+        while day <= row.to_day:
+            assert day not in got[row.product_key, row.store_key]
+            got[row.product_key, row.store_key][day] = row.window_units
+            day += timedelta(days=1)
+    for shelf, days in filled(lines).items():
+        sums = {d: sum(u for _, u in days[max(0, i - width + 1) : i + 1]) for i, (d, _) in enumerate(days)}
+        assert got[shelf] == {d: s for d, s in sums.items() if s}
+
+
+def test_spans_are_as_long_as_they_can_be(spark):
+    fact = spark.createDataFrame([("p", "s", 20260101, 2, 1.0), ("p", "s", 20260103, 2, 1.0)], SCHEMA)
+    (span,) = insights.velocity_spans(fact, 2).collect()
+    assert (span.from_day, span.to_day, span.window_units) == (date(2026, 1, 1), date(2026, 1, 4), 2)

@@ -32,6 +32,59 @@ def sales_velocity(fact: DataFrame, days: int = 7) -> DataFrame:
     return daily.withColumn("avg_units", mean).drop("_day")
 
 
+def _with_first_day(daily: DataFrame) -> DataFrame:
+    """Add ``_day``, the day as a number, and ``_first``, the shelf's first selling day."""
+    daily = daily.withColumn("_day", F.unix_date(day_of_key(F.col("date_key"))))
+    return daily.withColumn("_first", F.min("_day").over(Window.partitionBy(*SHELF)))
+
+
+def calendar_velocity(fact: DataFrame, days: int = 7) -> DataFrame:
+    """Units per selling day, and their mean over all of the last ``days`` calendar days.
+
+    Days without a sale count as zero, from the shelf's first selling day on, so a shelf that sells once a week
+    is not taken for one that sells daily. How many days count follows from the dates; no day is filled in.
+    """
+    recent = Window.partitionBy(*SHELF).orderBy("_day").rangeBetween(1 - days, 0)
+    counted = F.least(F.lit(days), F.col("_day") - F.col("_first") + 1)
+    mean = F.sum("units").over(recent).cast("double") / counted
+    return _with_first_day(daily_sales(fact)).withColumn("avg_units", mean).drop("_day", "_first")
+
+
+def calendar_baseline(fact: DataFrame, weeks: int = 4) -> DataFrame:
+    """Expected units per shelf and selling day: mean of that weekday in the last ``weeks`` calendar weeks.
+
+    Weeks without a sale on the weekday count as zero, from the shelf's first selling day on; NULL where no such
+    weekday lies before.
+    """
+    daily = _with_first_day(daily_sales(fact)).withColumn("day_of_week", F.pmod(F.col("_day") + 3, F.lit(7)).cast("int") + 1)
+    before = Window.partitionBy(*SHELF, "day_of_week").orderBy("_day").rangeBetween(-7 * weeks, -1)
+    counted = F.least(F.lit(weeks), F.floor((F.col("_day") - F.col("_first")) / 7))
+    sold = F.coalesce(F.sum("units").over(before), F.lit(0)).cast("double")
+    return daily.withColumn("expected_units", F.when(counted > 0, sold / counted)).drop("_day", "_first")
+
+
+def velocity_spans(fact: DataFrame, days: int = 7) -> DataFrame:
+    """The trailing sum of units over ``days`` calendar days for every day, as spans in which it stays the same.
+
+    A sale enters the sum on its day and leaves it ``days`` later, so two changes per selling day tell it all,
+    however long a shelf stands still between them. Spans go from a shelf's first selling day to the last
+    on which anything counts; both ends are included.
+    """
+    daily = daily_sales(fact).withColumn("_day", F.unix_date(day_of_key(F.col("date_key"))))
+    entering = F.struct(F.col("_day").alias("at"), F.col("units").alias("change"))
+    leaving = F.struct((F.col("_day") + days).alias("at"), (-F.col("units")).alias("change"))
+    changes = daily.select(*SHELF, F.inline(F.array(entering, leaving)))
+    changes = changes.groupBy(*SHELF, "at").agg(F.sum("change").alias("change")).where(F.col("change") != 0)
+    in_order = Window.partitionBy(*SHELF).orderBy("at")
+    spans = changes.select(
+        *SHELF,
+        F.date_from_unix_date("at").alias("from_day"),
+        F.date_from_unix_date(F.lead("at").over(in_order) - 1).alias("to_day"),
+        F.sum("change").over(in_order).alias("window_units"),
+    )
+    return spans.where(F.col("window_units") > 0).withColumn("avg_units", F.col("window_units").cast("double") / days)
+
+
 def stock_level(fact: DataFrame, opening: DataFrame) -> DataFrame:
     """Stock left per product, store and day: opening stock less everything sold so far.
 

@@ -9,7 +9,7 @@ import re
 
 from tillworks.queries.spark_queries import (
     BATCH_STARTS, CLOCK_TEXT, CORRECTED, DELIVERIES, DELIVERY_DAY, EMPTIED_DAY, HISTORY_ENDS, REPLACED_FROM,
-    BROKEN_SHARD, SHARDS,
+    BROKEN_SHARD, OPENING_UNITS, REORDER_EVERY, REORDER_UNITS, SHARDS,
 )
 
 TS = "'%Y-%m-%d %H:%M:%S'"
@@ -243,6 +243,17 @@ STEPS: dict[str, str] = {
         SELECT product_key, store_key, date_key, sum(quantity) AS units,
                strptime(CAST(date_key AS VARCHAR), '%Y%m%d') AS sale_day
         FROM fact GROUP BY product_key, store_key, date_key""",
+    "shelf_days": """
+        SELECT s.product_key, s.store_key, d.sale_day, coalesce(units, 0) AS units, units IS NOT NULL AS sold
+        FROM (SELECT product_key, store_key, min(sale_day) AS first_day FROM daily GROUP BY product_key, store_key) AS s
+        JOIN (SELECT unnest(generate_series(min(sale_day), max(sale_day) + INTERVAL 6 DAY, INTERVAL 1 DAY)) AS sale_day
+              FROM daily) AS d ON d.sale_day >= s.first_day
+        LEFT JOIN daily AS x ON x.product_key = s.product_key AND x.store_key = s.store_key AND x.sale_day = d.sale_day""",
+    "movements": """
+        SELECT product_key, store_key, CAST(sale_timestamp AS DATE) AS day, -quantity AS change FROM fact
+        UNION ALL
+        SELECT product_key, store_key, CAST(CAST(sale_timestamp AS DATE) + INTERVAL 1 MONTH AS DATE), {reorder_units}
+        FROM fact WHERE quantity % {reorder_every} = 0""".format(reorder_units=REORDER_UNITS, reorder_every=REORDER_EVERY),
     "stock": """
         SELECT product_key, store_key, date_key, CAST(units AS BIGINT) AS units,
                CAST(sum(units) OVER w AS BIGINT) AS sold_units, CAST(40 - sum(units) OVER w AS BIGINT) AS stock_units
@@ -572,6 +583,36 @@ QUERIES: dict[str, str] = {
         CASE WHEN count(*) OVER w > 0 THEN CAST(sum(units) OVER w AS DOUBLE) / count(*) OVER w END AS expected_units
         FROM daily WINDOW w AS (PARTITION BY product_key, store_key, isodow(sale_day) ORDER BY date_key
                                 ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)""",
+    "calendar_velocity": """SELECT product_key, store_key, CAST(strftime(sale_day, '%Y%m%d') AS INTEGER) AS date_key,
+        CAST(units AS BIGINT) AS units, avg_units
+        FROM (SELECT *, CAST(sum(units) OVER w AS DOUBLE) / count(*) OVER w AS avg_units FROM shelf_days
+              WINDOW w AS (PARTITION BY product_key, store_key ORDER BY sale_day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) AS v
+        WHERE sold""",
+    "calendar_baseline": """SELECT product_key, store_key, CAST(strftime(sale_day, '%Y%m%d') AS INTEGER) AS date_key,
+        CAST(units AS BIGINT) AS units, CAST(isodow(sale_day) AS INTEGER) AS day_of_week, expected_units
+        FROM (SELECT *, CASE WHEN count(*) OVER w > 0 THEN CAST(sum(units) OVER w AS DOUBLE) / count(*) OVER w END AS expected_units
+              FROM shelf_days WINDOW w AS (PARTITION BY product_key, store_key, isodow(sale_day) ORDER BY sale_day
+                                           ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)) AS v
+        WHERE sold""",
+    "velocity_spans": f"""SELECT product_key, store_key, strftime(min(sale_day), {DAY}) AS from_day, strftime(max(sale_day), {DAY}) AS to_day,
+        CAST(window_units AS BIGINT) AS window_units, CAST(window_units AS DOUBLE) / 7 AS avg_units
+        FROM (SELECT *, sum(CASE WHEN window_units IS DISTINCT FROM before THEN 1 ELSE 0 END) OVER
+                     (PARTITION BY product_key, store_key ORDER BY sale_day) AS span
+              FROM (SELECT *, lag(window_units) OVER (PARTITION BY product_key, store_key ORDER BY sale_day) AS before
+                    FROM (SELECT *, sum(units) OVER (PARTITION BY product_key, store_key ORDER BY sale_day
+                                                     ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS window_units
+                          FROM shelf_days) AS a) AS b) AS c
+        WHERE window_units > 0 GROUP BY product_key, store_key, span, window_units""",
+    "low_stock_events": f"""SELECT product_key, store_key, strftime(day, {DAY}) AS day, units, safety_units,
+        CASE WHEN below THEN 'below' ELSE 'recovered' END AS event
+        FROM (SELECT *, lag(below, 1, false) OVER (PARTITION BY product_key, store_key ORDER BY day) AS was_below
+              FROM (SELECT m.product_key, store_key, day, CAST(p_size AS BIGINT) AS safety_units,
+                           CAST({OPENING_UNITS} + sum(change) OVER w AS BIGINT) AS units,
+                           {OPENING_UNITS} + sum(change) OVER w < p_size AS below
+                    FROM (SELECT product_key, store_key, day, sum(change) AS change FROM movements GROUP BY product_key, store_key, day) AS m
+                    JOIN part ON m.product_key = md5(concat('P', CAST(p_partkey AS VARCHAR)))
+                    WINDOW w AS (PARTITION BY m.product_key, store_key ORDER BY day)) AS s) AS e
+        WHERE below <> was_below""",
     "anomaly_flags": f"""SELECT * FROM (SELECT {FACT.replace('product_key', 'f.product_key AS product_key', 1)},
         CAST(n * CAST(round(total_price * 100) AS HUGEINT) - s AS DOUBLE) / sqrt(CAST(n * q - s * s AS DOUBLE)) AS z_score
         FROM fact AS f JOIN moments AS m ON f.product_key = m.product_key WHERE n * q - s * s > 0) AS z

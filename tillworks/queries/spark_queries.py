@@ -36,6 +36,7 @@ from tillworks.schemas import (
 from tillworks.session import file_system, prepare, stored, stored_bytes, work_dir, write_text
 from tillworks.sources import bronze, lake, serving, snapshots, versions
 from tillworks.sources.tables import messages, raw_lines, sales_events, table
+from tillworks.streaming.alerts import stock_events
 from tillworks.streaming.bronze_stream import batch_metrics, run_bronze_stream
 from tillworks.streaming.dedupe import drop_replays, state_partitions
 from tillworks.streaming.shards import run_shards
@@ -1013,6 +1014,46 @@ def demand_baseline(spark, sf_dir):
     return insights.demand_baseline(_fact(spark, sf_dir))
 
 
+@query("calendar_velocity")
+def calendar_velocity(spark, sf_dir):
+    return insights.calendar_velocity(_fact(spark, sf_dir))
+
+
+@query("calendar_baseline")
+def calendar_baseline(spark, sf_dir):
+    return insights.calendar_baseline(_fact(spark, sf_dir))
+
+
+@query("velocity_spans")
+def velocity_spans(spark, sf_dir):
+    return _texts(insights.velocity_spans(_fact(spark, sf_dir)))
+
+
+# Every fifth quantity brings a delivery of so many units a month after the sale.
+REORDER_EVERY, REORDER_UNITS, OPENING_UNITS = 5, 60, 40
+
+
+@query("low_stock_events")
+def low_stock_events(spark, sf_dir):
+    """Crossings of the safety stock over a stream of sales and deliveries, a year of days a batch, restarted on the way."""
+    landing, out, state = (work_dir(spark, name) for name in ("movements", "stock_events", "stock_state"))
+    facts = stored(_fact(spark, sf_dir).withColumn("day", F.to_date("sale_timestamp")), "fact")
+    sold = facts.select(*insights.SHELF, "day", (-F.col("quantity")).cast("bigint").alias("change"))
+    reordered = facts.where(F.col("quantity") % REORDER_EVERY == 0)
+    delivered = reordered.select(*insights.SHELF, F.add_months("day", 1).alias("day"), F.lit(REORDER_UNITS).cast("bigint").alias("change"))
+    movements = sold.unionByName(delivered).join(_thresholds(spark, sf_dir), "product_key")
+    movements = movements.withColumns({"opening_units": F.lit(OPENING_UNITS).cast("bigint"), "safety_units": F.col("safety_units").cast("bigint")})
+    movements = stored(movements, "movements")
+    years = sorted(row[0] for row in movements.select(F.year("day")).distinct().collect())  # a handful
+    for year in years:
+        movements.where(F.year("day") == year).coalesce(1).write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(movements.schema).parquet(landing)
+        writer = stock_events(arriving).writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+        with state_partitions(spark, stored_bytes(spark, landing)):
+            writer.trigger(availableNow=True).start().awaitTermination()
+    return _texts(spark.read.parquet(out))
+
+
 @query("anomaly_flags")
 def anomaly_flags(spark, sf_dir):
     fact = stored(_fact(spark, sf_dir), "fact")
