@@ -82,11 +82,11 @@ def test_bursts_spills_and_new_numbers_change_nothing(spark, monkeypatch):
         for row in rows:
             if row[2] == "en":
                 for batch in [*one.add((row[1] or "").encode()), *one.leave(20)]:
-                    phrases = batch.column(1).to_pylist()
+                    phrases = batch.column("phrase").to_pylist()
                     assert phrases == sorted(phrases, key=lambda p: p.encode().split(b" "))
-                    counted.update(dict(zip(phrases, batch.column(2).to_pylist())))
+                    counted.update(dict(zip(phrases, batch.column("n").to_pylist())))
         for batch in one.end():
-            for phrase, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for phrase, n in zip(batch.column("phrase").to_pylist(), batch.column("n").to_pylist()):
                 counted[phrase] += n
         expected, totals = brute_counts([r for r in rows if r[2] == "en"], 4)
         assert {tuple(p.split(" ")): n for p, n in counted.items() if p} == {p: n for p, n in expected["en"].items() if len(p) == width}
@@ -122,6 +122,29 @@ def test_the_bitmap_holds_every_frequent_phrase(spark):
         assert bits[at >> 3] >> (at & 7) & 1
 
 
+def test_prefix_partitions_are_even_and_the_same_for_every_run(monkeypatch):
+    monkeypatch.setattr(collocations, "PARTS", 40)
+    r = random.Random(7)
+    vocabulary = ["hot"] * 300 + [f"w{i:03d}" for i in range(600)]
+    texts = [" ".join(r.choice(vocabulary) for _ in range(400)).encode() for _ in range(30)]
+    words = Counter(w for t in texts for w in t.split())
+    known = sorted(words.items())[::2] + [(b"hot", words[b"hot"])]  # cuts may know some words only
+    cuts = collocations.Cuts([w for w, _ in sorted(set(known))], np.array([n for _, n in sorted(set(known))]))
+    part_of, rows = {}, Counter()
+    for half in (texts[:15], texts[15:]):
+        one = collocations._Language("en", 2, None, cuts)
+        for text in half:
+            assert not list(one.add(text))
+        for batch in one.end():
+            for part, phrase in zip(batch.column("part").to_pylist(), batch.column("phrase").to_pylist()):
+                assert part_of.setdefault(phrase, part) == part
+                rows[part] += 1
+    in_order = [part_of[p] for p in sorted(part_of, key=lambda p: p.encode().split(b" "))]
+    assert in_order == sorted(in_order)  # ranges
+    assert len({p for phrase, p in part_of.items() if phrase.startswith("hot ")}) >= 8
+    assert max(rows.values()) < 4 * sum(rows.values()) / 40
+
+
 def test_counts_beyond_64_bits_are_exact(spark):
     rows = [("en", "", 0, 10**14), ("en", "a", 1, 999_999_999_999), ("en", "b", 1, 999_999_999_989), ("en", "a b", 2, 999_999_999_961)]
     scored = collocations.scored(spark.createDataFrame(rows, "lang string, phrase string, width int, n bigint")).collect()

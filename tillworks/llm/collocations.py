@@ -3,28 +3,35 @@
 Words and word sequences are counted per language, width by width, in HAT-tries (``hat_trie``). A sequence can only be
 frequent if the sequences inside it are, so each width counts what passes a bitmap of the frequent sequences one
 word shorter. The bitmap may let others pass, but what it lets pass is counted in full, so no count depends on it.
-Every task's sorted runs are stored, cut into prefix partitions (ranges of the phrases' order, of even size, so that
-a hot first word has several) and merged there. Whole texts are read once for each width.
+Every task's sorted runs are dealt out to prefix partitions and merged there. These are ranges of the phrases' order, cut
+by the counts of single words so that they are of even size; a hot first word has several. Whole texts are read
+once for each width.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillworks.llm import hat_trie
 from tillworks.llm.texts import lean_batches, mix
-from tillworks.session import staged, stored
+from tillworks.session import stored
 
 #: Bits of the bitmap that goes to every worker (16 MB) whatever the input; a fuller one only lets more pass.
 FILTER_BITS = 1 << 27
 _STRETCH = 1 << 18  # bytes of a text that are split into words at a time
-_WORDS_AT_ONCE = 1 << 19  # that are put into a trie together
+#: Prefix partitions; a parameter of the cuts alone, Spark's setting decides on its partitions.
+PARTS = 4_096
+_ROWS = 20_000  # of a run that leave a worker at a time
+_WORDS_AT_ONCE = 1 << 20  # that are put into a trie together
+_CUT_WORDS = 20_000  # frequent words that the cuts follow
 _LANGUAGES = 500  # that a worker counts at a time
 NO_LANGUAGE = "und"
 ALL_WORDS = ""  # in counts: the phrase of no word, which stands for all word occurrences
@@ -57,11 +64,39 @@ def positions(hashes: list[np.ndarray], language: str) -> np.ndarray:
     return (out % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
+class Cuts:
+    """Where prefix partitions begin, by the first two words of a phrase, from the counts of a language's words.
+
+    A partition takes words in a row with some ``1 / PARTS`` of all occurrences; a word with more has
+    as many of its own as it has shares, cut by the second word as if that were spread like all words.
+    """
+
+    def __init__(self, words: list[bytes], counts: np.ndarray):
+        """``words`` in ascending order with their counts; a sample of them will do."""
+        self.words, self.before = words, np.concatenate([[0], np.cumsum(counts)])
+        self.share = max(1.0, self.before[-1] / PARTS)
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """For words in ascending order the occurrences of all words before each."""
+        at, out = 0, np.empty(len(words), np.float64)
+        for k, word in enumerate(words):
+            at = bisect.bisect_left(self.words, word, at)
+            out[k] = self.before[at]
+        return out
+
+    def parts(self, columns: list[np.ndarray], places: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Partition of each phrase: ``columns`` are ranks of its words, ``own`` the occurrences of each word."""
+        at = places[columns[0]]
+        if len(columns) > 1 and self.before[-1]:
+            at = at + own[columns[0]] * (places[columns[1]] / self.before[-1])
+        return (at / self.share).astype(np.int32)
+
+
 class _Language:
     """What a task has counted of one language."""
 
-    def __init__(self, name: str, width: int, bitmap: np.ndarray | None):
-        self.name, self.width, self.bitmap = name, width, bitmap
+    def __init__(self, name: str, width: int, bitmap: np.ndarray | None, cuts: Cuts | None = None):
+        self.name, self.width, self.bitmap, self.cuts = name, width, bitmap, cuts
         self.trie, self.words = hat_trie.Trie(width), hat_trie.Words()
         self.total, self._ids = 0, []
         self.stretch = min(_STRETCH, 1 << self.trie.bits - 2)
@@ -73,9 +108,10 @@ class _Language:
             self._ids += self.words.number(words)
             if len(self._ids) > _WORDS_AT_ONCE:
                 self.count()
-            if len(self.words.words) > self.full:  # numbering starts anew; the last words go on with new numbers
+            if len(self.words) > self.full:  # numbering starts anew; the last words go on with new numbers
                 self.count()
-                last = [self.words.words[i] for i in self._ids]
+                words = self.words.words
+                last = [words[i] for i in self._ids]
                 yield from self.leave(0)
                 self.words = hat_trie.Words()
                 self._ids = self.words.number(last)
@@ -96,38 +132,49 @@ class _Language:
     def leave(self, keep: int) -> Iterator[pa.RecordBatch]:
         """The largest subtrees as one sorted run, until at most ``keep`` sequences are left."""
         subtrees = list(self.trie.release(keep))
-        if subtrees:
-            keys, counts = (np.concatenate(part) for part in zip(*subtrees))
-            for phrases, n in hat_trie.run_of(keys, counts, self.width, *self.words.order()):
-                yield _rows(self.name, phrases, n)
+        if not subtrees:
+            return
+        ranks, words = self.words.order()
+        columns, counts = hat_trie.run_of(*(np.concatenate(part) for part in zip(*subtrees)), self.width, ranks)
+        if self.cuts is None:
+            parts = (self.words.hashes % np.uint64(PARTS)).astype(np.int32)[np.argsort(ranks)][columns[0]]
+        else:
+            places = self.cuts.places(words)
+            parts = self.cuts.parts(columns, places, self.cuts.places([w + b"\x00" for w in words]) - places)
+        names = pa.array(words[:-1], pa.binary()).cast(pa.string())  # the last one is the break
+        for k in range(0, len(counts), _ROWS):
+            texts = [pc.take(names, pa.array(column[k : k + _ROWS])) for column in columns]
+            phrases = pc.binary_join_element_wise(*texts, " ") if self.width > 1 else texts[0]
+            yield _rows(self.name, phrases, counts[k : k + _ROWS], parts[k : k + _ROWS])
 
     def end(self) -> Iterator[pa.RecordBatch]:
         self.count()
         yield from self.leave(0)
         if self.width == 1:
-            yield _rows(self.name, pa.array([ALL_WORDS]), [self.total])
+            yield _rows(self.name, pa.array([ALL_WORDS]), [self.total], [0])
 
 
-def _rows(language: str, phrases: pa.Array, n) -> pa.RecordBatch:
-    arrays = [pa.array([language] * len(phrases), pa.string()), phrases, pa.array(n, pa.int64())]
-    return pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "n"])
+def _rows(language: str, phrases: pa.Array, n, parts) -> pa.RecordBatch:
+    arrays = [pa.array(parts, pa.int32()), pa.array([language] * len(phrases), pa.string()), phrases, pa.array(n, pa.int64())]
+    return pa.RecordBatch.from_arrays(arrays, ["part", "lang", "phrase", "n"])
 
 
-def _runs(texts: DataFrame, width: int, bitmap: bytes | None) -> DataFrame:
-    """``lang, phrase, n`` of every task's runs; a phrase has a row for each run that it is in."""
-    shared = None if bitmap is None else texts.sparkSession.sparkContext.broadcast(bitmap)
+def _runs(texts: DataFrame, width: int, bitmap: bytes | None, cuts: dict[str, Cuts]) -> DataFrame:
+    """``part, lang, phrase, n`` of every task's runs; a phrase has a row for each run that it is in."""
+    shared = texts.sparkSession.sparkContext.broadcast((bitmap, cuts))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if shared is None else np.frombuffer(shared.value, np.uint8)
+        bitmap, cuts = shared.value
+        bits = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
         languages: dict[str, _Language] = {}
         for batch in batches:
             column = batch.column("text").cast(pa.binary())
             for name, text in zip(batch.column("lang").to_pylist(), column):
                 one = languages.get(name)
                 if one is None:
-                    one = languages[name] = _Language(name, width, bits)
+                    one = languages[name] = _Language(name, width, bits, cuts.get(name))
                 yield from one.add(text.as_py())
-            if len(languages) > _LANGUAGES or sum(len(x.words.words) for x in languages.values()) > hat_trie.WORDS:
+            if len(languages) > _LANGUAGES or sum(len(x.words) for x in languages.values()) > hat_trie.WORDS:
                 for one in languages.values():
                     yield from one.end()
                 languages = {}
@@ -138,7 +185,19 @@ def _runs(texts: DataFrame, width: int, bitmap: bytes | None) -> DataFrame:
         for one in languages.values():
             yield from one.end()
 
-    return texts.mapInArrow(count, "lang string, phrase string, n bigint")
+    return texts.mapInArrow(count, "part int, lang string, phrase string, n bigint")
+
+
+def _cuts(words: DataFrame) -> dict[str, Cuts]:
+    """Cuts of the languages with the most words, from the words with the most occurrences: ``_CUT_WORDS`` at most.
+
+    They only say which partition a phrase goes to; phrases of other languages are dealt out by their first word's hash.
+    """
+    frequent = words.where(F.col("phrase") != ALL_WORDS).orderBy(F.desc("n"), "lang", "phrase").limit(_CUT_WORDS).collect()
+    found: dict[str, list[tuple[bytes, int]]] = {}
+    for row in frequent:
+        found.setdefault(row.lang, []).append((row.phrase.encode(), row.n))
+    return {lang: Cuts([w for w, _ in sorted(pairs)], np.array([n for _, n in sorted(pairs)], np.int64)) for lang, pairs in found.items()}
 
 
 def _bitmap(frequent: DataFrame) -> bytes:
@@ -172,15 +231,15 @@ def counts(df: DataFrame, longest: int, least: int, lang: str = "lang", text: st
     lean_batches(spark)
     hat_trie.bits_of(longest)
     texts = df.select(F.coalesce(F.col(f"`{lang}`"), F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    bitmap, out = None, []
+    bitmap, cuts, out = None, {}, []
     for width in range(1, longest + 1):
         if width > 1:
             bitmap = _bitmap(out[-1].where(F.col("width") == width - 1))
-        with staged(_runs(texts, width, bitmap), "phrase-runs") as runs:
-            merged = runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-            frequent = merged.where((F.col("n") >= least) | (F.col("phrase") == ALL_WORDS))
-            numbered = F.when(F.col("phrase") == ALL_WORDS, 0).otherwise(width).alias("width")
-            out.append(stored(frequent.select("lang", "phrase", numbered, "n"), "phrases"))
+            cuts = cuts or _cuts(out[0])
+        merged = _runs(texts, width, bitmap, cuts).repartition("part").groupBy("part", "lang", "phrase").agg(F.sum("n").alias("n"))
+        frequent = merged.where((F.col("n") >= least) | (F.col("phrase") == ALL_WORDS))
+        numbered = F.when(F.col("phrase") == ALL_WORDS, 0).otherwise(width).alias("width")
+        out.append(stored(frequent.select("lang", "phrase", numbered, "n"), "phrases"))
     found = out[0]
     for more in out[1:]:
         found = found.unionByName(more)

@@ -7,18 +7,16 @@ subtrees leave as sorted runs and are forgotten, to be added up with other runs
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 
 #: Sequences in a container before it bursts, and in all tries of a worker before subtrees leave.
 BURST, MOST = 4_096, 500_000
 #: Words that a worker numbers before everything leaves and numbering starts anew.
 WORDS = 250_000
-ROWS = 20_000  # of a run that leave at a time
 BREAK = b"\xff"  # stands between words that are in no sequence together; no byte of UTF-8
 WIDEST = 4  # ids of a sequence are packed into 63 bits
 
@@ -43,25 +41,37 @@ class Trie:
         self.root: dict = {}
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Add counts of packed sequences."""
+        """Add counts of packed sequences, which come in ascending order: those of a first word go in together."""
         top = self.bits * (self.width - 1)
-        for rest, count in zip(keys.tolist(), counts.tolist()):
-            parent, head, node, shift = None, 0, self.root, top
-            while type(node) is Branch:
-                parent, head = node, rest >> shift
-                rest &= (1 << shift) - 1
-                shift -= self.bits
-                node = parent.get(head)
-                if node is None:
-                    node = parent[head] = {}
-            known = node.get(rest)
-            if known is not None:
-                node[rest] = known + count
-                continue
-            node[rest] = count
-            self.size += 1
+        if type(self.root) is not Branch:
+            self._put(None, 0, self.root, keys.tolist(), counts.tolist(), top)
+            return
+        heads, rests, counts = keys >> top, (keys & ((1 << top) - 1)).tolist(), counts.tolist()
+        starts = np.flatnonzero(np.diff(heads, prepend=-1)) if len(keys) else np.empty(0, np.int64)
+        ends = [*starts[1:].tolist(), len(rests)]
+        root, below = self.root, top - self.bits
+        for head, start, end in zip(heads[starts].tolist(), starts.tolist(), ends):
+            node = root.get(head)
+            if node is None:
+                node = root[head] = {}
+            self._put(root, head, node, rests[start:end], counts[start:end], below)
+
+    def _put(self, parent: Branch | None, head: int, node: dict, rests: list[int], counts: list[int], shift: int) -> None:
+        """Add sequences to a container, or one by one down a branch; a container that gets too large bursts."""
+        if type(node) is not Branch:
+            before, get = len(node), node.get
+            for rest, count in zip(rests, counts):
+                node[rest] = get(rest, 0) + count
+            self.size += len(node) - before
             if len(node) > self.burst and shift > 0:
                 self._burst(parent, head, node, shift)
+            return
+        for rest, count in zip(rests, counts):
+            first = rest >> shift
+            child = node.get(first)
+            if child is None:
+                child = node[first] = {}
+            self._put(node, first, child, [rest & ((1 << shift) - 1)], [count], shift - self.bits)
 
     def _burst(self, parent: Branch | None, head: int, container: dict, shift: int) -> None:
         branch = Branch()
@@ -105,51 +115,54 @@ class Trie:
                 yield np.concatenate(keys), np.concatenate(counts)
 
 
+class _Numbers(dict):
+    """Word to number; a word that is new gets the next one."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Words:
     """Local numbers of words, from 1 on; 0 is a break, which is in no sequence."""
 
     def __init__(self):
-        self.numbers: dict[bytes, int] = {BREAK: 0}
-        self.words: list[bytes] = [BREAK]
-        self._hashes = np.zeros(1, np.uint64)
+        self._numbers, self._hashes = _Numbers({BREAK: 0}), np.zeros(1, np.uint64)
+
+    def __len__(self) -> int:
+        return len(self._numbers)
+
+    @property
+    def words(self) -> list[bytes]:
+        return list(self._numbers)
 
     def number(self, words: list[bytes]) -> list[int]:
-        known = self.numbers
-        try:
-            return [known[w] for w in words]
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = len(self.words)
-                    self.words.append(w)
-            return [known[w] for w in words]
+        return list(map(self._numbers.__getitem__, words))
 
     @property
     def hashes(self) -> np.ndarray:
         """64-bit hash of each numbered word."""
-        done = len(self._hashes)
-        if done < len(self.words):
-            new = np.fromiter(map(xxhash.xxh64_intdigest, self.words[done:]), np.uint64, len(self.words) - done)
+        done, now = len(self._hashes), len(self)
+        if done < now:
+            new = np.fromiter(map(xxhash.xxh64_intdigest, itertools.islice(self._numbers, done, now)), np.uint64, now - done)
             self._hashes = np.concatenate([self._hashes, new])
         return self._hashes
 
-    def order(self) -> tuple[np.ndarray, pa.Array]:
-        """Rank of each number in the order of the words, and the words in this order."""
-        by_word = sorted(range(len(self.words)), key=self.words.__getitem__)
+    def order(self) -> tuple[np.ndarray, list[bytes]]:
+        """Rank of each number in the order of the words, and the words in this order; the break comes last."""
+        words = self.words
+        by_word = sorted(range(len(words)), key=words.__getitem__)
         ranks = np.empty(len(by_word), np.int64)
         ranks[by_word] = np.arange(len(by_word))
-        return ranks, pa.array([b"" if k == 0 else self.words[k] for k in by_word], pa.binary()).cast(pa.string())
+        return ranks, [words[k] for k in by_word]
 
 
-def run_of(keys: np.ndarray, counts: np.ndarray, width: int, ranks: np.ndarray, words: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """A sorted run: phrases (words joined by a space) in the order of their words, and counts, some rows at a time."""
+def run_of(keys: np.ndarray, counts: np.ndarray, width: int, ranks: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """A sorted run: of each place in a sequence the ranks of its words, in the order of the words, and the counts."""
     bits = bits_of(width)
     columns = [ranks[(keys >> bits * (width - 1 - k)) & ((1 << bits) - 1)] for k in range(width)]
     order = np.lexsort(columns[::-1])
-    for first in range(0, len(order), ROWS):
-        part = order[first : first + ROWS]
-        texts = [pc.take(words, pa.array(column[part])) for column in columns]
-        yield (pc.binary_join_element_wise(*texts, " ") if width > 1 else texts[0]), counts[part]
+    return [column[order] for column in columns], counts[order]
 
 
 def windows(ids: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
