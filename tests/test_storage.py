@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillworks import session
 from tillworks.layout import day_columns
+from tillworks.operators import star
 from tillworks.operators.numbering import numbered
 from tillworks.schemas import DIM_STORE
 from tillworks.sources import lake, serving, snapshots, versions
@@ -164,6 +165,24 @@ def test_periods_without_a_sketch_are_admitted(spark, tmp_path):
     assert serving.merge_table(spark, root, first.schema, batch, ["id", "p"]) == ["202603"]
 
 
+def test_a_condition_on_days_opens_their_periods_alone(spark, tmp_path):
+    root = str(tmp_path / "fact")
+    rows = sales(spark, *[(f"k{m}-{i}", "1", i, (2026, m, 1 + i)) for m in range(1, 13) for i in range(20)])
+    rows = rows.withColumn("date_key", F.date_format("sale_timestamp", "yyyyMMdd").cast("int"))
+    serving.merge_table(spark, root, rows.schema, rows, ["id", "p"])
+    dates = session.stored(star.date_dim(spark, date(2026, 1, 1), date(2026, 12, 31)), "dates")
+    quarter = serving.with_dates(serving.read_table(spark, root, rows.schema), dates.where("quarter = 2"))
+    assert "dynamicpruning" in quarter._jdf.queryExecution().executedPlan().toString()
+    for part in (tmp_path / "fact").iterdir():
+        if part.name[-2:] not in ("04", "05", "06"):
+            for file in part.glob("version=*/part-*"):
+                file.write_bytes(b"no Parquet")
+                file.with_name(f".{file.name}.crc").unlink()
+    got = quarter.collect()
+    assert sorted(r.id for r in got) == sorted(f"k{m}-{i}" for m in (4, 5, 6) for i in range(20))
+    assert all(r.full_date == r.sale_timestamp.date() and r.quarter == 2 for r in got)
+
+
 def test_serial_numbers_have_no_gaps_over_merges(spark, tmp_path):
     root, keys = str(tmp_path / "fact"), ["id", "p"]
     schema = sales(spark).select(F.lit(1).cast("bigint").alias("sale_key"), "*").schema

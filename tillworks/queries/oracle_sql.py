@@ -9,7 +9,8 @@ import re
 
 from tillworks.queries.spark_queries import (
     BATCH_STARTS, CLOCK_TEXT, CORRECTED, DELIVERIES, DELIVERY_DAY, EMPTIED_DAY, HISTORY_ENDS, REPLACED_FROM,
-    BROKEN_SHARD, OPENING_UNITS, REORDER_EVERY, REORDER_UNITS, SHARDS,
+    BROKEN_SHARD, OPENING_UNITS, PLANTED, QUARTER, QUOTED_EVERY,
+    REORDER_EVERY, REORDER_UNITS, SHARDS,
 )
 
 TS = "'%Y-%m-%d %H:%M:%S'"
@@ -343,6 +344,28 @@ def _decimal_text(amount: str) -> str:
     return f"concat(CAST({whole} // 100 AS VARCHAR), '.', lpad(CAST({whole} % 100 AS VARCHAR), 2, '0'))"
 
 
+JSON_KINDS = {"1": "number", '"': "text", "[": "array", "{": "object", "n": "null", "t": "boolean"}
+TEXT_FIELDS = ("transaction_id", "product_id", "product_name", "category", "timestamp", "store_id", "payment_method", "client_type",
+               "ingested_at", "source_system")
+# The seven tables, where their rows come from, and their columns with Spark's names of the types.
+TABLES = {
+    "sales_silver": ("silver", {
+        "transaction_id": "string", "product_id": "string", "product_name": "string", "product_category": "string", "quantity": "int",
+        "unit_price": "decimal(10,2)", "total_price": "decimal(10,2)", "store_id": "string", "payment_method": "string",
+        "client_type": "string", "sale_timestamp": "timestamp", "processed_at": "timestamp"}),
+    "dim_product": ("dim_product", {
+        "product_key": "string", "product_id": "string", "product_name": "string", "product_category": "string"}),
+    "dim_store": ("dim_store", {"store_key": "string", "store_id": "string"}),
+    "dim_payment_method": ("dim_payment_method", {"payment_method_key": "string", "payment_method": "string"}),
+    "dim_client_type": ("dim_client_type", {"client_type_key": "string", "client_type": "string"}),
+    "dim_date": ("silver_dates", {
+        "date_key": "int", "full_date": "date", "year": "int", "quarter": "int", "month": "int", "month_name": "string",
+        "week_of_year": "int", "day_of_month": "int", "day_of_week": "int", "day_name": "string", "is_weekend": "boolean"}),
+    "fact_sales": ("fact", {
+        "sale_key": "bigint", "transaction_id": "string", "product_key": "string", "store_key": "string", "date_key": "int",
+        "payment_method_key": "string", "client_type_key": "string", "quantity": "int", "unit_price": "decimal(10,2)",
+        "total_price": "decimal(10,2)", "sale_timestamp": "timestamp", "processed_at": "timestamp"}),
+}
 CENTS = "CAST(sum(CAST(round(total_price * 100) AS BIGINT)) AS BIGINT)"
 
 
@@ -463,6 +486,38 @@ QUERIES: dict[str, str] = {
               FROM (SELECT *, hit_period AND quantity % 3 = 0 AS hit
                     FROM (SELECT *, strftime(sale_timestamp, '%Y%m') AS sale_period,
                                  strftime(sale_timestamp, '%Y%m') IN {CORRECTED} AS hit_period FROM silver) AS p) AS h) AS c""",
+    "star_quarter": f"""SELECT * REPLACE ({_decimal_text('unit_price')} AS unit_price, {_decimal_text('total_price')} AS total_price)
+        FROM ({STAR_JOIN} WHERE d.year = {QUARTER[0]} AND d.quarter = {QUARTER[1]}) AS q""",
+    "tables_from_specs": _union(
+        [
+            f"""SELECT '{table}' AS table_name, phase, '{column}' AS column_name, {position} AS position, '{kind}' AS data_type,
+                CASE WHEN phase = 'loaded' THEN filled ELSE 0 END AS filled
+                FROM (SELECT count({'1' if column in ('sale_key', 'processed_at') else column}) AS filled FROM {source}) AS c
+                CROSS JOIN (VALUES ('loaded'), ('recreated')) AS p(phase)"""
+            for table, (source, columns) in TABLES.items()
+            for position, (column, kind) in enumerate(columns.items(), 1)
+        ]
+    ),
+    "schema_drift": _union(
+        [
+            *[
+                f"""SELECT '{field}' AS field, '{kind}' AS kind, count(*) AS lines, count(*) FILTER (WHERE {null}) AS nulls,
+                    '{status}' AS status FROM landed"""
+                for field, kind, null, status in (
+                    *[(f, "text", f"{NULLABLE[f]} IS NULL" if f in NULLABLE else "false", "declared") for f in TEXT_FIELDS],
+                    ("unit_price", "number", "false", "declared"),
+                    ("total_price", "number", "total_price IS NULL", "declared"),
+                )
+            ],
+            f"""SELECT 'quantity', CASE WHEN bool_or(l_orderkey % {QUOTED_EVERY} = 0) THEN 'mixed' ELSE 'number' END, count(*), 0,
+                CASE WHEN bool_or(l_orderkey % {QUOTED_EVERY} = 0) THEN 'changed' ELSE 'declared' END FROM landed""",
+            *[
+                f"""SELECT '{name}', '{JSON_KINDS[value[0]]}', count(*), {'count(*)' if value == 'null' else 0}, 'new' FROM landed
+                    WHERE l_orderkey % {every} = 0 HAVING count(*) > 0"""
+                for name, (every, value) in PLANTED.items()
+            ],
+        ]
+    ),
     "dense_sale_key": f"""SELECT row_number() OVER (ORDER BY delivery, transaction_id, product_key) AS sale_key,
         transaction_id, product_key, quantity, strftime(sale_timestamp, '%Y%m') AS sale_period
         FROM (SELECT *, CASE {' '.join(f"WHEN sale_timestamp < TIMESTAMP '{end} 00:00:00' THEN {k}" for k, (_, end) in enumerate(DELIVERIES))}

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tillworks import functions as fn
 from tillworks.layout import Layout, day_folder, day_from_path
-from tillworks.operators import constraints, ingest, insights, merge, quality, star
+from tillworks.operators import constraints, drift, ingest, insights, merge, quality, star
 from tillworks.plans.bronze_to_silver import SILVER_KEYS, SILVER_UPDATES, bronze_to_silver, bronze_to_silver_days, serve_silver, tagged_lines
 from tillworks.plans.silver_to_gold import (
     FACT_KEYS,
@@ -32,6 +32,7 @@ from tillworks.schemas import (
     SALES_SILVER_SPEC,
     SILVER,
     TABLE_SPECS,
+    empty_table,
 )
 from tillworks.session import file_system, prepare, stored, stored_bytes, work_dir, write_text
 from tillworks.sources import bronze, lake, serving, snapshots, versions
@@ -558,6 +559,69 @@ def serving_merge_admitted(spark, sf_dir):
     return _texts(rows.withColumns(flags).select(*SALES_COLUMNS, serving.PERIOD, *flags))
 
 
+QUARTER = (1996, 2)
+
+
+@query("star_quarter")
+def star_quarter(spark, sf_dir):
+    """The star join of one quarter over the serving fact, which lies by month; other months are not opened."""
+    silver = _silver(spark, sf_dir)
+    root = Layout(work_dir(spark, "serving")).serving("fact_sales")
+    facts = constraints.to_serving(star.fact_sales(silver), FACT_SALES_SPEC)
+    serving.merge_table(spark, root, FACT_SALES_SPEC.schema, facts, FACT_KEYS, FACT_UPDATES, serial="sale_key")
+    dims = {name: stored(build(silver), name) for name, build in star.DIMENSIONS.items()}
+    dates = stored(star.date_dim_covering(silver, "sale_timestamp"), "dim_date")
+    year, quarter = QUARTER
+    dated = serving.with_dates(_amounts(serving.read_table(spark, root, FACT_SALES_SPEC.schema)), dates.where((F.col("year") == year) & (F.col("quarter") == quarter)))
+    joined = star.star_join(dated.select(*FACT_SALES_SPEC.schema.names), {**dims, "dim_date": dates})
+    return _texts(joined)
+
+
+def _filled(tables: dict[str, DataFrame], phase: str) -> DataFrame:
+    """Per table and column its place, its type and how many rows have a value."""
+    parts = []
+    for name, df in tables.items():
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        places = F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("position"), F.lit(kind).alias("data_type"), F.col(c).alias("filled"))
+            for k, (c, kind) in enumerate(df.dtypes, 1)
+        ])
+        parts.append(counts.select(F.lit(name).alias("table_name"), F.lit(phase).alias("phase"), F.inline(places)))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query("tables_from_specs")
+def tables_from_specs(spark, sf_dir):
+    """All seven tables created, loaded without the processing time, dropped and created again: columns, types, filled rows."""
+    silver = _silver(spark, sf_dir).drop("processed_at")
+    layout = Layout(work_dir(spark, "tables"))
+    loads = {name: build(silver) for name, build in star.DIMENSIONS.items()}
+    loads["dim_date"] = star.date_dim_covering(silver, "sale_timestamp")
+    merged = {
+        "sales_silver": (silver, SILVER_KEYS, SILVER_UPDATES, None),
+        "fact_sales": (star.fact_sales(silver.withColumn("processed_at", F.lit(None))).drop("processed_at"), FACT_KEYS, FACT_UPDATES, "sale_key"),
+    }
+    for name, rows in loads.items():
+        snapshots.write_snapshot(empty_table(spark, TABLE_SPECS[name]), layout.dim(name))
+        snapshots.write_snapshot(constraints.to_serving(rows, TABLE_SPECS[name]), layout.dim(name))
+    for name, (rows, keys, update, serial) in merged.items():
+        spec = TABLE_SPECS[name]
+        serving.merge_table(spark, layout.serving(name), spec.schema, constraints.to_serving(rows, spec), keys, update, serial=serial)
+
+    def tables() -> dict[str, DataFrame]:
+        found = {name: snapshots.read_snapshot(spark, layout.dim(name), TABLE_SPECS[name].schema) for name in loads}
+        served = {name: serving.read_table(spark, layout.serving(name), TABLE_SPECS[name].schema) for name in merged}
+        return found | {name: df.drop(serving.PERIOD) for name, df in served.items()}
+
+    loaded = stored(_filled(tables(), "loaded"), "loaded")
+    for name in loads:
+        versions.drop(spark, layout.dim(name))
+        snapshots.write_snapshot(empty_table(spark, TABLE_SPECS[name]), layout.dim(name))
+    for name in merged:
+        serving.recreate(spark, layout.serving(name))
+    return loaded.unionByName(_filled(tables(), "recreated"))
+
+
 # Three deliveries of sales, by first day and day after the last; they overlap.
 DELIVERIES = (("1900-01-01", "1995-01-01"), ("1994-01-01", "1997-01-01"), ("1996-01-01", "2100-01-01"))
 
@@ -666,6 +730,25 @@ def bronze_compact_day(spark, sf_dir):
     return _bronze_columns(bronze.scan_bronze(spark, root))
 
 
+# Fields that some orders' messages carry on top of the declared ones: how often, and the JSON text.
+PLANTED = {"loyalty_points": (7, "12"), "channel": (11, '"web"'), "tags": (17, '["a","b"]'), "address": (19, '{"zip":"1"}'),
+           "coupon": (23, "null"), "gift": (29, "true")}
+QUOTED_EVERY = 13  # of these orders the quantity comes as text
+
+
+@query("schema_drift")
+def schema_drift(spark, sf_dir):
+    """The fields of a landed day against the declared ones, after some messages brought more fields and another type."""
+    extra = [F.when(F.col("l_orderkey") % every == 0, F.lit(f',"{name}":{value}')).otherwise("") for name, (every, value) in PLANTED.items()]
+    text = F.concat(F.substr("value", F.lit(1), F.length("value") - 1), *extra, F.lit("}"))
+    sound = messages(sales_events(spark, sf_dir), carry=("l_orderkey",)).where(F.col("value").endswith("}"))
+    quoted = F.when(F.col("l_orderkey") % QUOTED_EVERY == 0, F.regexp_replace(text, '"quantity":([0-9.]+)', '"quantity":"$1"'))
+    lines = sound.select(F.coalesce(quoted, text).alias("value")).transform(ingest.with_message).transform(ingest.with_missing_fields)
+    root = Layout(work_dir(spark, "bronze")).bronze
+    bronze.write_bronze(ingest.stamp(ingest.accepted(lines), F.lit(str(DELIVERY_DAY)).cast("timestamp")), root, "load-0")
+    return drift.schema_drift(bronze.scan_lines(spark, root, DELIVERY_DAY)).drop("type")
+
+
 @query("encode_json_lines")
 def encode_json_lines(spark, sf_dir):
     """Valid rows to JSON lines and back."""

@@ -83,6 +83,12 @@ def scan_bronze(spark: SparkSession, root: str, day: date | None = None, days: S
     return reader.option("basePath", root).json(paths) if paths else spark.createDataFrame([], BRONZE)
 
 
+def scan_lines(spark: SparkSession, root: str, day: date) -> DataFrame:
+    """The JSON lines of a day as they are (column ``value``), fields that are not declared included."""
+    paths = day_paths(spark, root, [day])
+    return spark.read.text(paths).select("value") if paths else spark.createDataFrame([], "value string")
+
+
 def compact_day(spark: SparkSession, root: str, day: date, into: str = "compacted") -> int:
     """Merge a closed day's batches into one batch of evenly sized files; returns the batches merged.
 

@@ -47,6 +47,21 @@ def _opened(spark: SparkSession, root: str, schema: T.StructType, paths: list[st
     return spark.read.schema(full).option("basePath", root).parquet(*paths).select(*full.names)
 
 
+def recreate(spark: SparkSession, root: str) -> None:
+    """Drop a table and begin it anew: no rows, and surrogate keys from 1 on."""
+    versions.drop(spark, root)
+
+
+def with_dates(facts: DataFrame, dates: DataFrame, grain: str = "month", date_key: str = "date_key") -> DataFrame:
+    """Rows of a serving table with the attributes of their day.
+
+    Days are joined through the period as well, which is a partition column: a condition on ``dates`` so chooses,
+    when the query runs, the periods that are opened.
+    """
+    period = F.date_format("full_date", PERIOD_FORMATS[grain])
+    return facts.join(dates.withColumn(PERIOD, period), [PERIOD, date_key])
+
+
 def key_hash(keys: Sequence[str]) -> Column:
     """What a sketch holds of a key. Equal keys have equal hashes; of n and m different keys some n*m / 2**64 pairs have."""
     return F.xxhash64(*keys)
