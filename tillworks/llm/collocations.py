@@ -72,54 +72,65 @@ class Cuts:
     """
 
     def __init__(self, words: list[bytes], counts: np.ndarray):
-        """``words`` in ascending order with their counts; a sample of them will do."""
-        self.words, self.before = words, np.concatenate([[0], np.cumsum(counts)])
-        self.share = max(1.0, self.before[-1] / PARTS)
-
-    def places(self, words: list[bytes]) -> np.ndarray:
-        """For words in ascending order the occurrences of all words before each."""
-        at, out = 0, np.empty(len(words), np.float64)
-        for k, word in enumerate(words):
-            at = bisect.bisect_left(self.words, word, at)
-            out[k] = self.before[at]
-        return out
-
-    def parts(self, columns: list[np.ndarray], places: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Partition of each phrase: ``columns`` are ranks of its words, ``own`` the occurrences of each word."""
-        at = places[columns[0]]
-        if len(columns) > 1 and self.before[-1]:
-            at = at + own[columns[0]] * (places[columns[1]] / self.before[-1])
+        """``words`` with their counts; a sample of them will do."""
+        self.words, self.counts, self.total = words, counts, int(counts.sum())
+        self.share = max(1.0, self.total / PARTS)
+
+    def places(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """For words in ascending order the occurrences of all words before each, and its own."""
+        more, own = np.zeros(len(words) + 1, np.int64), np.zeros(len(words), np.int64)
+        for word, count in zip(self.words, self.counts.tolist()):
+            at = bisect.bisect_left(words, word)
+            if at < len(words) and words[at] == word:
+                own[at] = count
+                at += 1
+            more[at] += count
+        return np.cumsum(more[:-1]), own
+
+    def parts(self, columns: list[np.ndarray], words: list[bytes]) -> np.ndarray:
+        """Partition of each phrase, given as the places of its words among ``words``."""
+        before, own = self.places(words)
+        at = before[columns[0]].astype(np.float64)
+        if len(columns) > 1 and self.total:
+            at += own[columns[0]] * (before[columns[1]] / self.total)
         return (at / self.share).astype(np.int32)
 
 
+_END = np.zeros(1, np.int64)  # a break, as between texts
+
+
 class _Language:
     """What a task has counted of one language."""
 
     def __init__(self, name: str, width: int, bitmap: np.ndarray | None, cuts: Cuts | None = None):
         self.name, self.width, self.bitmap, self.cuts = name, width, bitmap, cuts
         self.trie, self.words = hat_trie.Trie(width), hat_trie.Words()
-        self.total, self._ids = 0, []
+        self.total, self._ids, self._held = 0, [], 0  # numbers of the words not counted yet, and how many
         self.stretch = min(_STRETCH, 1 << self.trie.bits - 2)
         self.full = 1 << self.trie.bits - 1
 
     def add(self, text: bytes) -> Iterator[pa.RecordBatch]:
         for words in stretches(text, self.stretch):
             self.total += len(words) - words.count(hat_trie.BREAK)
-            self._ids += self.words.number(words)
-            if len(self._ids) > _WORDS_AT_ONCE:
+            self._hold(self.words.number(words))
+            if self._held > _WORDS_AT_ONCE:
                 self.count()
             if len(self.words) > self.full:  # numbering starts anew; the last words go on with new numbers
                 self.count()
                 words = self.words.words
-                last = [words[i] for i in self._ids]
+                last = [words[i] for i in self._ids[0].tolist()]
                 yield from self.leave(0)
                 self.words = hat_trie.Words()
-                self._ids = self.words.number(last)
-        self._ids.append(0)
+                self._ids = [self.words.number(last)]
+        self._hold(_END)
+
+    def _hold(self, ids: np.ndarray) -> None:
+        self._ids.append(ids)
+        self._held += len(ids)
 
     def count(self) -> None:
         """Put the sequences of the words so far into the trie; what the next ones may begin with stays."""
-        ids = np.array(self._ids, np.int64)
+        ids = np.concatenate([_END, *self._ids])
         packed, counted = hat_trie.windows(ids, self.width)
         if self.bitmap is not None and len(packed):
             hashes, n = self.words.hashes[ids], len(ids) - self.width + 2
@@ -127,20 +138,20 @@ class _Language:
             passed = self.bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0
             counted &= passed[:-1] & passed[1:]
         self.trie.add(*np.unique(packed[counted], return_counts=True))
-        self._ids = self._ids[max(0, len(self._ids) - self.width + 1) :]
+        self._ids = [ids[max(0, len(ids) - self.width + 1) :]]
+        self._held = len(self._ids[0])
 
     def leave(self, keep: int) -> Iterator[pa.RecordBatch]:
         """The largest subtrees as one sorted run, until at most ``keep`` sequences are left."""
-        subtrees = list(self.trie.release(keep))
-        if not subtrees:
+        keys, counts = self.trie.release(keep)
+        if not len(keys):
             return
         ranks, words = self.words.order()
-        columns, counts = hat_trie.run_of(*(np.concatenate(part) for part in zip(*subtrees)), self.width, ranks)
+        columns, counts = hat_trie.run_of(keys, counts, self.width, ranks)
         if self.cuts is None:
             parts = (self.words.hashes % np.uint64(PARTS)).astype(np.int32)[np.argsort(ranks)][columns[0]]
         else:
-            places = self.cuts.places(words)
-            parts = self.cuts.parts(columns, places, self.cuts.places([w + b"\x00" for w in words]) - places)
+            parts = self.cuts.parts(columns, words)
         names = pa.array(words[:-1], pa.binary()).cast(pa.string())  # the last one is the break
         for k in range(0, len(counts), _ROWS):
             texts = [pc.take(names, pa.array(column[k : k + _ROWS])) for column in columns]
@@ -197,7 +208,7 @@ def _cuts(words: DataFrame) -> dict[str, Cuts]:
     found: dict[str, list[tuple[bytes, int]]] = {}
     for row in frequent:
         found.setdefault(row.lang, []).append((row.phrase.encode(), row.n))
-    return {lang: Cuts([w for w, _ in sorted(pairs)], np.array([n for _, n in sorted(pairs)], np.int64)) for lang, pairs in found.items()}
+    return {lang: Cuts([w for w, _ in pairs], np.array([n for _, n in pairs], np.int64)) for lang, pairs in found.items()}
 
 
 def _bitmap(frequent: DataFrame) -> bytes:

@@ -8,7 +8,6 @@ subtrees leave as sorted runs and are forgotten, to be added up with other runs
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -43,6 +42,8 @@ class Trie:
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Add counts of packed sequences, which come in ascending order: those of a first word go in together."""
         top = self.bits * (self.width - 1)
+        if type(self.root) is not Branch and len(self.root) + len(keys) > self.burst and top:
+            self._burst(None, 0, self.root, top)  # before it gets large
         if type(self.root) is not Branch:
             self._put(None, 0, self.root, keys.tolist(), counts.tolist(), top)
             return
@@ -86,33 +87,35 @@ class Trie:
         else:
             parent[head] = branch
 
-    def _collect(self, node: dict, prefix: int, shift: int, keys: list, counts: list) -> None:
+    def _collect(self, node: dict, prefix: int, shift: int, found: tuple[list, list, list, list]) -> None:
+        """Add to lists what is in a subtree: of each container the prefix and size, of each sequence the rest and count."""
         if type(node) is Branch:
             for head, child in node.items():
-                self._collect(child, prefix | head << shift, shift - self.bits, keys, counts)
-        elif node:
-            keys.append(np.fromiter(node.keys(), np.int64, len(node)) | prefix)
-            counts.append(np.fromiter(node.values(), np.int64, len(node)))
+                self._collect(child, prefix | head << shift, shift - self.bits, found)
+        else:
+            prefixes, sizes, rests, counts = found
+            prefixes.append(prefix)
+            sizes.append(len(node))
+            rests.extend(node)
+            counts.extend(node.values())
 
-    def release(self, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def release(self, keep: int) -> tuple[np.ndarray, np.ndarray]:
         """Take out whole subtrees, largest first, until at most ``keep`` sequences are left: packed keys and counts."""
         top = self.bits * (self.width - 1)
-        subtrees = list(self.root.items()) if type(self.root) is Branch and keep else [(None, self.root)]
-        sizes = [_size(node) for _, node in subtrees]
-        for k in sorted(range(len(subtrees)), key=lambda k: -sizes[k]):
-            if self.size <= keep:
-                return
-            head, node = subtrees[k]
-            keys, counts = [], []
-            if head is None:
-                self._collect(node, 0, top, keys, counts)
-                self.root = {}
-            else:
-                self._collect(node, head << top, top - self.bits, keys, counts)
-                del self.root[head]
-            self.size -= sizes[k]
-            if keys:
-                yield np.concatenate(keys), np.concatenate(counts)
+        found: tuple[list, list, list, list] = ([], [], [], [])
+        if type(self.root) is not Branch or not keep:
+            if self.size > keep:
+                self._collect(self.root, 0, top, found)
+                self.root, self.size = {}, 0
+        else:
+            sizes = {head: _size(node) for head, node in self.root.items()}
+            for head in sorted(sizes, key=lambda head: -sizes[head]):
+                if self.size <= keep:
+                    break
+                self._collect(self.root.pop(head), head << top, top - self.bits, found)
+                self.size -= sizes[head]
+        prefixes, sizes, rests, counts = (np.array(part, np.int64) for part in found)
+        return np.repeat(prefixes, sizes) | rests, counts
 
 
 class _Numbers(dict):
@@ -136,8 +139,8 @@ class Words:
     def words(self) -> list[bytes]:
         return list(self._numbers)
 
-    def number(self, words: list[bytes]) -> list[int]:
-        return list(map(self._numbers.__getitem__, words))
+    def number(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self._numbers.__getitem__, words), np.int64, len(words))
 
     @property
     def hashes(self) -> np.ndarray:
