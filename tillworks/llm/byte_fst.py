@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import public_tokenizers
+from tillworks.llm.recent import Recent
 
 #: Steps of the transducer, pair tests and pieces that a worker remembers. Beyond it the steps and tests are
 #: made anew, and the pieces not met lately go; results are the same.
@@ -48,24 +49,6 @@ class _Unsplit(Exception):
     """White space stands next to a single space, so a text cannot be split there."""
 
 
-class Recent:
-    """A bounded dictionary of two generations: what was not asked for since the last turn goes."""
-
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
-
-    def get(self, key):
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
-        return found
-
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.size:
-            self.young, self.old = {}, self.young
-        self.young[key] = value
-
-
 class Transducer:
     """The compiled merges of one rank file, which must hold all single bytes."""
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
-from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -21,9 +20,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillworks.llm.recent import Recent
+
 MARK = "▁"
-#: Entries that a worker remembers of each kind; beyond it works the same, only slower.
-REMEMBERED = 600_000
+#: Stretches, chunks and pair tests that a worker remembers (twice as many at most); those not met lately go.
+STRETCHES, CHUNKS, PAIRS = 200_000, 300_000, 150_000
 _PROBE = "  Ａ ﬁ  x\t​\n　é "
 _CHUNKS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -52,9 +53,7 @@ class Encoder:
         self.automaton.make_automaton()
         self.plain = self.normalizer.normalize(_PROBE) == (MARK + _PROBE).replace(" ", MARK)
         self._whole = {i: self.merge(piece) == [piece] for piece, i in self.ids.items() if len(piece) > 1}
-        self._fits: dict[int, bool] = {}
-        self._stretches: dict[str, tuple[tuple[int, ...], str]] = {}
-        self._chunks: dict[str, tuple[tuple[int, ...], str]] = {}
+        self._fits, self._stretches, self._chunks = Recent(PAIRS), Recent(STRETCHES), Recent(CHUNKS)
 
     def merge(self, text: str) -> list[str]:
         """The definition, for short strings: merge the best-scored adjacent pair, leftmost first, until none is a piece."""
@@ -76,9 +75,7 @@ class Encoder:
         if known is None:
             a, b = self.pieces[left], self.pieces[right]
             known = (a + b) not in self.scores and self.merge(a + b) == [a, b]
-            if len(self._fits) >= REMEMBERED:
-                self._fits.clear()
-            self._fits[key] = known
+            self._fits.put(key, known)
         return known
 
     def _stretch(self, text: str) -> list[int]:
@@ -105,47 +102,52 @@ class Encoder:
         out.reverse()
         return out
 
-    def _chunk(self, text: str) -> tuple[tuple[int, ...], str]:
-        out: list[int] = []
+    def _chunk(self, text: str) -> str:
+        """Ids of a piece of text that starts with a mark, as decimals joined by commas: the form that takes least memory."""
+        out: list[str] = []
         start = 0
         for k in range(1, len(text) + 1):
             if k == len(text) or text[k - 1 : k + 1] not in self.beside:
                 stretch = text[start:k]
                 known = self._stretches.get(stretch)
                 if known is None:
-                    known = tuple(self._stretch(stretch))
+                    known = ",".join(map(str, self._stretch(stretch)))
                     if len(stretch) <= 64:
-                        if len(self._stretches) >= REMEMBERED:
-                            self._stretches.clear()
-                        self._stretches[stretch] = known
-                out += known
+                        self._stretches.put(stretch, known)
+                out.append(known)
                 start = k
-        return tuple(out), ",".join(map(str, out))
-
-    def _remember(self, chunk: str) -> tuple[tuple[int, ...], str]:
-        found = self._chunk(MARK + chunk)
-        if len(chunk) <= 64 and len(self._chunks) < REMEMBERED:
-            self._chunks[chunk] = found
+        return ",".join(out)
+
+    def _remember(self, chunk: str) -> str:
+        found = self._chunks.get(chunk)
+        if found is None:
+            found = self._chunk(MARK + chunk)
+            if len(chunk) <= 64:
+                self._chunks.put(chunk, found)
         return found
 
-    def chunks(self, text: str) -> list[tuple[tuple[int, ...], str]]:
-        """Ids and their decimal form, chunk by chunk, of a whole text."""
+    def chunks(self, text: str) -> list[str]:
+        """Ids of a whole text, chunk by chunk, as decimals joined by commas."""
         if not text:
             return []
         if self.plain and "  " not in text and text[0] != " " and MARK not in text:
-            known, remember = self._chunks.get, self._remember
-            return [known(part) or remember(part) for part in text.split(" ")]
+            known, remember = self._chunks.young, self._remember
+            return [known.get(part) or remember(part) for part in text.split(" ")]
         normal = (MARK + text).replace(" ", MARK) if self.plain else self.normalizer.normalize(text)
         return [self._chunk(chunk) for chunk in _CHUNKS.findall(normal)]
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text as the library gives them, without begin and end ids; NULL counts as empty."""
-        return list(chain.from_iterable(ids for ids, _ in self.chunks(text or "")))
+        return ids_of(",".join(self.chunks(text or "")))
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
 
 
+def ids_of(decimals: str) -> list[int]:
+    return list(map(int, decimals.split(","))) if decimals else []
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """The encoder of a model file, built once per worker."""
@@ -191,10 +193,10 @@ def round_trip_digest(text: Column, path: str) -> Column:
         e = encoder(path)
         n, ids_hash, text_hash = [], [], []
         for t in column:
-            found = e.chunks(t.as_py() or "")
-            ids = list(chain.from_iterable(i for i, _ in found))
+            decimals = ",".join(e.chunks(t.as_py() or ""))
+            ids = ids_of(decimals)
             n.append(len(ids))
-            ids_hash.append(hashlib.sha256(",".join([s for _, s in found]).encode()).hexdigest())
+            ids_hash.append(hashlib.sha256(decimals.encode()).hexdigest())
             text_hash.append(hashlib.sha256(e.decode(ids).encode()).hexdigest())
         return pa.StructArray.from_arrays(
             [pa.array(n, pa.int64()), pa.array(ids_hash), pa.array(text_hash)], [f.name for f in _DIGEST]
