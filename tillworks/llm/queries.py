@@ -119,6 +119,35 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
 
 
+# What of an operator's result is fixed by its input alone, for SQL to check; the rest depends on the method.
+
+
+def base_op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = op5_entropy_mix(spark, sf_dir)
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("taken") <= 3 * F.col("size")).alias("bounded"))
+
+
+def base_op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = op6_sharding(spark, sf_dir)
+    held = placed.groupBy("slot").agg(F.countDistinct("shard").alias("shards"))
+    return placed.join(held, "slot").select("doc_id", "slot", "shards")
+
+
+def base_op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = op7_lattice_lm(spark, sf_dir)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+def base_op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ruled = F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("ruled")
+    return op8_url_filters(spark, sf_dir).select("page_id", "host", "path", "rule", ruled)
+
+
+def base_op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = op10_quality_rules(spark, sf_dir)
+    return judged.withColumn("refused", F.col("base_failed") & F.col("kept")).drop("kept")  # never both
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -135,6 +164,11 @@ QUERIES = {
         op11_byte_fst,
         op12_merkle_manifest,
         op13_collocations,
+        base_op5_entropy_mix,
+        base_op6_sharding,
+        base_op7_lattice_lm,
+        base_op8_url_filters,
+        base_op10_quality_rules,
     )
 }
 
@@ -148,6 +182,10 @@ _CRC32 = """xor(list_reduce([ascii(x) FOR x IN string_split(CAST(doc_id AS VARCH
     lambda crc, byte: list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, byte)), 4294967295), 4294967295)"""
 
 
+_WORDS = "[y FOR y IN string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF y <> '']"
+_LOWERED = f"translate(text, '{UPPER}', '{LOWER}')"
+
+
 def _merkle_sql(heights: int = 8, top_heights: int = 3) -> str:
     """The trees level by level; a tree that has come down to one node stays as it is."""
     def leaf(text: str) -> str:
@@ -226,6 +264,53 @@ ORACLE_SQL: dict[str, str] = {
         SELECT parts.id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, parts.id = component_id AS kept
         FROM parts LEFT JOIN sizes ON sizes.id = parts.id""",
     "op12_merkle_manifest": _merkle_sql(),
+    "base_op5_entropy_mix": f"""
+        WITH sized AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents),
+        sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+                    FROM sized GROUP BY source),
+        shares AS (SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS weights,
+                          coalesce(sum(3 * source_size) OVER before, 0) AS full_size, coalesce(sum(w) OVER before, 0) AS full_w
+                   FROM sources WINDOW before AS (ORDER BY 3 * source_size / w, w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        levels AS (SELECT *, (total - full_size) / (weights - full_w) AS level FROM shares),
+        water AS (SELECT max(level) AS surface FROM levels WHERE level <= 3 * source_size / w),
+        targets AS (SELECT source, source_size, least(3 * source_size, w * coalesce(surface, 1e300)) AS target FROM levels CROSS JOIN water)
+        SELECT doc_id, size, source_size, round(CAST(target AS DOUBLE), 3) AS target, true AS bounded
+        FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source""",
+    "base_op6_sharding": f"""
+        SELECT doc_id, CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {shard_table.SLOTS} AS INTEGER)
+               AS slot, CAST(1 AS BIGINT) AS shards FROM documents""",
+    "base_op7_lattice_lm": f"""
+        WITH split AS (SELECT row_number() OVER () AS row, doc_id, {_CRC32} % 7 = 2 AS held_out, {_WORDS.replace("text", _LOWERED)} AS w FROM documents),
+        tokens AS (SELECT row, held_out, unnest(w) AS token FROM split UNION ALL SELECT row, held_out, NULL FROM split),
+        counts AS (SELECT token, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY token),
+        sums AS (SELECT CAST(sum(c) AS BIGINT) AS n, count(*) AS v FROM counts),
+        scored AS (SELECT row, count(*) AS n_tokens, count(c) AS n_known, sum(log10((coalesce(c, 0) + 1) / (n + v + 1))) AS base_score
+                   FROM tokens LEFT JOIN counts ON tokens.token IS NOT DISTINCT FROM counts.token CROSS JOIN sums GROUP BY row)
+        SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, round(base_score, 4) AS base_score
+        FROM split JOIN scored USING (row) CROSS JOIN sums""",
+    "base_op8_url_filters": f"""
+        WITH rules(rule, given) AS (VALUES {", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES.items())}),
+        rests AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        hosts AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS own, rest FROM rests),
+        parts AS (SELECT row_number() OVER () AS row, page_id, translate(own, '{UPPER}', '{LOWER}') AS host,
+                         regexp_extract(substr(rest, length(own) + 1), '^[^?#]*') AS path FROM hosts),
+        fits AS (SELECT row, arg_max(rule, length(rule)) AS rule, arg_max(given, length(rule)) AS ruled
+                 FROM parts JOIN rules ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+                  AND starts_with(path, substr(rule, strpos(rule, '/'))) GROUP BY row)
+        SELECT page_id, host, path, rule, ruled FROM parts LEFT JOIN fits USING (row)""",
+    "base_op10_quality_rules": f"""
+        WITH split AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t, {_WORDS} AS w,
+                              [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF len({_WORDS.replace("text", "x")}) > 0] AS lines FROM documents),
+        windows AS (SELECT row, i, array_to_string(w[i:i + 7], ' ') AS window_text
+                    FROM (SELECT row, w, unnest(range(1, len(w) - 6)) AS i FROM split)),
+        twice AS (SELECT row, window_text FROM windows GROUP BY row, window_text HAVING count(*) > 1),
+        covered AS (SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(i, i + 8)) AS place FROM windows SEMI JOIN twice USING (row, window_text))
+                    GROUP BY row)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(list_sum([length(x) FOR x IN w]) AS BIGINT) AS word_chars,
+               CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+               CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+               len(w) < 20 OR 100 * coalesce(n, 0) > 30 * len(w) AS base_failed, false AS refused
+        FROM split LEFT JOIN covered USING (row)""",
     "op13_collocations": f"""
         WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
         pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
