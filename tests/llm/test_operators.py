@@ -182,6 +182,37 @@ def test_no_pair_of_a_narrow_label_is_missed(spark):
     assert linked.sum() >= 600 and got == {k: (linked[k].sum(), part[k]) for k in part}
 
 
+def test_passes_find_what_all_pairs_find(spark):
+    """Labels spread evenly, in a cone and tight; texts as labels; the report's promise against all pairs."""
+    r = np.random.default_rng(4)
+    axis, rows = np.eye(32)[1], []
+    for label, spread in (("even", None), ("cone", 0.4), ("tight", 0.05)):
+        for _ in range(1500):
+            v = r.standard_normal(32)
+            rows.append((len(rows), (v if spread is None else axis + spread * v / np.linalg.norm(v)).tolist(), label))
+    for k in r.choice(3000, 200, replace=False).tolist():
+        v = np.array(rows[k][1])
+        off = r.standard_normal(32)
+        off -= off @ v * v / (v @ v)
+        rows.append((len(rows), (v / np.linalg.norm(v) + 0.2 * off / np.linalg.norm(off)).tolist(), rows[k][2]))  # cosine 0.9806
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    got, want = ({tuple(x) for x in projection_dedup.near_duplicates(df, exact=exact).collect()} for exact in (False, True))
+    assert got == want and sum(x[1] > 0 for x in want) >= 1900
+    nodes = df.select(F.col("vec_id").alias("node"), "label", F.lit(32).alias("dim"), F.col("embedding").alias("vector"))
+    report = {x.label: x for x in projection_dedup.candidate_groups(nodes)[1].collect()}
+    assert all(x.missed <= projection_dedup.MISSED for x in report.values())
+    assert report["even"].passes <= report["cone"].passes
+
+
+def test_a_label_that_passes_cannot_promise_is_compared_whole(spark):
+    r = np.random.default_rng(5)
+    rows = [(k, r.standard_normal(16).tolist(), "x") for k in range(600)]
+    nodes = spark.createDataFrame(rows, "node long, vector array<double>, label string").withColumn("dim", F.lit(16))
+    parts, report = projection_dedup.candidate_groups(nodes, most_passes=1)
+    assert {x.part for x in parts.collect()} == {-1} and parts.count() == 600
+    assert [(x.passes, x.missed) for x in report.collect()] == [(1, 0.0)]
+
+
 # ---------------------------------------------------------------- 3
 
 
