@@ -1,3 +1,4 @@
+import pathlib
 import random
 import shutil
 from datetime import date, datetime
@@ -306,6 +307,20 @@ def test_staged_rows_go_with_their_block(spark):
     assert not os.path.exists(folder)
 
 
+def test_stored_rows_go_with_their_scratch_block(spark, tmp_path):
+    def folder_of(df):
+        return pathlib.Path(df.inputFiles()[0].removeprefix("file://")).parent
+
+    kept = session.stored(spark.range(3), "kept")
+    with pytest.raises(Lost), session.scratch(spark):
+        outer = folder_of(session.stored(spark.range(3), "outer"))
+        with session.scratch(spark):
+            inner = folder_of(session.stored(spark.range(3), "inner"))
+        assert outer.exists() and not inner.exists()
+        raise Lost
+    assert not outer.exists() and folder_of(kept).exists()
+
+
 def test_work_folder_and_sizes(spark, tmp_path, monkeypatch):
     assert session.work_root(spark) == session.work_root(spark)
     assert session.shuffle_partitions(10**12) == 7451

@@ -122,14 +122,36 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
     Used where several branches read one result: the branches then scan narrow
     Parquet columns instead of recomputing it, the copy outlives lost executors,
-    and its known size lets Spark decide on broadcasts by itself.
+    and its known size lets Spark decide on broadcasts by itself. Inside a
+    ``scratch`` block the copy goes with the block, else with the work folder.
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
+    for paths in _scratch_paths[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_scratch_paths: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is ``stored`` in a block at its end, also when it fails.
+
+    For steps whose result is written elsewhere within the block: what the block
+    returned and did not write can't be read any more.
+    """
+    _scratch_paths.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch_paths.pop():
+            fs, folder = file_system(spark, path)
+            fs.delete(folder, True)
+
+
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``stored`` rows for the length of a block, whose end deletes them."""
