@@ -12,7 +12,7 @@ import public_tokenizers
 from tillworks.functions import with_computed
 from tillworks.llm import compression_classifier, entropy_mix, minhash, quality_rules, sentence_pieces
 from tillworks.llm.texts import id_remainder, lean_batches
-from tillworks.session import stored
+from tillworks.session import scratch, stored, work_dir
 
 #: No stage's decisions can be written in SQL as a whole; tests compare with plain Python instead.
 ORACLE_SQL = None
@@ -69,8 +69,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over the table ``documents``."""
+    """The stages over the table ``documents``. What a stage stores on its way goes when its documents are written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        path = work_dir(spark, f"pipeline-{name.replace(' ', '-')}")
+        with scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
