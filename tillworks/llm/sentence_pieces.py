@@ -24,7 +24,7 @@ from tillworks.llm.recent import Recent
 
 MARK = "▁"
 #: Stretches, chunks and pair tests that a worker remembers (twice as many at most); those not met lately go.
-STRETCHES, CHUNKS, PAIRS = 200_000, 300_000, 150_000
+STRETCHES, CHUNKS, PAIRS = 200_000, 100_000, 100_000
 _PROBE = "  Ａ ﬁ  x\t​\n　é "
 _CHUNKS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -198,6 +198,7 @@ def round_trip_digest(text: Column, path: str) -> Column:
             n.append(len(ids))
             ids_hash.append(hashlib.sha256(decimals.encode()).hexdigest())
             text_hash.append(hashlib.sha256(e.decode(ids).encode()).hexdigest())
+        pa.default_memory_pool().release_unused()  # workers live on, and their memory counts with the executor's
         return pa.StructArray.from_arrays(
             [pa.array(n, pa.int64()), pa.array(ids_hash), pa.array(text_hash)], [f.name for f in _DIGEST]
         )
