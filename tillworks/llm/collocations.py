@@ -29,6 +29,7 @@ FILTER_BITS = 1 << 27
 _STRETCH = 1 << 18  # bytes of a text that are split into words at a time
 #: Prefix partitions; a parameter of the cuts alone, Spark's setting decides on its partitions.
 PARTS = 4_096
+SHARES = 64  # of a language that are ranked apart before they are ranked together
 _ROWS = 20_000  # of a run that leave a worker at a time
 _WORDS_AT_ONCE = 1 << 20  # that are put into a trie together
 _CUT_WORDS = 20_000  # frequent words that the cuts follow
@@ -311,7 +312,10 @@ def collocations(df: DataFrame, longest: int = 3, least: int = 10, share: int =
     frequent = counts(df, longest, least, lang, text)
     candidates = stored(scored(frequent), "candidates")
     totals = frequent.where("width = 0").select(F.col("lang").alias("of"), F.col("n"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = outside_longer(candidates, share).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = F.desc("score"), F.desc("a"), "phrase"
+    # First within shares of a language, so that its last task reads some rows of each share, however many were ranked.
+    dealt = outside_longer(candidates, share).withColumn("dealt", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    first = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "dealt").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     ranked = ranked.join(totals, F.col("lang") == F.col("of"))
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
