@@ -133,6 +133,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROWS_PER_FILE = 1_000_000
+
+
+def in_few_files(df: DataFrame, rows: int, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Rows for a small table in as many tasks as its number of rows calls for, but a task per core at least.
+
+    For results of a known bound that come in many nearly empty partitions, where adaptive execution does not
+    merge them: each would leave a file of its own. Never raises the number of tasks.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / rows_per_file)))
+
+
 _scratch_paths: list[list[str]] = []
 
 
