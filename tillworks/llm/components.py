@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.session import stored
+from tillworks.session import in_few_files, stored
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(edges.select("u", "v").where("u <> v").distinct(), "star")
     mark = _mark(now)
     while mark[0]:
-        now = stored(small_star(large_star(now)), "star")
+        # A round leaves no more edges than it was given and a row per node: few small files.
+        now = stored(in_few_files(small_star(large_star(now)), 2 * mark[0]), "star")
         before, mark = mark, _mark(now)
         if mark == before:
             break

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from tillworks.llm import texts
 from tillworks.llm.components import components
-from tillworks.session import stored
+from tillworks.session import in_few_files, stored
 
 WIDTH = 5
 SIMILAR = (75, 100)
@@ -240,19 +240,18 @@ def _block_links(similar: tuple[int, int]):
     return links
 
 
-def _remaining_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, parts: DataFrame, similar: tuple[int, int]) -> DataFrame:
+def _remaining_links(
+    members: DataFrame, nodes: DataFrame, sets: DataFrame, parts: DataFrame, similar: tuple[int, int], most: int
+) -> DataFrame:
     """Links across components within buckets that hold several; every such pair is looked at."""
-    placed = stored(
-        members.select("key", "node").join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")),
-        "minhash-placed",
-    )
+    component = F.coalesce("component", "node").alias("component")
+    placed = members.select("key", "node").join(parts, "node", "left").select("key", "node", component)
+    placed = stored(in_few_files(placed, most), "minhash-placed")
     mark = F.sum(F.xxhash64("node").cast("decimal(20,0)"))
-    buckets = stored(
-        placed.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), mark.alias("mark"))
-        .where("low <> high"),
-        "minhash-buckets",
+    buckets = placed.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), mark.alias("mark")
     )
+    buckets = stored(in_few_files(buckets.where("low <> high"), most), "minhash-buckets")
     # small bands often hold the same nodes: once is enough
     few = buckets.where(F.col("n") <= FEW_NODES).groupBy("n", "mark", "low", "high").agg(F.min("key").alias("key")).select("key")
     rows = placed.join(few, "key").join(nodes.select("node", "minima"), "node")
@@ -305,7 +304,8 @@ def near_duplicates(
         .where("n > 1")
         .select("key", F.col("least").bitwiseXOR(F.col("key")).alias("centre"))
     )
-    members = stored(keys.join(buckets, "key"), "minhash-members")
+    most = nodes.count() * (HASHES // BAND_ROWS)  # rows that the tables of bands have at most
+    members = stored(in_few_files(keys.join(buckets, "key"), most), "minhash-members")
 
     bearers = members.select("node").distinct().join(nodes.select("node", "bearer"), "node").select("bearer").distinct()
     sets = stored(
@@ -318,7 +318,7 @@ def near_duplicates(
     )
     first = _verified(_first_pairs(members, nodes), sets, similar)
     parts = components(first)
-    rest = _remaining_links(members, nodes, sets, parts, similar)
+    rest = _remaining_links(members, nodes, sets, parts, similar, most)
     parts = components(rest.union(parts.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
     placed = rows.select("doc_id", "n_shingles", "node").join(parts, "node", "left")
