@@ -290,6 +290,15 @@ def test_classifier_tells_held_out_texts(spark, none):
     assert compression_classifier.fit(docs, labels.where("quality = 1")).scores(["a"]).tolist() == [0.5]
 
 
+def test_an_id_in_most_rows_counts_once(spark):
+    """A model fitted on documents of which a third bear one id is that of one row of it."""
+    rows = [(k, ("good words in a row " if k % 2 else "### bad $$$ ") * 20 + str(k)) for k in range(1, 90)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
+    once = spark.createDataFrame([*rows, (None, "x")], "doc_id long, text string")
+    copies = spark.createDataFrame([*rows, *[rows[6]] * 45, (None, None)], "doc_id long, text string")
+    assert compression_classifier.fit(once, labels) == compression_classifier.fit(copies, labels)
+
+
 # ---------------------------------------------------------------- 5
 
 

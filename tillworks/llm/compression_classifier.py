@@ -108,8 +108,8 @@ def fit(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     """Train on labelled documents; ``labels`` holds ``doc_id`` and ``quality`` (1 good, 0 bad, else unused).
 
     The sample is the documents with the smallest hashes of their id, up to the module's bounds, one half
-    of all ids serving the dictionaries and the other the calibration. Repeated ids count once, ids without
-    a document and NULL ids are left out. With no label of either class every score is 0.5.
+    of all ids serving the dictionaries and the other the calibration. Repeated ids count once, with the text of the
+    smallest hash, ids without a document and NULL ids are left out. With no label of either class every score is 0.5.
     """
     lean_batches(documents.sparkSession)
     labelled = (
@@ -130,7 +130,8 @@ def fit(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     sampled = (
         documents.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
         .join(F.broadcast(chosen), "id")
-        .select("rank", "good", "for_dictionary", "text")
+        .groupBy("id", "rank", "good", "for_dictionary")  # one row of each id, whatever its number of rows
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     )
     spread = T.ArrayType(T.BinaryType())
     blocks = sampled.where("for_dictionary").select("rank", "good", F.arrow_udf(_spread_blocks, spread)("text").alias("blocks"))
