@@ -155,6 +155,23 @@ def test_no_match_is_lost(spark, tmp_path):
         assert content(spark, root, batch.schema) == expected
 
 
+def test_keys_of_another_type_and_leftovers_of_a_lost_merge(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "fact")
+    first = sales(spark, ("1", "1", 1, (2026, 1, 5)), ("2", "1", 2, (2026, 2, 5)))
+    serving.merge_table(spark, root, first.schema, first, ["id", "p"])
+    with monkeypatch.context() as patch:
+        broken_off(patch, versions, "replace_parts")
+        with pytest.raises(Lost):  # March is staged, but never decided
+            serving.merge_table(spark, root, first.schema, sales(spark, ("9", "1", 9, (2026, 3, 5))), ["id", "p"])
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        numbers = sales(spark, ("1", "1", 7, (2026, 1, 6))).withColumn("id", F.col("id").cast("bigint"))
+        serving.merge_table(spark, root, first.schema, numbers, ["id", "p"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert content(spark, root, first.schema) == [("1", 7, "202601"), ("2", 2, "202602")]
+
+
 def test_periods_without_a_sketch_are_admitted(spark, tmp_path):
     root = str(tmp_path / "fact")
     first = sales(spark, ("a", "1", 1, (2026, 1, 5)), ("b", "1", 2, (2026, 2, 5)))

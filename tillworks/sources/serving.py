@@ -67,13 +67,18 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
+def _write_anew(df: DataFrame, path: str) -> None:
+    """By period, with nothing left of an earlier try, whatever the session says of overwriting."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PERIOD).parquet(path)
+
+
 def _sketch(spark: SparkSession, rows: str, schema: T.StructType, keys: Sequence[str], serial: str | None) -> None:
     """Put the key sketches of waiting periods into their folders, sorted, and note the highest surrogate keys."""
     waiting = spark.read.schema(T.StructType([*schema.fields, T.StructField(PERIOD, T.StringType())])).parquet(rows)
     hashes = waiting.select(PERIOD, F.col(PERIOD).alias("of"), key_hash(keys).alias("key_hash"))
     sketches = f"{rows}{KEY_SKETCH}"
     laid_out = hashes.hint("rebalance", F.col(PERIOD)).sortWithinPartitions(PERIOD, "key_hash")
-    laid_out.write.mode("overwrite").partitionBy(PERIOD).parquet(sketches)
+    _write_anew(laid_out, sketches)
     for sketch in versions.found(spark, f"{sketches}/{_PERIODS}"):
         part = sketch.rpartition("/")[2]
         fs, source = file_system(spark, sketch)
@@ -134,12 +139,13 @@ def merge_table(
     The new periods are first written beside the table, then moved in. Spark so
     never reads what it overwrites, and a merge broken off while replacing is
     completed by the next one.
-    ``serial`` names a surrogate key: rows that are new get the next whole numbers, without gaps, in the
+    A batch's columns take the table's types. ``serial`` names a surrogate key: rows that are new get the next whole numbers, without gaps, in the
     order of their keys; other rows keep theirs.
     """
     keys = list(keys)
     finish_pending(spark, root)
-    with staged(one_per_key(batch, keys, order, on_duplicate=on_duplicate), "batch") as rows:
+    typed = {c: F.col(c).cast(schema[c].dataType) for c in batch.columns if c in schema.names}  # hashes tell types apart
+    with staged(one_per_key(batch.withColumns(typed), keys, order, on_duplicate=on_duplicate), "batch") as rows:
         opened = read_table(spark, root, schema, admitted_periods(spark, root, rows, keys))
         matches = opened.select(*keys, PERIOD).join(rows.select(*keys), keys, "left_semi")
         with staged(matches, "matches") as matched:
@@ -165,7 +171,7 @@ def _merge_staged(spark, root, schema, rows, matched, keys, update, instant, gra
         merged.withColumn(PERIOD, period_of(instant, grain)).hint("rebalance", F.col(PERIOD)).sortWithinPartitions(PERIOD, instant)
     )
     waiting = versions.waiting(root)
-    laid_out.write.mode("overwrite").partitionBy(PERIOD).parquet(waiting)
+    _write_anew(laid_out, waiting)
     filled = versions.waiting_parts(spark, root, _PERIODS)
     if filled:
         _sketch(spark, waiting, schema, keys, serial)
