@@ -23,3 +23,7 @@ class Recent:
         if len(self.young) >= self.size:
             self.young, self.old = {}, self.young
         self.young[key] = value
+
+    def forget_old(self) -> None:
+        """Let the old generation go, as at the end of a task whose worker lives on."""
+        self.old = {}

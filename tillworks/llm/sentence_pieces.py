@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -143,6 +144,10 @@ class Encoder:
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
 
+    def forget_old(self) -> None:
+        for memory in (self._fits, self._stretches, self._chunks):
+            memory.forget_old()
+
 
 def ids_of(decimals: str) -> list[int]:
     return list(map(int, decimals.split(","))) if decimals else []
@@ -189,18 +194,23 @@ def round_trip_digest(text: Column, path: str) -> Column:
     """Number and hash of a whole text's ids and hash of the text they decode to, without moving the ids."""
 
     @F.arrow_udf(_DIGEST)
-    def digest(column: pa.Array) -> pa.Array:
+    def digest(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         e = encoder(path)
-        n, ids_hash, text_hash = [], [], []
-        for t in column:
-            decimals = ",".join(e.chunks(t.as_py() or ""))
-            ids = ids_of(decimals)
-            n.append(len(ids))
-            ids_hash.append(hashlib.sha256(decimals.encode()).hexdigest())
-            text_hash.append(hashlib.sha256(e.decode(ids).encode()).hexdigest())
-        pa.default_memory_pool().release_unused()  # workers live on, and their memory counts with the executor's
-        return pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), pa.array(ids_hash), pa.array(text_hash)], [f.name for f in _DIGEST]
-        )
+        for column in columns:
+            yield _digests(e, column)
+        e.forget_old()  # the worker lives on, and its memory counts with the executor's
 
     return digest(text)
+
+
+def _digests(e: Encoder, column: pa.Array) -> pa.Array:
+    n, ids_hash, text_hash = [], [], []
+    for t in column:
+        decimals = ",".join(e.chunks(t.as_py() or ""))
+        ids = ids_of(decimals)
+        n.append(len(ids))
+        ids_hash.append(hashlib.sha256(decimals.encode()).hexdigest())
+        text_hash.append(hashlib.sha256(e.decode(ids).encode()).hexdigest())
+    pa.default_memory_pool().release_unused()
+    arrays = [pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
+    return pa.StructArray.from_arrays(arrays, [f.name for f in _DIGEST])
