@@ -53,3 +53,14 @@ def test_replays_are_dropped_over_batches_and_tasks(spark, tmp_path):
 def test_decode_on_a_stream(spark, sale, tmp_path):
     drop(tmp_path / "in", "a.json", sale.sound)
     assert decode(landing_stream(spark, str(tmp_path / "in"))).isStreaming
+
+
+def test_copies_are_thinned_without_a_second_state(spark, tmp_path):
+    drop(tmp_path / "in", "a.json", *[{"id": "hot"}] * 500, {"id": None}, {"id": "b"}, {"id": None})
+    rows = stamp(landing_stream(spark, str(tmp_path / "in")).select(F.from_json("value", "id string").alias("r")).select("r.*"))
+    writer = drop_replays(rows, ["id"]).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+    query = writer.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    (state,) = [s for p in query.recentProgress if p.numInputRows for s in p.stateOperators]
+    assert state.numRowsUpdated == 3
+    assert sorted(str(r.id) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["None", "b", "hot"]
