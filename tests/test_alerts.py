@@ -46,3 +46,16 @@ def test_one_event_per_crossing_over_restarts(spark, tmp_path):
         seen = len(got)
     events = {(r[0], r[5]) for r in got}
     assert ("hot", "below") in events and any(e == "recovered" for _, e in events)
+
+
+def test_shelves_share_a_state_value(spark, tmp_path):
+    """Many shelves in few groups: each keeps its own stock over batches, those a batch leaves out included."""
+    start, folders = date(2026, 1, 1), {name: str(tmp_path / name) for name in ("in", "out", "state")}
+    movements = [(f"p{i}", "s", start + timedelta(days=k), -6 if (i + k) % 3 else 7, 20, 10) for k in range(6) for i in range(30) if i % (k + 2) != 1]
+    for k in range(3):
+        part = [m for m in movements if (m[2] - start).days // 2 == k]
+        spark.createDataFrame(part, TYPES).repartition(2).write.mode("append").parquet(folders["in"])
+        events = stock_events(spark.readStream.schema(TYPES).parquet(folders["in"]), groups=3)
+        writer = events.writeStream.format("parquet").option("path", folders["out"]).option("checkpointLocation", folders["state"])
+        writer.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(folders["out"]).collect())) == crossings(movements)
