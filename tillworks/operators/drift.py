@@ -7,7 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillworks.functions import with_computed
 from tillworks.schemas import LINEAGE_FIELDS, REQUIRED_FIELDS
+from tillworks.session import stored
 
 # What the producer sends and the stream adds; everything but these numbers is text.
 NUMBERS = ("quantity", "unit_price", "total_price")
@@ -27,17 +29,23 @@ def kind_of(variant_type: Column) -> Column:
 def fields_found(lines: DataFrame, value: str = "value") -> DataFrame:
     """``field, type, lines, nulls``: every top-level field of JSON objects, with the type that holds all its values.
 
-    Types of two lines merge as Spark widens them, so the aggregate runs on the map side and its size follows
-    the fields. Lines that aren't one JSON object, or name a field twice, have no fields.
+    Lines are counted by shape first, which is the types of all their fields; the fields are then taken from one line
+    of each shape, found again by its hash. Types of two shapes merge as Spark widens them, so what comes after the
+    count follows the shapes. Lines that aren't one JSON object, or name a field twice, have no fields.
     """
-    spark = lines.sparkSession
-    parsed = lines.select(F.try_parse_json(value).alias("_line"))
-    objects = parsed.where(F.schema_of_variant("_line").startswith("OBJECT"))
-    fields = objects.lateralJoin(spark.tvf.variant_explode(F.col("_line").outer())).select(F.col("key").alias("field"), F.col("value").alias("_value"))
+    spark, text = lines.sparkSession, F.col(value)
+    shape = F.schema_of_variant(F.try_parse_json(text))
+    shaped = with_computed(lines.select(text.alias("_text")), "_shape", F.schema_of_variant(F.try_parse_json("_text")))
+    counted = shaped.groupBy("_shape").agg(F.count("*").alias("_n"), F.max(F.xxhash64("_text")).alias("_hash"))
+    shapes = stored(counted.where(F.col("_shape").startswith("OBJECT")), "shapes")
+    met = lines.select(text.alias(value), F.xxhash64(text).alias("_hash")).join(shapes, "_hash")
+    one_each = met.where(shape == F.col("_shape")).dropDuplicates(["_shape"])
+    objects = one_each.select("_n", F.try_parse_json(value).alias("_line"))
+    fields = objects.lateralJoin(spark.tvf.variant_explode(F.col("_line").outer())).select("_n", F.col("key").alias("field"), F.col("value").alias("_value"))
     return fields.groupBy("field").agg(
         F.schema_of_variant_agg("_value").alias("type"),
-        F.count("*").alias("lines"),
-        F.count_if(F.is_variant_null("_value")).alias("nulls"),
+        F.sum("_n").alias("lines"),
+        F.sum(F.when(F.is_variant_null("_value"), F.col("_n")).otherwise(0)).alias("nulls"),
     )
 
 
