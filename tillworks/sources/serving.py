@@ -43,7 +43,8 @@ def read_table(spark: SparkSession, root: str, schema: T.StructType, periods: Se
 def _opened(spark: SparkSession, root: str, schema: T.StructType, paths: list[str]) -> DataFrame:
     full = T.StructType([*schema.fields, T.StructField(PERIOD, T.StringType())])
     if not paths:
-        return spark.createDataFrame([], full)
+        # The condition tells Spark's optimizer that there are no rows: joins with a new table need no shuffle.
+        return spark.createDataFrame([], full).where(F.lit(False))
     return spark.read.schema(full).option("basePath", root).parquet(*paths).select(*full.names)
 
 
@@ -153,12 +154,12 @@ def merge_table(
                 return _merge_staged(spark, root, schema, rows, matched, keys, update, instant, grain)
             highest = highest_number(spark, root, schema, serial)
             fresh = absent_from(rows.select(*keys), matched.select(*keys), keys)
-            with numbered(fresh, keys, serial, after=highest) as numbers, staged(rows.join(numbers, keys, "left"), "numbered") as ready:
+            with numbered(fresh, keys, serial, after=highest) as numbers:
                 kept = [c for c in (schema.names if update is None else update) if c not in (serial, *keys)]
-                return _merge_staged(spark, root, schema, ready, matched, keys, kept, instant, grain, serial)
+                return _merge_staged(spark, root, schema, rows, matched, keys, kept, instant, grain, serial, numbers)
 
 
-def _merge_staged(spark, root, schema, rows, matched, keys, update, instant, grain, serial=None) -> list[str]:
+def _merge_staged(spark, root, schema, rows, matched, keys, update, instant, grain, serial=None, numbers=None) -> list[str]:
     small = sum(stored_bytes(spark, f) for f in rows.inputFiles()) <= broadcast_limit(spark)
     arriving = rows.select(period_of(instant, grain).alias(PERIOD))
     met = matched.select(PERIOD).distinct().union(arriving.distinct()).distinct().collect()  # periods only
@@ -166,7 +167,8 @@ def _merge_staged(spark, root, schema, rows, matched, keys, update, instant, gra
     if not touched:
         return []
     target = read_table(spark, root, schema, touched).select(*schema.names)
-    merged = upsert(target, rows, keys, update, small_batch=small, unique=True)
+    ready = rows if numbers is None else rows.join(numbers, keys, "left")
+    merged = upsert(target, ready, keys, update, small_batch=small, unique=True)
     laid_out = (
         merged.withColumn(PERIOD, period_of(instant, grain)).hint("rebalance", F.col(PERIOD)).sortWithinPartitions(PERIOD, instant)
     )
