@@ -141,3 +141,10 @@ def test_late_arrivals(spark):
                                "id string, sold string, ingested_at string")
     (row,) = ingest.late_arrivals(df, "sold").collect()
     assert (row.id, row.days_late) == ("a", 1)
+
+
+def test_bronze_is_stored_compressed(spark, sale, tmp_path):
+    lines = spark.createDataFrame([(json.dumps(sale.sound),)] * 200, "value string").transform(ingest.with_message).transform(ingest.with_missing_fields)
+    bronze.write_bronze(ingest.stamp(ingest.accepted(lines)), str(tmp_path), "b")
+    scan = bronze.scan_bronze(spark, str(tmp_path))
+    assert scan.count() == 200 and all(f.endswith(".gz") for f in scan.inputFiles())

@@ -5,6 +5,7 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillworks import session
 from tillworks.layout import day_columns
@@ -346,3 +347,19 @@ def test_work_folder_and_sizes(spark, tmp_path, monkeypatch):
     assert copy.count() == 10 and copy.columns == df.columns
     assert session.stored_bytes(spark, str(tmp_path / "nothing")) == 0
     assert session.broadcast_limit(spark) == 10 * 1024 * 1024
+
+
+def test_rows_that_lie_by_day_are_written_without_a_shuffle(spark, tmp_path):
+    schema = T.StructType([T.StructField("n", T.LongType())])
+    rows = spark.range(90).select(F.col("id").alias("n"), F.lit("2026").alias("year"), F.lit("01").alias("month"), F.format_string("%02d", F.col("id") % 3 + 1).alias("day"))
+    lake.overwrite_days(rows, f"{tmp_path}/a")
+    lake.overwrite_days(lake.scan_days(spark, f"{tmp_path}/a", schema), f"{tmp_path}/b", laid_out=True)
+    copied = lake.scan_days(spark, f"{tmp_path}/b", schema)
+    assert sorted(map(tuple, copied.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_joins_with_a_table_that_is_not_there_are_left_out(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    nothing = serving.read_table(spark, str(tmp_path / "none"), schema)
+    merged = nothing.join(spark.range(5).withColumnRenamed("id", "k"), "k", "full_outer")
+    assert "Join" not in merged._jdf.queryExecution().optimizedPlan().toString() and merged.count() == 5
