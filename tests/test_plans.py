@@ -94,3 +94,24 @@ def test_every_sale_is_served_or_refused(spark, sale, tmp_path):
     assert {r.transaction_id: r.broken_constraint for r in s2g.gold_rejects(spark, layout, day).collect()} == {
         "dear": "decimal:unit_price", "early": "fk:date_key", "unpaid": "not_null:payment_method_key",
     }
+
+
+def test_a_refused_load_is_written_without_a_shuffle(spark, sale, tmp_path, monkeypatch):
+    layout, day, writes = Layout(str(tmp_path)), date(2026, 1, 22), []
+    line = lambda k: {**sale.sound, "transaction_id": f"t{k}", "product_name": "x" * 101}
+    land(spark, layout, day, [line(k) for k in range(50)] + [sale.sound], "b1")
+    b2s.bronze_to_silver(spark, layout, day)
+    lake.write_day(lake.scan_days(spark, layout.silver, SILVER, day).repartition(50), layout.silver, day, laid_out=True)
+    assert len(lake.scan_days(spark, layout.silver, SILVER, day).inputFiles()) > 16  # as many as the tasks with rows
+    real = b2s.write_day
+
+    def watched(df, root, *args, laid_out=False):
+        writes.append(laid_out and "Exchange" not in df._jdf.queryExecution().executedPlan().toString())
+        return real(df, root, *args, laid_out=laid_out)
+
+    monkeypatch.setattr(b2s, "write_day", watched)
+    served = b2s.serve_silver(spark, layout, day)
+    assert (served.merged, served.rejected, writes) == (1, 50, [True])
+    refused = lake.scan_days(spark, layout.rejects("sales_silver"), SILVER, day)
+    assert sorted(r.transaction_id for r in refused.collect()) == sorted(f"t{k}" for k in range(50))
+    assert len(refused.inputFiles()) <= spark.sparkContext.defaultParallelism
