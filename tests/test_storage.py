@@ -363,3 +363,15 @@ def test_joins_with_a_table_that_is_not_there_are_left_out(spark, tmp_path):
     nothing = serving.read_table(spark, str(tmp_path / "none"), schema)
     merged = nothing.join(spark.range(5).withColumnRenamed("id", "k"), "k", "full_outer")
     assert "Join" not in merged._jdf.queryExecution().optimizedPlan().toString() and merged.count() == 5
+
+
+def test_copies_in_buckets_join_without_a_shuffle(spark):
+    rows = spark.range(400).select((F.col("id") % 7).alias("k"), F.col("id").cast("string").alias("l"), "id")
+    tables = spark.catalog.listTables()
+    old = session.stored_by(rows.where("id < 300").repartition("k", "l"), "old", ["k", "l"])
+    new = session.stored_by(rows.where("id >= 200").withColumn("id", -F.col("id")), "new", ["k", "l"])
+    assert spark.catalog.listTables() == tables
+    both = old.join(new.withColumnRenamed("id", "other"), ["k", "l"], "full_outer")
+    assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
+    found = {r.l: (r.k, r.id, r.other) for r in both.collect()}
+    assert found == {str(i): (i % 7, i if i < 300 else None, -i if i >= 200 else None) for i in range(400)}
