@@ -601,3 +601,18 @@ def test_fences_follow_their_group(spark):
     judged = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
     kept = {x.doc_id: x.kept for x in judged.select("doc_id", "quality.kept").collect()}
     assert not kept[300] and sum(kept.values()) == 160
+
+
+def test_short_checksums_take_no_table_of_blocks(monkeypatch):
+    import random
+
+    data = [random.Random(n).randbytes(n) for n in (0, 1, 8, 24, 25, 1000, 1024, 1025, 1027, 5000)]
+    found = []
+    for text in data:
+        state = 0xFFFFFFFF
+        for b in text:
+            state = (state >> 8) ^ int(crc32c._AFTER[0, (state ^ b) & 0xFF])
+        found.append(state ^ 0xFFFFFFFF)
+    assert [crc32c.crc32c(text) for text in data] == found
+    monkeypatch.setattr(crc32c, "_FLAT", None)
+    assert crc32c.crc32c(data[2]) == found[2]

@@ -23,25 +23,29 @@ def _tables() -> np.ndarray:
 
 _AFTER = _tables()
 _IN_BLOCK = np.ascontiguousarray(_AFTER[::-1])
-_PLACES = np.arange(_BLOCK)
+_FLAT = _IN_BLOCK.reshape(-1)
+_PLACES = np.arange(_BLOCK) * 256
+_BYTE = _AFTER[0].tolist()
+_BLOCK_ON = _IN_BLOCK[:4].tolist()  # what each byte of a state becomes after a block
+_SHORT = 24  # bytes up to which a plain loop is faster
 
 
 def crc32c(data: bytes) -> int:
     """Checksum of ``data``."""
-    if len(data) < 4:
+    if len(data) <= _SHORT:
         state = 0xFFFFFFFF
         for b in data:
-            state = (state >> 8) ^ int(_AFTER[0, (state ^ b) & 0xFF])
+            state = (state >> 8) ^ _BYTE[(state ^ b) & 0xFF]
         return state ^ 0xFFFFFFFF
-    pad = -len(data) % _BLOCK  # zero bytes in front leave state 0 as it is
-    padded = np.zeros(pad + len(data), np.uint8)
-    padded[pad:] = np.frombuffer(data, np.uint8)
-    padded[pad : pad + 4] ^= 0xFF  # the initial state
-    blocks = np.bitwise_xor.reduce(_IN_BLOCK[_PLACES, padded.reshape(-1, _BLOCK)], axis=1)
-    state = 0
-    for block in blocks.tolist():
-        moved = _IN_BLOCK[_PLACES[:4], [state & 0xFF, state >> 8 & 0xFF, state >> 16 & 0xFF, state >> 24]]
-        state = int(np.bitwise_xor.reduce(moved)) ^ block
+    values = np.frombuffer(bytearray(data), np.uint8)
+    values[:4] ^= 0xFF  # the initial state
+    head, state = len(data) % _BLOCK, 0
+    if head:  # zero bytes in front would leave state 0 as it is
+        state = int(np.bitwise_xor.reduce(_FLAT.take(_PLACES[-head:] + values[:head])))
+    if head < len(data):
+        zero, one, two, three = _BLOCK_ON
+        for block in np.bitwise_xor.reduce(_FLAT.take(_PLACES + values[head:].reshape(-1, _BLOCK)), axis=1).tolist():
+            state = zero[state & 0xFF] ^ one[state >> 8 & 0xFF] ^ two[state >> 16 & 0xFF] ^ three[state >> 24] ^ block
     return state ^ 0xFFFFFFFF
 
 
