@@ -124,3 +124,23 @@ def test_counts_survive_a_batch_that_is_run_again(spark, sale, tmp_path, monkeyp
     assert len(calls) == 4
     rows = batch_metrics(spark, layout).collect()
     assert sorted((r.batch, r.messages, r.accepted, r.incomplete, r.malformed) for r in rows) == [(k, 7, 5, 1, 1) for k in range(3)]
+
+
+def test_a_batch_of_one_instant_is_written_where_it_was_read(spark, sale, tmp_path, monkeypatch):
+    from tillworks.sources import bronze as source
+
+    monkeypatch.setattr(source, "LINES_PER_FILE", 10)
+    landing, layout = tmp_path / "landing", Layout(str(tmp_path / "lake"))
+    landing.mkdir()
+    for part in range(6):
+        lines = [json.dumps({**sale.sound, "transaction_id": f"{part}-{i}"}) for i in range(10)] + ["{"]
+        (landing / f"{part}.txt.gz").write_bytes(gzip.compress("\n".join(lines).encode()))
+    before = spark.conf.get("spark.sql.files.openCostInBytes", "4194304")
+    spark.conf.set("spark.sql.files.openCostInBytes", "32m")  # a task for each file
+    try:
+        run_bronze_stream(landing_stream(spark, str(landing)), layout)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert landed(spark, layout) == sorted(f"{p}-{i}" for p in range(6) for i in range(10))
+    assert len(scan_bronze(spark, layout.bronze).inputFiles()) == 6  # one file before, by a shuffle
+    assert spark.read.text(layout.dead_letter).count() == 6 and len(spark.read.text(layout.dead_letter).inputFiles()) == 1

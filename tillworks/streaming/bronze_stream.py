@@ -29,13 +29,14 @@ def dead_letter_line(df: DataFrame) -> DataFrame:
     return df.withColumn("line", F.to_json(letter))
 
 
-def landing_writer(layout: Layout, source: str) -> Callable[[DataFrame, int], None]:
+def landing_writer(layout: Layout, source: str, one_instant: bool = False) -> Callable[[DataFrame, int], None]:
     """Batch handler landing accepted lines and dead letters.
 
     ``source`` names the checkpoint the batch numbers belong to. A batch that is
     run again after a failure has the same number and the same clock, so it
     replaces its own folders, and its counts, which are observed while it is landed
-    and stored before it counts as done (``batch_metrics``).
+    and stored before it counts as done (``batch_metrics``). ``one_instant`` says that all lines of a batch have the
+    same clock, and so lie in one day: then they are written where they were read, in files by their number.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
@@ -43,9 +44,12 @@ def landing_writer(layout: Layout, source: str) -> Callable[[DataFrame, int], No
         # Observed before the rows are kept, so each is counted once however many writes follow.
         kept = batch.observe(seen, *ingest.metric_columns()).persist()
         try:
-            write_bronze(ingest.accepted(kept), layout.bronze, name)
-            write_lines(dead_letter_line(ingest.rejected(kept)), layout.dead_letter, "line", "ingested_at", name)
+            kept.count()
             counts = {"source": source, "batch": batch_id, **seen.get}
+            landed = counts["accepted"] if one_instant else None
+            letters = counts["messages"] - counts["accepted"] if one_instant else None
+            write_bronze(ingest.accepted(kept), layout.bronze, name, landed)
+            write_lines(dead_letter_line(ingest.rejected(kept)), layout.dead_letter, "line", "ingested_at", name, letters)
             write_text(kept.sparkSession, f"{layout.batch_metrics}/{name}.json", json.dumps(counts))
         finally:
             kept.unpersist()
@@ -74,7 +78,7 @@ def start_bronze_stream(
     """
     writer = (
         prepared(messages, ingested_at)
-        .writeStream.foreachBatch(landing_writer(layout, source))
+        .writeStream.foreachBatch(landing_writer(layout, source, one_instant=ingested_at is None))
         .option("checkpointLocation", layout.checkpoint(source))
         .queryName(f"bronze-{source}")
     )
