@@ -246,6 +246,15 @@ def test_minhash_against_all_pairs(spark, documents, rows, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_minhash_estimates_in_one_python_step(spark):
+    members = spark.createDataFrame([(7, 1, 1), (7, 2, 1), (7, 3, 1)], "key long, node long, centre long")
+    minima = {1: bytes(200), 2: bytes(190) + b"x" * 10, 3: b"x" * 200}
+    nodes = spark.createDataFrame([(n, bytearray(m)) for n, m in minima.items()], "node long, minima binary")
+    pairs = minhash._first_pairs(members, nodes)
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [tuple(r) for r in pairs.collect()] == [(1, 2)]
+
+
 def test_minhash_chains_and_large_bands(spark, monkeypatch):
     """A chain of small changes, all of whose texts share bands, with bands cut into blocks."""
     monkeypatch.setattr(minhash, "FEW_NODES", 3)

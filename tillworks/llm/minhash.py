@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillworks.functions import with_computed
 from tillworks.llm import texts
 from tillworks.llm.components import components
 from tillworks.session import in_few_files, stored
@@ -156,8 +157,9 @@ def _first_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
         signatures.select(F.col("node").alias("centre"), F.col("minima").alias("other")), "centre"
     )
     best = Window.partitionBy("node").orderBy(F.desc("estimate"), "centre")  # a node has a centre per band at most
+    # Else the filter takes a copy of the estimate: two Python steps in a task, and a worker of its own for each.
     return (
-        both.select("node", "centre", _estimate("minima", "other").alias("estimate"))
+        with_computed(both, "estimate", _estimate("minima", "other"))
         .where(F.col("estimate") >= LEAST_ESTIMATE)
         .withColumn("place", F.row_number().over(best))
         .where(F.col("place") <= FIRST_CENTRES)
