@@ -1,6 +1,7 @@
 import pathlib
 import random
 import shutil
+import time
 from datetime import date, datetime
 
 import pytest
@@ -375,3 +376,19 @@ def test_copies_in_buckets_join_without_a_shuffle(spark):
     assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
     found = {r.l: (r.k, r.id, r.other) for r in both.collect()}
     assert found == {str(i): (i % 7, i if i < 300 else None, -i if i >= 200 else None) for i in range(400)}
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(k).getName() for k in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_shuffles_go_with_their_job(spark):
+    before = shuffle_files(spark)
+    sums = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"))
+    assert session.stored(sums, "sums").count() == 7
+    assert sorted(sums.collect()) == sorted(sums.collect())
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
