@@ -392,3 +392,24 @@ def test_shuffles_go_with_their_job(spark):
     while shuffle_files(spark) - before and time.time() < until:
         time.sleep(0.1)
     assert not shuffle_files(spark) - before
+
+
+def test_a_staged_batch_is_joined_where_it_lies(spark, tmp_path, monkeypatch):
+    """Of the join with the target only the target moves; keys with a NULL part stay apart, as in any join."""
+    schema, root = spark.createDataFrame([], "k string, l string, v int, sale_timestamp timestamp").schema, str(tmp_path / "t")
+    at = datetime(2026, 1, 2)
+    old = spark.createDataFrame([(str(i), "a", i, at) for i in range(50)] + [(None, "a", 1, at)], schema)
+    new = spark.createDataFrame([(str(i), "a", -i, at) for i in range(40, 60)] + [(None, "a", 2, at)], schema)
+    plans, real = [], serving._write_anew
+    monkeypatch.setattr(serving, "_write_anew", lambda df, path: (plans.append(df._jdf.queryExecution().executedPlan().toString()), real(df, path)))
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for batch in (old, new):
+            serving.merge_table(spark, root, schema, batch, ["k", "l"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    merges = [text.count("ENSURE_REQUIREMENTS") for text in plans if "Join" in text]
+    assert merges == [1]
+    found = sorted((r.k or "", r.v) for r in serving.read_table(spark, root, schema).collect())
+    assert found == sorted([(str(i), i if i < 40 else -i) for i in range(60)] + [("", 1), ("", 2)])

@@ -139,17 +139,18 @@ def merge_table(
 
     The new periods are first written beside the table, then moved in. Spark so
     never reads what it overwrites, and a merge broken off while replacing is
-    completed by the next one.
+    completed by the next one. The batch is staged in buckets by its keys, as its deduplication leaves it, so of the
+    joins with it only the other side moves.
     A batch's columns take the table's types. ``serial`` names a surrogate key: rows that are new get the next whole numbers, without gaps, in the
     order of their keys; other rows keep theirs.
     """
     keys = list(keys)
     finish_pending(spark, root)
     typed = {c: F.col(c).cast(schema[c].dataType) for c in batch.columns if c in schema.names}  # hashes tell types apart
-    with staged(one_per_key(batch.withColumns(typed), keys, order, on_duplicate=on_duplicate), "batch") as rows:
+    with staged(one_per_key(batch.withColumns(typed), keys, order, on_duplicate=on_duplicate), "batch", keys) as rows:
         opened = read_table(spark, root, schema, admitted_periods(spark, root, rows, keys))
         matches = opened.select(*keys, PERIOD).join(rows.select(*keys), keys, "left_semi")
-        with staged(matches, "matches") as matched:
+        with staged(matches, "matches", keys) as matched:
             if not serial:
                 return _merge_staged(spark, root, schema, rows, matched, keys, update, instant, grain)
             highest = highest_number(spark, root, schema, serial)
