@@ -57,3 +57,12 @@ def test_keys_and_money(spark):
     assert str(evaluate(spark, fn.serving_money, 1.005, "double")) == "1.01"
     assert evaluate(spark, fn.serving_money, 1e8, "double") is None
     assert evaluate(spark, lambda c: fn.date_key(c.cast("timestamp")), "2026-03-09 23:59:59") == 20260309
+
+
+def test_packed_keys(spark):
+    digest = hashlib.md5(b"P1").hexdigest()
+    texts = [digest, digest.upper(), "0" * 32, "", "P1", "\u00fc" * 16, "x" * 32, "\0" * 16, digest[:16], None]
+    keys = spark.createDataFrame([(t,) for t in texts], "k string").select("k", fn.packed_key(F.col("k")).alias("p"))
+    rows = keys.select("k", "p", fn.unpacked_key(F.col("p")).alias("back")).collect()
+    assert [r.back for r in rows] == texts and len({r.p and bytes(r.p) for r in rows}) == len(texts)
+    assert [len(r.p) for r in rows[:3]] == [16, 49, 16]

@@ -4,6 +4,7 @@ from collections import defaultdict
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillworks.operators import insights
 
@@ -122,3 +123,30 @@ def test_spans_are_as_long_as_they_can_be(spark):
     fact = spark.createDataFrame([("p", "s", 20260101, 2, 1.0), ("p", "s", 20260103, 2, 1.0)], SCHEMA)
     (span,) = insights.velocity_spans(fact, 2).collect()
     assert (span.from_day, span.to_day, span.window_units) == (date(2026, 1, 1), date(2026, 1, 4), 2)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spans_bring_a_shelf_together_once(spark, lines):
+    fact = spark.createDataFrame(lines, SCHEMA)
+    # one shuffle for the daily sums, one by shelf; none for the changes
+    assert plan(insights.velocity_spans(fact)).count("Exchange hashpartitioning") == 2
+
+
+def test_metrics_are_the_same_over_packed_shelves(spark, lines):
+    fact = spark.createDataFrame(lines, SCHEMA).withColumn("product_key", F.md5("product_key"))
+    fact = fact.unionByName(fact.limit(9).withColumn("store_key", F.lit(None).cast("string")))
+    thresholds = fact.select("product_key").distinct().withColumn("safety_units", F.lit(-30))
+
+    def metrics(fact, thresholds):
+        opening = fact.select(*insights.SHELF).distinct().withColumn("opening_units", F.lit(40))
+        stock = insights.stock_level(fact, opening)
+        return insights.velocity_spans(fact), stock, insights.low_stock_alerts(stock, thresholds)
+
+    packed = metrics(insights.with_packed_shelves(fact), insights.with_packed_shelves(thresholds))
+    for mine, plain in zip(packed, metrics(fact, thresholds)):
+        mine = insights.with_unpacked_shelves(mine)
+        assert mine.dtypes == plain.dtypes
+        assert sorted(map(repr, mine.collect())) == sorted(map(repr, plain.collect())) != []

@@ -7,12 +7,14 @@ from tillworks.functions.columns import (
     date_key,
     line_total,
     money,
+    packed_key,
     padded_day_name,
     padded_month_name,
     parse_instant,
     serving_money,
     surrogate_key,
     title,
+    unpacked_key,
     whole_number,
     with_computed,
 )
@@ -24,12 +26,14 @@ __all__ = [
     "date_key",
     "line_total",
     "money",
+    "packed_key",
     "padded_day_name",
     "padded_month_name",
     "parse_instant",
     "serving_money",
     "surrogate_key",
     "title",
+    "unpacked_key",
     "whole_number",
     "with_computed",
 ]
